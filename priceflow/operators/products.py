@@ -164,7 +164,7 @@ def to_product_rows(parsed: DataFrame, site_rule: DataFrame) -> DataFrame:
 
     ink = site == "inkafarma"
     return labelled.select(
-        "site", "page_id", "chunk", "pos", "status", "reason",
+        "site", "page_id", "chunk", "pos", "page_number", "status", "reason",
         F.when(ink, labels.compose_name("name", "presentation"))
          .otherwise(F.col("name")).alias("name"),
         unless(jumbo_no_name | jumbo_no_price, "price").alias("price"),

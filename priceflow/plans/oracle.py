@@ -143,7 +143,7 @@ parsed AS (SELECT *, CASE WHEN reason IS NULL THEN 'ok' WHEN site IN ('jumbo', '
 labelled AS (SELECT * EXCLUDE (category, sub_category), {category} AS category,
                     {sub_category} AS sub_category FROM parsed),
 product_rows AS (
-  SELECT site, page_id, chunk, pos, status, reason,
+  SELECT site, page_id, chunk, pos, page_number, status, reason,
          CASE WHEN site = 'inkafarma' THEN {d.compose_name('name', 'presentation')} ELSE name END AS name,
          {unless(f"{j_no_name} OR {j_no_price}", "price")} AS price,
          {unless(j_no_name, "unit_price")} AS unit_price,

@@ -24,10 +24,11 @@ PIPELINE_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "priceflow",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, driver_memory: str = "12g") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
+        # local mode: the driver JVM is the only executor
+        builder = builder.master(master).config("spark.driver.memory", driver_memory)
     for key, value in PIPELINE_CONF.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
