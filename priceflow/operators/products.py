@@ -179,8 +179,17 @@ def to_product_rows(parsed: DataFrame, site_rule: DataFrame) -> DataFrame:
         "country")
 
 
+def finished(df: DataFrame) -> DataFrame:
+    """Hand the columns on as generator output (``inline`` of a one-element
+    array), which Catalyst treats as a barrier: a later filter on ``status``
+    or ``category`` stays above it instead of being pushed down with the
+    whole parse inlined into the predicate (which would parse every card
+    twice).  Deterministic, no shuffle, no extra pass over the data."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def product_prices(snapshots: DataFrame, site_rule: DataFrame) -> DataFrame:
     """Snapshots -> all product rows (kept and rejected), one pass, no shuffle
     apart from the broadcast of the fixed-size site table."""
     from priceflow.operators.extract import card_fields, explode_cards
-    return to_product_rows(parse_cards(card_fields(explode_cards(snapshots))), site_rule)
+    return finished(to_product_rows(parse_cards(card_fields(explode_cards(snapshots))), site_rule))

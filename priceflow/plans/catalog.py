@@ -24,7 +24,6 @@ from priceflow.operators.products import attach_retailer, product_prices
 from priceflow.plans import duck as d
 from priceflow.plans import oracle as o
 from priceflow.sources import fixtures as fx
-from priceflow.session import ensure_checkpoint_dir
 from priceflow.sources import sink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,16 +62,8 @@ CARD_KEY = ["page_id", "chunk", "pos"]
 
 
 def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All price rows, materialized once (reliable checkpoint).
-
-    Filters on parsed columns (status, category, ...) would otherwise be
-    pushed below the parsing projections with the whole parse inlined into
-    the predicate, parsing every card twice.  In production the sink's
-    written table plays this part.
-    """
-    rows = product_prices(fx.page_snapshot(spark, sf_dir), fx.site_rule(spark))
-    ensure_checkpoint_dir(spark)
-    return rows.checkpoint(eager=True)
+    """All price rows (kept and rejected) of the captured pages."""
+    return product_prices(fx.page_snapshot(spark, sf_dir), fx.site_rule(spark))
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -826,3 +817,16 @@ LIMIT_N = 500
 def limit_items(spark, sf_dir):
     rows = product_rows(spark, sf_dir).where(F.col("status") != "rejected")
     return policy.limit_items(rows, LIMIT_N).select("site", *CARD_KEY, "name", "price")
+
+
+# ---------------------------------------------------------------------------
+# T: streaming
+# ---------------------------------------------------------------------------
+
+@register("stream_append", _QUERIES["append_country_table"][1])
+def stream_append(spark, sf_dir):
+    """The snapshots arrive as files; a Structured Streaming query
+    (availableNow) appends the kept rows to the country-partitioned sink.
+    Must equal the batch sink frame."""
+    from priceflow.streaming.stream import stream_append as run
+    return run(spark, fx.page_snapshot(spark, sf_dir), fx.site_rule(spark))
