@@ -40,6 +40,12 @@ def first_match(c: Column | str, pattern: str, group: int = 1) -> Column:
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
+def first_text(c: Column | str, pattern: str, group: int = 1) -> Column:
+    """First match of a pattern where an empty text counts as missing:
+    one scan instead of ``first_match``'s two."""
+    return blank_to_null(F.regexp_extract(col(c), pattern, group))
+
+
 def all_matches(c: Column | str, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(col(c), F.lit(pattern), group)
 

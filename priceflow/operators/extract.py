@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from priceflow.functions.text import blank_to_null, first_match, text_nodes
+from priceflow.functions.text import first_match, first_text, text_nodes
 
 JUMBO_SITES = ("jumbo", "jumbocl")
 FALABELLA_SITES = ("falabella", "falabellacol")
@@ -119,7 +119,7 @@ def card_fields(cards: DataFrame) -> DataFrame:
     site, card = F.col("site"), F.col("card")
 
     def first(pattern: str) -> Column:
-        return blank_to_null(first_match(card, pattern, 1))
+        return first_text(card, pattern, 1)
 
     name_raw = by_site(site, {
         JUMBO_SITES: first(NAME_PATTERN["jumbo"]),
@@ -139,7 +139,7 @@ def card_fields(cards: DataFrame) -> DataFrame:
         "inkafarma": first(PRICE_PATTERN["inkafarma"]),
     })
     unit_price_raw = by_site(site, {
-        JUMBO_SITES: first_match(card, UNIT_PRICE_DIV, 1),
+        JUMBO_SITES: first_text(card, UNIT_PRICE_DIV, 1),
         "cruzverde": first(CRUZVERDE_UNIT_PRICE),
     })
     unit_ref_raw = by_site(site, {"plaza_vea": first(PLAZA_VEA_UNIT_REFERENCE)})

@@ -2,24 +2,30 @@
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a
 key to one task; when one category holds a third of the crawl, that task
-holds a third of the data.  Here the rows are range-partitioned on
-(key, order) instead, so a hot key spreads over many tasks:
-
-1. ``repartitionByRange`` on key + order; each task holds a sorted slice.
-   The slice id is written down with a reliable ``checkpoint()`` (in the
-   cluster's ``spark.checkpoint.dir``): both uses below must see the same
-   slice of every row, and a second evaluation of the range exchange (the
-   two uses prune columns differently, so Spark does not reuse it) may cut
-   at other bounds.  The checkpoint also cuts the lineage, so a lost
-   executor does not replay the job from the scan.
+holds a third of the data.  Here the rows of a key are cut into slices
+along the order, each slice is numbered on its own, and slices are stitched
+together with offsets:
+
+1. Slice bounds: a small sample of (key, order) values (about 20 rows per
+   slice, a bounded amount) is sorted on the driver and every n-th value
+   becomes a bound.  A row's slice is a binary search over these literal
+   bounds: a pure function of the row, so every recomputation - a second
+   use of the same rows, or a task re-run after a lost executor - puts the
+   row in the same slice, with no checkpoint and no range exchange.  The
+   slice never decreases along (key, order), so each slice is a contiguous
+   run of the order; a hot key is spread over many slices.
 2. A window on (slice, key) gives the running value inside the slice.
-3. Per (slice, key) totals (one row each, a small table) are turned into
-   offsets with a window over slices; a key spans at most all slices.
-4. Offsets are joined back by (slice, key); AQE broadcasts them when its
-   runtime statistics show they are small, else the join shuffles.
+3. Per (slice, key) totals are turned into offsets with a window over
+   slices (a key spans at most all slices, so these groups are small).
+4. Only a key that runs over a slice bound has a non-zero offset, and each
+   slice starts with at most one such key: the offset table has at most one
+   row per slice, a proven bound, so it is broadcast and the rows are not
+   shuffled again.
 
 The result equals the plain window exactly, as long as ``order`` is a total
-order within the key (add a unique column as the last tie breaker).
+order within the key (add a unique column as the last tie breaker).  Rows
+that tie on every order column are interchangeable and may be numbered in
+any order among themselves.
 """
 
 from __future__ import annotations
@@ -28,8 +34,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from priceflow.session import ensure_checkpoint_dir
+SAMPLE_PER_SLICE = 20
+_BOUND_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType)
 
 
 def _num_slices(df: DataFrame, num_slices: int | None) -> int:
@@ -38,35 +47,90 @@ def _num_slices(df: DataFrame, num_slices: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+def _literal(value, dtype: T.DataType) -> Column:
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.expr(f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'")
+    if isinstance(dtype, T.DateType):
+        return F.expr(f"DATE '{value.isoformat()}'")
+    return F.lit(value).cast(dtype)
+
+
+def _sort_key(row: tuple) -> tuple:
+    # Spark's ascending order puts NULL first
+    return tuple((v is not None, v if v is not None else 0) for v in row)
+
+
+def slice_bounds(df: DataFrame, cols: Sequence[str], n: int, seed: int = 17) -> list[tuple]:
+    """About ``n`` equal slices of ``df`` along ``cols``: the n-1 bounds."""
+    if n <= 1:
+        return []
+    total = df.count()
+    if total == 0:
+        return []
+    fraction = min(1.0, SAMPLE_PER_SLICE * n / total)
+    sample = sorted((tuple(r) for r in df.select(*cols).sample(False, fraction, seed).collect()),
+                    key=_sort_key)
+    if not sample:
+        return []
+    bounds = []
+    for i in range(1, n):
+        b = sample[(i * len(sample)) // n]
+        if not bounds or _sort_key(b) > _sort_key(bounds[-1]):
+            bounds.append(b)
+    return bounds
+
+
+def slice_of(cols: Sequence[str], types: Sequence[T.DataType], bounds: list[tuple]) -> Column:
+    """Number of bounds <= the row's (cols) value, by binary search."""
+    row = F.struct(*[F.col(c) for c in cols])
+    lits = [F.struct(*[_literal(v, t).alias(c) for v, t, c in zip(b, types, cols)]) for b in bounds]
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(row < lits[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(bounds))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 value: str | Column, out: str, num_slices: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows of the same key up to this one."""
-    keys = list(keys)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    keys, order = list(keys), list(order)
     val = F.col(value) if isinstance(value, str) else value
     n = _num_slices(df, num_slices)
 
-    sliced = (df.withColumn("_v", val)
-              .repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
-              .withColumn("_slice", F.spark_partition_id()))
-    ensure_checkpoint_dir(df.sparkSession)
-    sliced = sliced.checkpoint(eager=True)
-    in_slice = (Window.partitionBy("_slice", *keys).orderBy(*order_cols)
+    # bounds on the longest prefix of (keys, order) made of plain types
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    prefix = []
+    for c in keys + order:
+        if not isinstance(schema[c], _BOUND_TYPES):
+            break
+        prefix.append(c)
+    bounds = slice_bounds(df, prefix, n) if prefix else []
+    sliced = df.withColumn("_v", val).withColumn(
+        "_slice", slice_of(prefix, [schema[c] for c in prefix], bounds) if bounds else F.lit(0))
+
+    in_slice = (Window.partitionBy("_slice", *keys).orderBy(*order)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.withColumn("_local", F.sum("_v").over(in_slice))
 
-    totals = local.groupBy("_slice", *keys).agg(F.sum("_v").alias("_total"))
+    totals = sliced.groupBy("_slice", *keys).agg(F.sum("_v").alias("_total"))
     before = (Window.partitionBy(*keys).orderBy("_slice")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (totals.withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0)))
+    offsets = (totals.withColumn("_offset", F.sum("_total").over(before))
+               .where(F.col("_offset").isNotNull() & (F.col("_offset") != 0))
                .drop("_total"))
 
-    return (local.join(offsets, ["_slice", *keys], "inner")
-            .withColumn(out, F.col("_local") + F.col("_offset"))
+    return (local.join(F.broadcast(offsets), ["_slice", *keys], "left")
+            .withColumn(out, F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0)))
             .drop("_slice", "_local", "_offset", "_v"))
 
 
-def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     out: str, num_slices: int | None = None) -> DataFrame:
     """Add ``out`` = 1, 2, 3, ... within each key in ``order`` (row_number)."""
     return running_sum(df, keys, order, F.lit(1).cast("bigint"), out, num_slices)

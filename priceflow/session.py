@@ -20,6 +20,9 @@ PIPELINE_CONF = {
     # The HTML rows are large; keep scan splits at a size a task can hold.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
+    # The per-site CASE projections generate long methods; above 8000 bytes
+    # the JVM will not JIT-compile them, so let Spark split such stages.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -299,9 +299,10 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    joined = li.join(part, li.l_partkey == part.p_partkey, "inner")
-    numbered = sequence_number(joined, ["l_orderkey"], LINE_ORDER, "seq")
-    base = _select(numbered, card_base_exprs(d))
+    # number the narrow lineitem rows first, then add the part columns
+    numbered = sequence_number(li, ["l_orderkey"], LINE_ORDER, "seq")
+    joined = numbered.join(part, numbered.l_partkey == part.p_partkey, "inner")
+    base = _select(joined, card_base_exprs(d))
     texts = _keep_and_add(base, card_text_exprs(d))
     return texts.selectExpr("*", f"{card_html_expr(d)} AS card_html")
 
