@@ -5,10 +5,11 @@ category.  Here the visited pages are a table, ``crawl_log(site, category,
 page_number, products_found, active_page, ...)`` with page numbers 1, 2, ...
 per category, and each rule is a join or an aggregate over it.
 
-Neighbouring pages are matched with an equi-join on (site, category,
-page_number - k) instead of ``lag`` over a window: the join key includes
-the page number, so a category holding a third of the log is spread over
-all tasks instead of landing in one.
+Neighbouring pages are matched by emitting each page under the page
+numbers it relates to and grouping by (site, category, page_number), instead
+of ``lag`` over a window: the grouping key includes the page number, so a
+category holding a third of the log is spread over all tasks instead of
+landing in one, and the log is read once.
 """
 
 from __future__ import annotations
@@ -26,11 +27,6 @@ from priceflow.operators.numbering import running_sum
 KEYS = ("site", "category")
 
 
-def _shifted(df: DataFrame, keys: Sequence[str], page: str, by: int) -> DataFrame:
-    """The same pages, renumbered as if seen ``by`` pages later."""
-    return df.withColumn(page, (F.col(page) + by).cast(df.schema[page].dataType))
-
-
 def stop_on_empty_pages(log: DataFrame, keys: Sequence[str] = KEYS, page: str = "page_number",
                         found: str = "products_found", run: int = rules.MAX_CONSECUTIVE_EMPTY,
                         max_pages: int = rules.MAX_PAGES) -> DataFrame:
@@ -40,22 +36,39 @@ def stop_on_empty_pages(log: DataFrame, keys: Sequence[str] = KEYS, page: str =
     the category (a good page resets the count); at most ``max_pages`` pages
     are read; otherwise the last page ends it.  One row per category:
     (keys, last_page, stop_page, stop_reason).
+
+    One pass over the log: an empty page p is a member of the runs that
+    would end at p, p+1, ..., p+run-1, so it is exploded into those
+    candidate ends; a candidate with ``run`` members is a run end.  The
+    first aggregate is keyed by page (no skew), the second, per category,
+    is a partial aggregate.
     """
     keys = list(keys)
-    empty = log.where(F.col(found) == 0).select(*keys, page)
-    ends = empty
-    for k in range(1, run):
-        ends = ends.join(_shifted(empty, keys, page, k), [*keys, page], "left_semi")
-    first_end = ends.groupBy(*keys).agg(F.min(page).alias("first_run_end"))
-    pages = log.groupBy(*keys).agg(F.max(page).alias("last_page"))
+    p, empty = F.col(page), (F.col(found) == 0).cast("int")
+
+    def entry(end, is_page, member):
+        return F.struct(end.alias("_end"), F.lit(is_page).alias("_page"), member.alias("_empty"))
+
+    # the page itself (a page, and a run member if empty), then the later
+    # run ends it belongs to when it is empty
+    later = F.when(F.col(found) == 0, F.array(*[entry(p + k, 0, F.lit(1)) for k in range(1, run)]))
+    entries = F.concat(F.array(entry(p, 1, empty)), F.coalesce(later, F.array().cast(
+        "array<struct<_end:int,_page:int,_empty:int>>")))
+    exploded = log.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.*")
+    ends = (exploded.groupBy(*keys, "_end")
+            .agg(F.max("_page").alias("_is_page"), F.sum("_empty").alias("_members")))
+    per_cat = ends.groupBy(*keys).agg(
+        F.max(F.when(F.col("_is_page") == 1, F.col("_end"))).alias("last_page"),
+        F.min(F.when((F.col("_members") >= run) & (F.col("_is_page") == 1), F.col("_end")))
+         .alias("first_run_end"))
     limit = F.least(F.col("last_page"), F.lit(max_pages))
     by_run = F.col("first_run_end").isNotNull() & (F.col("first_run_end") <= limit)
-    return (pages.join(first_end, keys, "left")
-            .select(*keys, "last_page",
-                    F.when(by_run, F.col("first_run_end")).otherwise(limit).cast("int").alias("stop_page"),
-                    F.when(by_run, F.lit("empty_pages"))
-                     .when(F.col("last_page") > max_pages, F.lit("max_pages"))
-                     .otherwise(F.lit("last_page")).alias("stop_reason")))
+    return per_cat.select(
+        *keys, F.col("last_page").cast("int").alias("last_page"),
+        F.when(by_run, F.col("first_run_end")).otherwise(limit).cast("int").alias("stop_page"),
+        F.when(by_run, F.lit("empty_pages"))
+         .when(F.col("last_page") > max_pages, F.lit("max_pages"))
+         .otherwise(F.lit("last_page")).alias("stop_reason"))
 
 
 def category_summary(rows: DataFrame, keys: Sequence[str] = ("site", "category", "sub_category"),
@@ -100,13 +113,23 @@ def next_page(html: Column | str) -> tuple[Column, Column, Column]:
 def page_advance_check(log: DataFrame, keys: Sequence[str] = KEYS, page: str = "page_number",
                        active: str = "active_page") -> DataFrame:
     """C14: a move to the next page is good only if the pager then shows
-    the expected number (the previous active page + 1)."""
+    the expected number (the previous active page + 1).
+
+    One pass: every page is emitted as itself at p and as the previous page
+    at p+1; grouping by (keys, page) pairs them without a self-join.
+    """
     keys = list(keys)
-    prev = _shifted(log.select(*keys, page, F.col(active).alias("prev_active")), keys, page, 1)
-    return (log.join(prev, [*keys, page], "inner")
-            .select(*keys, page, (F.col("prev_active") + 1).alias("expected_page"),
-                    F.col(active).alias("active_page"),
-                    (F.col(active) == F.col("prev_active") + 1).alias("moved_ok")))
+    both = log.select(*keys, F.explode(F.array(
+        F.struct(F.col(page).alias("_p"), F.col(active).alias("_cur"), F.lit(None).cast("int").alias("_prev")),
+        F.struct((F.col(page) + 1).alias("_p"), F.lit(None).cast("int").alias("_cur"),
+                 F.col(active).cast("int").alias("_prev")))).alias("_e")).select(*keys, "_e.*")
+    paired = (both.groupBy(*keys, "_p")
+              .agg(F.max("_cur").alias("_cur"), F.max("_prev").alias("_prev"))
+              .where(F.col("_cur").isNotNull() & F.col("_prev").isNotNull()))
+    return paired.select(
+        *keys, F.col("_p").cast(log.schema[page].dataType).alias(page),
+        (F.col("_prev") + 1).alias("expected_page"), F.col("_cur").alias("active_page"),
+        (F.col("_cur") == F.col("_prev") + 1).alias("moved_ok"))
 
 
 def classify_failures(requests: DataFrame, error: str = "error_type", retries: str = "retry_count",
