@@ -49,7 +49,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = get_spark(f"local[{cpus}]", app="priceflow-bench", shuffle_partitions=max(2 * cpus, 8))
-    run(spark, "product_price", "/root/testdata/sf0.001")   # JVM warm-up, not counted
+    run(spark, "product_price", "/root/testdata/sf0.01")    # JVM / JIT warm-up, not counted
     times = {name: round(run(spark, name, sf_dir), 3) for name in names}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
