@@ -64,6 +64,10 @@ def union_seed_lists(seeds: DataFrame, parts: Sequence[str] = ("1", "2", "electr
     return out
 
 
+BROADCAST_PICKS_MAX = 100_000
+PICK_SALTS = 64
+
+
 def seed_selector(requests: DataFrame, seeds: DataFrame, scope: str = "supermarket",
                   electro: str = "electronic") -> DataFrame:
     """pick seed lists by the run's (category, part) arguments.
@@ -71,6 +75,13 @@ def seed_selector(requests: DataFrame, seeds: DataFrame, scope: str = "supermark
     ``category`` is tested as a substring of the scope word ('super' picks
     the supermarket lists), then ``part``; no category picks every list; no
     match picks none.  One row per (run, seed).
+
+    The join key ``part`` has three values, so a plain shuffle join would
+    put a third of the seeds in one task.  The picks (runs x lists) are
+    counted: up to ``BROADCAST_PICKS_MAX`` rows they are broadcast and the
+    seeds stream past them; beyond that each seed gets a deterministic salt
+    and the picks are repeated once per salt, so every list is spread over
+    ``PICK_SALTS`` tasks.
     """
     cat, part = F.col("category"), F.col("part")
     none = cat.isNull() | (cat == "")
@@ -81,7 +92,12 @@ def seed_selector(requests: DataFrame, seeds: DataFrame, scope: str = "supermark
               .when(F.lit(electro).contains(cat), F.array(F.lit("electro")))
               .otherwise(F.array().cast("array<string>")))
     picks = requests.select("run_id", F.explode(chosen).alias("part"))
-    return picks.join(seeds.withColumnRenamed("category", "seed_category"), "part", "inner")
+    seeds = seeds.withColumnRenamed("category", "seed_category")
+    if picks.count() <= BROADCAST_PICKS_MAX:
+        return seeds.join(F.broadcast(picks), "part", "inner")
+    salted = seeds.withColumn("_salt", F.pmod(F.xxhash64(*seeds.columns), F.lit(PICK_SALTS)))
+    spread = picks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PICK_SALTS - 1))))
+    return salted.join(spread, ["part", "_salt"], "inner").drop("_salt")
 
 
 def number_requests(requests: DataFrame, keys: Sequence[str], order: Sequence[str],

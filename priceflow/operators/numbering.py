@@ -7,8 +7,8 @@ along the order, each slice is numbered on its own, and slices are stitched
 together with offsets:
 
 1. Slice bounds: a small sample of (key, order) values (about 20 rows per
-   slice, a bounded amount) is sorted on the driver and every n-th value
-   becomes a bound.  A row's slice is a binary search over these literal
+   slice, a bounded amount) is sorted by Spark and collected, and every
+   n-th value becomes a bound.  A row's slice is a binary search over these literal
    bounds: a pure function of the row, so every recomputation - a second
    use of the same rows, or a task re-run after a lost executor - puts the
    row in the same slice, with no checkpoint and no range exchange.  The
