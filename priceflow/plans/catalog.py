@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from priceflow import rules
 from priceflow.functions import labels, price, quantity
-from priceflow.functions.text import first_match, strip_text
+from priceflow.functions.text import first_match, first_text, strip_text, text_nodes
 from priceflow.operators import crawl_log as cl
+from priceflow.operators import extract as ex
 from priceflow.operators import frontier as fr
 from priceflow.operators import policy
 from priceflow.operators.extract import FALABELLA_SITES, JUMBO_SITES, breadcrumbs, card_fields, explode_cards
@@ -201,20 +202,19 @@ _b_cat, _b_sub = d.breadcrumb_category("crumbs", "url")
 
 @register("breadcrumb_category", W(
     f"SELECT page_id, chunk, {_b_cat} AS category, {_b_sub} AS sub_category FROM ("
-    f" SELECT page_id, chunk, url, {d.breadcrumbs('html')} AS crumbs FROM page_snapshot"
-    " WHERE site IN ('jumbo', 'jumbocl'))"))
+    f" SELECT page_id, chunk, url, {d.breadcrumbs('html')} AS crumbs FROM page_snapshot)"))
 def breadcrumb_category(spark, sf_dir):
-    s = fx.page_snapshot(spark, sf_dir).where(F.col("site").isin(*JUMBO_SITES))
+    """P5 on every page; a page without breadcrumbs falls back to its URL."""
+    s = fx.page_snapshot(spark, sf_dir)
     cat, sub = labels.breadcrumb_category(breadcrumbs("html"), "url")
     return s.select(*PAGE_KEY, cat.alias("category"), sub.alias("sub_category"))
 
 
 @register("constant_category", W(
-    "SELECT page_id, chunk, pos, category, sub_category FROM product_rows WHERE site = 'inkafarma'",
-    products=True))
+    "SELECT site, page_id, chunk, pos, category, sub_category FROM product_rows", products=True))
 def constant_category(spark, sf_dir):
-    return (product_rows(spark, sf_dir).where(F.col("site") == "inkafarma")
-            .select(*CARD_KEY, "category", "sub_category"))
+    """Labels of every row; Inkafarma's are the constant ones."""
+    return product_rows(spark, sf_dir).select("site", *CARD_KEY, "category", "sub_category")
 
 
 @register("compose_name", W(
@@ -302,9 +302,9 @@ SPECIAL_IN_QUERY = "MEDIUM"
     " SELECT page_id, chunk, unnest(list_transform(["
     + ", ".join(d.lit(x) for x in rules.CRUZVERDE_SPECIAL_LINKS)
     + "], lambda u, i: struct_pack(i := i, u := u))) AS l"
-    f" FROM page_snapshot WHERE site = 'cruzverde' AND category = '{SPECIAL_IN_QUERY}')"))
+    f" FROM page_snapshot WHERE category = '{SPECIAL_IN_QUERY}')"))
 def special_category_pick(spark, sf_dir):
-    s = fx.page_snapshot(spark, sf_dir).where(F.col("site") == "cruzverde")
+    s = fx.page_snapshot(spark, sf_dir)
     return fr.special_category_pick(s, SPECIAL_IN_QUERY).select(
         *PAGE_KEY, "link_pos", "link_url", "sub_category")
 
@@ -374,24 +374,38 @@ def field_first(spark, sf_dir):
     return fields(spark, sf_dir).select(*CARD_KEY, "name_raw")
 
 
+_last_text = (d.text_nodes(f"array_to_string({d.all_matches('card', ex.SELLING_PRICE_DIV, 1)}, '')")
+              + "[-1]")
+
+
 @register("field_last", W(
-    "SELECT page_id, chunk, pos, price_raw FROM fields WHERE site IN ('jumbo', 'jumbocl')", products=True))
+    f"SELECT page_id, chunk, pos, {_last_text} AS price_text FROM exploded", products=True))
 def field_last(spark, sf_dir):
-    return fields(spark, sf_dir).where(F.col("site").isin(*JUMBO_SITES)).select(*CARD_KEY, "price_raw")
+    """X3 on every card: the last text of the selling-price elements."""
+    e = explode_cards(fx.page_snapshot(spark, sf_dir))
+    texts = text_nodes(F.array_join(F.regexp_extract_all("card", F.lit(ex.SELLING_PRICE_DIV), 1), ""))
+    return e.select(*CARD_KEY, F.try_element_at(texts, F.lit(-1)).alias("price_text"))
 
 
 @register("field_attribute", W(
-    "SELECT page_id, chunk, pos, price_raw FROM fields WHERE site = 'plaza_vea'", products=True))
+    f"SELECT page_id, chunk, pos, {d.first('card', ex.PRICE_PATTERN['plaza_vea'], 1)} AS data_price"
+    " FROM exploded", products=True))
 def field_attribute(spark, sf_dir):
-    return fields(spark, sf_dir).where(F.col("site") == "plaza_vea").select(*CARD_KEY, "price_raw")
+    """X4 on every card: the ``data-price`` attribute ('' when empty)."""
+    e = explode_cards(fx.page_snapshot(spark, sf_dir))
+    return e.select(*CARD_KEY, first_match("card", ex.PRICE_PATTERN["plaza_vea"], 1).alias("data_price"))
+
+
+_unit_ref = d.strip(d.blank_null(f"regexp_extract(card, {d.lit(ex.PLAZA_VEA_UNIT_REFERENCE)}, 1)"))
 
 
 @register("field_optional", W(
-    f"SELECT page_id, chunk, pos, coalesce({d.strip('unit_ref_raw')}, '') AS unit_reference FROM fields"
-    " WHERE site = 'plaza_vea'", products=True))
+    f"SELECT page_id, chunk, pos, coalesce({_unit_ref}, '') AS unit_reference FROM exploded", products=True))
 def field_optional(spark, sf_dir):
-    f = fields(spark, sf_dir).where(F.col("site") == "plaza_vea")
-    return f.select(*CARD_KEY, F.coalesce(strip_text("unit_ref_raw"), F.lit("")).alias("unit_reference"))
+    """X5 on every card: an absent unit reference reads as ''."""
+    e = explode_cards(fx.page_snapshot(spark, sf_dir))
+    ref = strip_text(first_text("card", ex.PLAZA_VEA_UNIT_REFERENCE, 1))
+    return e.select(*CARD_KEY, F.coalesce(ref, F.lit("")).alias("unit_reference"))
 
 
 @register("strip_text", W(
@@ -461,10 +475,10 @@ TOTAL_COUNT = r'<div class="[^"]*totalProducts--layout[^"]*"><span>([^<]*)</span
 
 @register("count_from_text", W(
     f"SELECT page_id, chunk, count_text, {d.count_from_text('count_text')} AS products FROM ("
-    f" SELECT page_id, chunk, {d.first('html', TOTAL_COUNT, 1)} AS count_text FROM page_snapshot"
-    " WHERE site IN ('jumbo', 'jumbocl'))"))
+    f" SELECT page_id, chunk, {d.first('html', TOTAL_COUNT, 1)} AS count_text FROM page_snapshot)"))
 def count_from_text(spark, sf_dir):
-    s = fx.page_snapshot(spark, sf_dir).where(F.col("site").isin(*JUMBO_SITES))
+    """N7 on every page; a page without a product count reads 0."""
+    s = fx.page_snapshot(spark, sf_dir)
     s = s.select(*PAGE_KEY, first_match("html", TOTAL_COUNT, 1).alias("count_text"))
     return s.select(*PAGE_KEY, "count_text", price.count_from_text("count_text").alias("products"))
 
@@ -685,7 +699,7 @@ def last_child_label(spark, sf_dir):
     f"SELECT page_id, chunk, products, CASE WHEN products > {rules.DISCOVER_THRESHOLD} THEN 'discover'"
     " ELSE 'direct' END AS route FROM ("
     f" SELECT page_id, chunk, {d.count_from_text(d.first('html', TOTAL_COUNT, 1))} AS products"
-    " FROM page_snapshot WHERE site IN ('jumbo', 'jumbocl'))"))
+    " FROM page_snapshot)"))
 def route_by_size(spark, sf_dir):
     c = count_from_text(spark, sf_dir)
     return c.select(*PAGE_KEY, "products", fr.route_by_size("products").alias("route"))
@@ -742,9 +756,10 @@ _last = ("list_max(list_transform(list_filter(" + d.all_matches("html", cl.ANY_P
     " CASE WHEN current_page < last_page THEN current_page + 1 END AS next_page FROM ("
     f" SELECT page_id, chunk, cur AS current_page,"
     f" CASE WHEN cur IS NOT NULL THEN coalesce(mx, cur) END AS last_page FROM ("
-    f" SELECT page_id, chunk, {_cur} AS cur, {_last} AS mx FROM page_snapshot WHERE site = 'plaza_vea'))"))
+    f" SELECT page_id, chunk, {_cur} AS cur, {_last} AS mx FROM page_snapshot))"))
 def next_page(spark, sf_dir):
-    s = fx.page_snapshot(spark, sf_dir).where(F.col("site") == "plaza_vea")
+    """C13 on every page; a page without a pager has no next page."""
+    s = fx.page_snapshot(spark, sf_dir)
     cur, last, nxt = cl.next_page("html")
     return s.select(*PAGE_KEY, cur.alias("current_page"), last.alias("last_page"), nxt.alias("next_page"))
 

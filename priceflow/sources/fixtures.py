@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from priceflow import rules
+from priceflow.operators.frontier import MENU_LINK_PATTERN, menu_links  # noqa: F401 (used by the oracle)
 from priceflow.operators.numbering import sequence_number
 
 
@@ -381,12 +382,8 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(ev, request_log_exprs(d))
 
 
-MENU_LINK_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a>'
-
-
 def menu_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Navigation anchors of ``pages``: (page_id, url, pos, href, text)."""
-    from priceflow.operators.frontier import menu_links
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return menu_links(pages)
 
