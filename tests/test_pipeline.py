@@ -80,3 +80,22 @@ def test_matches_duckdb_oracle(spark, name):
     a = sorted(map(repr, (tuple(r[c] for c in cols) for r in got.collect())))
     b = sorted(map(repr, (tuple(dict(zip(rel.columns, r))[c] for c in cols) for r in rel.fetchall())))
     assert a == b
+
+
+def test_sink_row_fills_missing_columns(spark):
+    df = spark.createDataFrame([("Arroz", 10.0, "peru")], "name string, price double, country string")
+    out = sink.project_sink_row(df, keep=("country",))
+    assert out.columns == [c for c, _ in sink.SINK_COLUMNS] + ["country"]
+    r = out.first()
+    assert (r.name, r.price, r.unit_price, r.comercial_id, r.country) == ("Arroz", 10.0, None, None, "peru")
+
+
+def test_unknown_site_is_routed_to_rejects(spark):
+    from priceflow.operators.products import attach_retailer
+    rows = spark.createDataFrame([("jumbo", "ok", None), ("nowhere", "ok", None)],
+                                 "site string, status string, reason string")
+    routed, unrouted = sink.route_by_country(attach_retailer(rows, fx.site_rule(spark)))
+    assert [r.site for r in routed.collect()] == ["jumbo"]
+    assert [(r.site, r.reason) for r in unrouted.collect()] == [("nowhere", "no_country")]
+    _, bad = sink.isolate_bad_rows(attach_retailer(rows, fx.site_rule(spark)))
+    assert [r.site for r in bad.collect()] == ["nowhere"]
