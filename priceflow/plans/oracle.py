@@ -49,7 +49,7 @@ crawl_log AS (
                AS page_number FROM crawl_base)),
 request_log AS (SELECT {_sel(fx.request_log_exprs(DD))} FROM events WHERE event_type = 'error'),
 menu_link AS (
-  SELECT page_id, url, m.pos AS pos, m.href AS href, m.text AS text FROM (
+  SELECT page_id, url, cast(m.pos AS INTEGER) AS pos, m.href AS href, m.text AS text FROM (
     SELECT page_id, url, unnest(list_transform(
         {d.all_matches('html', fx.MENU_LINK_PATTERN, 1)},
         lambda h, i: struct_pack(pos := i, href := h,
