@@ -7,8 +7,8 @@ along the order, each slice is numbered on its own, and slices are stitched
 together with offsets:
 
 1. Slice bounds: a small sample of (key, order) values (about 20 rows per
-   slice, a bounded amount) is sorted by Spark and collected, and every
-   n-th value becomes a bound.  A row's slice is a binary search over these literal
+   slice, a bounded amount) is collected and sorted in Spark's order, and
+   every n-th value becomes a bound.  A row's slice is a binary search over these literal
    bounds: a pure function of the row, so every recomputation - a second
    use of the same rows, or a task re-run after a lost executor - puts the
    row in the same slice, with no checkpoint and no range exchange.  The
@@ -30,6 +30,7 @@ any order among themselves.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,6 +58,23 @@ def _literal(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def _spark_order(value) -> tuple:
+    """Sort key giving Spark's ascending order for the bound types: NULL
+    first, NaN above every number, strings by code point (the same as
+    Spark's UTF-8 byte order)."""
+    if value is None:
+        return (0,)
+    if isinstance(value, float) and math.isnan(value):
+        return (1, 1)
+    if isinstance(value, float) and value == 0.0:
+        return (1, 0, 0.0)                       # -0.0 sorts with 0.0
+    return (1, 0, value)
+
+
+def _row_order(row: tuple) -> tuple:
+    return tuple(_spark_order(v) for v in row)
+
+
 def slice_bounds(df: DataFrame, cols: Sequence[str], n: int, seed: int = 17) -> list[tuple]:
     """About ``n`` equal slices of ``df`` along ``cols``: the n-1 bounds."""
     if n <= 1:
@@ -65,16 +83,15 @@ def slice_bounds(df: DataFrame, cols: Sequence[str], n: int, seed: int = 17) ->
     if total == 0:
         return []
     fraction = min(1.0, SAMPLE_PER_SLICE * n / total)
-    # sorted by Spark itself, so the bounds follow Spark's order exactly
-    # (NULLs first, NaN last); the sample is small (about 20 rows per slice)
-    sample = [tuple(r) for r in df.select(*cols).sample(False, fraction, seed)
-              .orderBy(*cols).collect()]
+    # the sample is small (about 20 rows per slice); sorted here in Spark's order
+    sample = sorted((tuple(r) for r in df.select(*cols).sample(False, fraction, seed).collect()),
+                    key=_row_order)
     if not sample:
         return []
     bounds = []
     for i in range(1, n):
         b = sample[(i * len(sample)) // n]
-        if not bounds or b != bounds[-1]:
+        if not bounds or _row_order(b) != _row_order(bounds[-1]):
             bounds.append(b)
     return bounds
 
@@ -120,11 +137,15 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (totals.withColumn("_offset", F.sum("_total").over(before))
                .where(F.col("_offset").isNotNull() & (F.col("_offset") != 0))
-               .drop("_total"))
+               .select(*[F.col(c).alias(f"_o_{c}") for c in ["_slice", *keys]], "_offset"))
 
-    return (local.join(F.broadcast(offsets), ["_slice", *keys], "left")
+    # null-safe: a NULL key is a key like any other here
+    cond = F.col("_slice") == F.col("_o__slice")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    return (local.join(F.broadcast(offsets), cond, "left")
             .withColumn(out, F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0)))
-            .drop("_slice", "_local", "_offset", "_v"))
+            .drop("_slice", "_local", "_offset", "_v", *[f"_o_{c}" for c in ["_slice", *keys]]))
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],

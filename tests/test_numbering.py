@@ -24,3 +24,12 @@ def test_running_sum_with_signed_values(spark):
     w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     ref = df.withColumn("s", F.sum("x").over(w))
     assert got.select("k", "id", "x", "s").exceptAll(ref).count() == 0
+
+
+def test_bounds_follow_spark_order_with_nulls_and_nan(spark):
+    base = [(k, v) for k in (None, "a", "b") for v in (None, float("nan"), -1.0, 0.0, 2.5)] * 40
+    rows = [(k, v, i) for i, (k, v) in enumerate(base)]
+    df = spark.createDataFrame(rows, "k string, v double, id long")
+    got = sequence_number(df, ["k"], ["v", "id"], "n", num_slices=6)
+    ref = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")).cast("bigint"))
+    assert got.select("k", "v", "id", "n").exceptAll(ref.select("k", "v", "id", "n")).count() == 0
