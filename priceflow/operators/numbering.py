@@ -38,13 +38,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE_PER_SLICE = 20
+ROWS_PER_SLICE = 100_000     # when the caller does not fix the slice count
 _BOUND_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                 T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType)
 
 
-def _num_slices(df: DataFrame, num_slices: int | None) -> int:
-    if num_slices:
-        return num_slices
+def _max_slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -75,12 +74,17 @@ def _row_order(row: tuple) -> tuple:
     return tuple(_spark_order(v) for v in row)
 
 
-def slice_bounds(df: DataFrame, cols: Sequence[str], n: int, seed: int = 17) -> list[tuple]:
-    """About ``n`` equal slices of ``df`` along ``cols``: the n-1 bounds."""
-    if n <= 1:
-        return []
+def slice_bounds(df: DataFrame, cols: Sequence[str], n: int | None, seed: int = 17,
+                 max_slices: int | None = None) -> list[tuple]:
+    """About ``n`` equal slices of ``df`` along ``cols``: the n-1 bounds.
+
+    With ``n`` unset, about one slice per ``ROWS_PER_SLICE`` rows, at most
+    ``max_slices``: slices are sized by the data, not by the task count.
+    """
     total = df.count()
-    if total == 0:
+    if n is None:
+        n = min(max_slices or 1, -(-total // ROWS_PER_SLICE))
+    if n <= 1 or total == 0:
         return []
     fraction = min(1.0, SAMPLE_PER_SLICE * n / total)
     # the sample is small (about 20 rows per slice); sorted here in Spark's order
@@ -115,7 +119,6 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Add ``out`` = sum of ``value`` over rows of the same key up to this one."""
     keys, order = list(keys), list(order)
     val = F.col(value) if isinstance(value, str) else value
-    n = _num_slices(df, num_slices)
 
     # bounds on the longest prefix of (keys, order) made of plain types
     schema = {f.name: f.dataType for f in df.schema.fields}
@@ -124,7 +127,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         if not isinstance(schema[c], _BOUND_TYPES):
             break
         prefix.append(c)
-    bounds = slice_bounds(df, prefix, n) if prefix else []
+    bounds = slice_bounds(df, prefix, num_slices, max_slices=_max_slices(df)) if prefix else []
     sliced = df.withColumn("_v", val).withColumn(
         "_slice", slice_of(prefix, [schema[c] for c in prefix], bounds) if bounds else F.lit(0))
 
