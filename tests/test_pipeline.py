@@ -99,3 +99,13 @@ def test_unknown_site_is_routed_to_rejects(spark):
     assert [(r.site, r.reason) for r in unrouted.collect()] == [("nowhere", "no_country")]
     _, bad = sink.isolate_bad_rows(attach_retailer(rows, fx.site_rule(spark)))
     assert [r.site for r in bad.collect()] == ["nowhere"]
+
+
+def test_filter_on_parsed_column_stays_above_the_parse(spark):
+    """The ``inline`` barrier: a filter on ``status`` must not be pushed
+    down with the whole parse (regular expressions) inlined into it."""
+    rows = catalog.product_rows(spark, SF_SMALL).where(F.col("status") != "rejected")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "status" in line]
+    assert filters
+    assert all("regexp" not in line.lower() and "rlike" not in line.lower() for line in filters)
