@@ -9,14 +9,18 @@ between words.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import priceflow
 from priceflow.session import shared_path
 
 MASK = (1 << 64) - 1
@@ -46,6 +50,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package (once per application)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(priceflow.__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="priceflow-")) / "priceflow.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(target))  # the driver serves it; executors fetch their own copy
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -107,9 +134,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray,
-          lower: np.ndarray = KEEP_CASE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, hash) of every word of every text, in order."""
+def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: np.ndarray = KEEP_CASE,
+          prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """(start, end, hash) of every word of every text, in order.
+
+    For each size in ``prefixes`` the hash of the word's first bytes follows (0
+    where the word is not longer than that).
+    """
     n = len(data)
     inside = table[data]
     first, last = inside.copy(), inside.copy()
@@ -120,6 +151,7 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray,
     last[cuts - 1] = inside[cuts - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     hashes = np.empty(len(starts), np.uint64)
+    heads = [np.zeros(len(starts), np.uint64) for _ in prefixes]
     w = 0
     while w < len(starts):  # whole words, about BLOCK bytes at a time
         lo = starts[w]
@@ -134,8 +166,12 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray,
         np.cumsum(terms, out=sums[1:])
         s, e = starts[w:to] - lo, ends[w:to] - lo
         hashes[w:to] = mix((sums[e] - sums[s]) * inverse[s])
+        for size, head in zip(prefixes, heads):
+            longer = np.flatnonzero(e - s > size)
+            at = s[longer]
+            head[w + longer] = mix((sums[at + size] - sums[at]) * inverse[at] ^ np.uint64(size))
         w = to
-    return starts, ends, hashes
+    return starts, ends, hashes, *heads
 
 
 def word_hash(word: str, lower: np.ndarray = KEEP_CASE) -> int:

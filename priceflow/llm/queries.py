@@ -7,16 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceflow.llm import quality_rules, sharding
+from priceflow.llm import embedding_dedup, license_scan, lm_score, packing, quality_rules, sharding, toxicity
 from priceflow.llm.common import documents
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).drop("spans")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence",
+                         F.size("passages").cast("long").alias("n_passages"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(documents(spark, sf_dir), 8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(documents(spark, sf_dir))
     rows = quality_rules.apply_policy(rows, "base-1", "base_kept")
@@ -25,10 +39,23 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": op1_license_scan,
+        "op2_toxicity": op2_toxicity,
         "op5_sharding": op5_sharding,
+        "op6_packing": op6_packing,
         "op8_quality_rules": op8_quality_rules,
+        "op9_embedding_dedup": op9_embedding_dedup,
+        "op10_lm_score": op10_lm_score,
     }
 
 
