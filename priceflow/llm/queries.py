@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceflow.llm import embedding_dedup, license_scan, lm_score, packing, quality_rules, sharding, toxicity
+from priceflow.llm import byte_bpe, embedding_dedup, license_scan, lm_score, minhash_dedup, packing, quality_rules, sharding, toxicity
 from priceflow.llm.common import documents
 
 
@@ -21,6 +21,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.size("passages").cast("long").alias("n_passages"))
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir), 85).drop("text_hash")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(documents(spark, sf_dir))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(documents(spark, sf_dir), 8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -51,6 +59,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
         "op2_toxicity": op2_toxicity,
+        "op3_minhash_dedup": op3_minhash_dedup,
+        "op4_byte_bpe": op4_byte_bpe,
         "op5_sharding": op5_sharding,
         "op6_packing": op6_packing,
         "op8_quality_rules": op8_quality_rules,
