@@ -110,7 +110,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i < n (modulo 2**64); small tables are kept."""
-    size = max(BLOCK, n)
+    size = max(BLOCK, 1 << (n - 1).bit_length())
     if size in _powers:
         return _powers[size]
     out = []
@@ -118,7 +118,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         p = np.full(size, np.uint64(b))
         p[0] = 1
         out.append(np.cumprod(p))
-    if size == BLOCK:
+    if size <= 4 * BLOCK:
         _powers[size] = (out[0], out[1])
     return out[0], out[1]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceflow.llm import byte_bpe, embedding_dedup, license_scan, lm_score, minhash_dedup, packing, quality_rules, sharding, toxicity
+from priceflow.llm import byte_bpe, embedding_dedup, license_scan, lm_score, minhash_dedup, packing, quality_rules, sharding, suffix_dedup, toxicity
 from priceflow.llm.common import documents
 
 
@@ -39,6 +39,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(documents(spark, sf_dir))
     rows = quality_rules.apply_policy(rows, "base-1", "base_kept")
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_bpe": op4_byte_bpe,
         "op5_sharding": op5_sharding,
         "op6_packing": op6_packing,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_lm_score": op10_lm_score,
