@@ -6,15 +6,15 @@ Every distinct word is encoded once, whatever the corpus:
    about ``CHUNK`` characters of documents into one row: the chunk's distinct
    pre-tokens, and every document as the sequence of their numbers (that is,
    each pre-token with its positions);
-2. the chunks' pre-tokens are exploded and shuffled by their bytes; equal ones
-   meet, the merges run once, and each chunk gets the ids back;
+2. the chunks' pre-tokens are exploded and shuffled by a hash of their bytes:
+   a row holds a chunk's pre-tokens of one of ``CELLS`` hash cells.  Equal ones
+   meet in their cell, the merges run once, and each chunk gets the ids back;
 3. chunks and ids are joined by chunk and the documents' ids reassembled by
    position.  Decoding looks the ids up in the token-byte table, whose size is
    the vocabulary's.
 
-A word as common as a third of all tokens costs one row per chunk, and a chunk
-is bounded, so no group grows with the corpus except by one row per chunk, and
-equal words are met in sorted runs that are never gathered.
+A word as common as a third of all tokens travels once per chunk, and cells are
+streamed row by row, holding one cell's distinct words.
 
 Null and empty texts have no ids.  Rows are encoded one by one, repeated rows
 alike; null ids pass through; an empty table gives an empty result; other
@@ -34,13 +34,15 @@ import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priceflow.llm import common
 
-CHUNK = 8_000_000
+CHUNK = 32_000_000
+CELLS = 1 << 15
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: White space as the rank files' own splitter knows it: the Unicode property,
 #: without the four separators that this library counts in.
@@ -114,11 +116,12 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def _pack(*arrays: np.ndarray | bytes) -> bytes:
     """Arrays as one compressed value (lengths first)."""
     raw = [a if isinstance(a, bytes) else a.tobytes() for a in arrays]
-    return zlib.compress(np.array([len(r) for r in raw], np.int64).tobytes() + b"".join(raw), 1)
+    sizes = np.array([len(r) for r in raw], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(sizes + b"".join(raw))
 
 
-def _unpack(value: bytes, n: int) -> list[bytes]:
-    raw = memoryview(zlib.decompress(value))
+def _unpack(value: bytes, n: int) -> list[memoryview]:
+    raw = memoryview(zstandard.ZstdDecompressor().decompress(value))
     out, at = [], 8 * n
     for size in np.frombuffer(raw, np.int64, n).tolist():
         out.append(raw[at:at + size])
@@ -126,6 +129,15 @@ def _unpack(value: bytes, n: int) -> list[bytes]:
     return out
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte: all low bytes first, which compresses better."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: memoryview) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _chunk_rows(pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = splitter(pattern).findall
@@ -138,12 +150,9 @@ def _chunk_rows(pattern: str):
 
         def row() -> pa.RecordBatch:
             words = [w.encode() for w in number]
-            lengths = np.array([len(w) for w in words], np.int32)
-            known = np.array([i is not None for i in ids])
-            every = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-            narrow = every.astype(np.uint16) if len(number) <= 65536 else every
-            value = _pack(lengths, b"".join(words), np.array([i or 0 for i in ids], np.int64), known,
-                          np.array([len(c) for c in codes], np.int64), narrow)
+            value = _pack(np.array([len(w) for w in words], np.int32), b"".join(words),
+                          np.array([i or 0 for i in ids], np.int64), np.array([i is not None for i in ids]),
+                          np.array([len(c) for c in codes], np.int64), _planes(np.concatenate(codes)))
             return pa.RecordBatch.from_pydict({"chunk": [(part << 32) + made], "value": [value]})
 
         for batch in batches:
@@ -166,49 +175,73 @@ def _chunk_rows(pattern: str):
     return run
 
 
+def _split(lengths: np.ndarray, joined: bytes) -> list[bytes]:
+    ends = np.cumsum(lengths, dtype=np.int64).tolist()
+    return [joined[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _by_cell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Cell of every word, and the words' order by cell."""
+    cells = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(CELLS)
+    return cells, np.argsort(cells, kind="stable")
+
+
 def _chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, chunk, number) of the chunks' distinct pre-tokens."""
+    """(cell, chunk, lengths, words): the chunks' distinct pre-tokens by cell."""
     for batch in batches:
         for chunk, value in zip(batch.column(0).to_pylist(), batch.column(1)):
             lengths, joined = _unpack(value.as_py(), 6)[:2]
-            ends = np.cumsum(np.frombuffer(lengths, np.int32), dtype=np.int64)
-            offsets = np.concatenate(([0], ends)).astype(np.int32)
-            words = pa.BinaryArray.from_buffers(
-                pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(bytes(joined))])
-            for lo in range(0, len(ends), 50_000):
-                part = words.slice(lo, 50_000)
-                n = len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [part, pa.array(np.full(n, chunk)), pa.array(np.arange(lo, lo + n, dtype=np.int32))],
-                    names=["word", "chunk", "number"])
-
-
-def _encode_words(ranks: dict[bytes, int]):
-    """(chunk, number, ids) from words sorted by their bytes; equal words are encoded once."""
+            words = _split(np.frombuffer(lengths, np.int32), bytes(joined))
+            cells, order = _by_cell(words)
+            cells = cells[order]
+            edges = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1]))) if len(cells) else []
+            order, bounds = order.tolist(), [*map(int, edges), len(words)]
+            parts = [[words[k] for k in order[a:b]] for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_pydict({
+                "cell": cells[edges].astype(np.int32) if len(parts) else np.zeros(0, np.int32),
+                "chunk": np.full(len(parts), chunk, np.int64),
+                "lengths": pa.array([np.array([len(w) for w in p], np.int32).tobytes() for p in parts], pa.binary()),
+                "words": pa.array([b"".join(p) for p in parts], pa.binary())})
+
+
+def _encode_cells(ranks: dict[bytes, int]):
+    """(chunk, cell, counts, ids) from rows sorted by cell; a cell's equal words are encoded once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, encoded = None, b""
+        last, encoded = None, {}
         for batch in batches:
-            out = []
-            for word in batch.column(0).to_pylist():
-                if word != last:
-                    last, encoded = word, np.array(merge(word, ranks), "<u4").tobytes()
-                out.append(encoded)
+            counts, ids = [], []
+            for cell, lengths, joined in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
+                if cell != last:
+                    last, encoded = cell, {}
+                found = []
+                for word in _split(np.frombuffer(lengths, np.int32), joined):
+                    if word not in encoded:
+                        encoded[word] = merge(word, ranks)
+                    found.append(encoded[word])
+                counts.append(np.array([len(f) for f in found], np.int32).tobytes())
+                ids.append(np.array([i for f in found for i in f], np.uint32).astype(id_type(ranks)).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(out, pa.binary())], names=["chunk", "number", "ids"])
+                [batch.column(1), batch.column(0), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())],
+                names=["chunk", "cell", "counts", "ids"])
 
     return run
 
 
-def _assemble(chunks: pd.DataFrame, words: pd.DataFrame) -> Iterator[tuple]:
+def id_type(ranks: dict[bytes, int]) -> type:
+    return np.uint16 if max(ranks.values()) < 1 << 16 else np.uint32
+
+
+def _assemble(chunks: pd.DataFrame, cells: pd.DataFrame, kind: type) -> Iterator[tuple]:
     """(doc_id or None, ids) of every document of one chunk."""
-    lengths, _, ids, known, sizes, codes = _unpack(chunks["value"].iloc[0], 6)
-    n_words = len(lengths) // 4
-    codes = np.frombuffer(codes, np.uint16 if n_words <= 65536 else np.uint32)
-    order = np.argsort(words["number"].to_numpy())
-    encoded = words["ids"].to_numpy()[order]
-    n_ids = np.fromiter((len(e) for e in encoded), np.int64, len(encoded)) // 4
-    table = np.frombuffer(b"".join(encoded), "<u4")
-    starts = np.cumsum(n_ids) - n_ids
+    lengths, joined, ids, known, sizes, codes = _unpack(chunks["value"].iloc[0], 6)
+    _, order = _by_cell(_split(np.frombuffer(lengths, np.int32), bytes(joined)))
+    cells = cells.sort_values("cell")
+    counts = np.frombuffer(b"".join(cells["counts"]), np.int32).astype(np.int64)
+    table = np.frombuffer(b"".join(cells["ids"]), kind)
+    n_ids, starts = np.empty_like(counts), np.empty_like(counts)
+    n_ids[order] = counts
+    starts[order] = np.cumsum(counts) - counts
+    codes = _from_planes(codes)
     at = 0
     for doc, given, size in zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(known, bool).tolist(),
                                 np.frombuffer(sizes, np.int64).tolist()):
@@ -242,18 +275,20 @@ def _chunked(docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict[byt
     chunks = common.map_arrow(docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text"),
                               _chunk_rows(public_tokenizers.PATTERN), "chunk bigint, value binary")
     chunks = chunks.repartition(n, "chunk")
-    words = chunks.toDF("chunk", "value").mapInArrow(_chunk_words, "word binary, chunk bigint, number int")
-    words = words.repartition(n, "word").sortWithinPartitions("word")
-    encoded = words.mapInArrow(_encode_words(ranks), "chunk bigint, number int, ids binary")
+    cells = chunks.toDF("chunk", "value").mapInArrow(
+        _chunk_words, "cell int, chunk bigint, lengths binary, words binary")
+    cells = cells.repartition(n, "cell").sortWithinPartitions("cell")
+    encoded = cells.mapInArrow(_encode_cells(ranks), "chunk bigint, cell int, counts binary, ids binary")
     return chunks, encoded, ranks
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids): the ids of every whole text."""
-    chunks, encoded, _ = _chunked(docs, path or public_tokenizers.path(VOCABULARY))
+    chunks, encoded, ranks = _chunked(docs, path or public_tokenizers.path(VOCABULARY))
+    kind = id_type(ranks)
 
     def assemble(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows = list(_assemble(left, right))
+        rows = list(_assemble(left, right, kind))
         return pd.DataFrame({"doc_id": pd.array([d for d, _ in rows], "Int64"),
                              "ids": [x.astype(np.int32) for _, x in rows]})
 
@@ -277,11 +312,11 @@ def decode_ids(encoded: DataFrame, path: str | None = None) -> DataFrame:
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded bytes."""
     chunks, encoded, ranks = _chunked(docs, path or public_tokenizers.path(VOCABULARY))
-    table = token_bytes(ranks)
+    table, kind = token_bytes(ranks), id_type(ranks)
 
     def assemble(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = [(doc, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                 hashlib.sha256(decode(ids, table)).hexdigest()) for doc, ids in _assemble(left, right)]
+                 hashlib.sha256(decode(ids, table)).hexdigest()) for doc, ids in _assemble(left, right, kind)]
         out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         return out.astype({"doc_id": "Int64"})
 

@@ -110,7 +110,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i < n (modulo 2**64); small tables are kept."""
-    size = max(BLOCK, 1 << (n - 1).bit_length())
+    size = max(BLOCK, 1 << int(n - 1).bit_length())
     if size in _powers:
         return _powers[size]
     out = []

@@ -156,7 +156,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     same = ["n_shingles", "low", "high"]
     classes = common.materialize(
         signed.where("n_shingles > 0").groupBy(*same).agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("one"), F.min("doc_id").alias("first_id"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one"),
             F.first("symbols").alias("symbols"))
         .select(F.monotonically_increasing_id().alias("cid"), "*"), "minhash-classes")
 
@@ -202,14 +202,31 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     more = confirm(pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b"))
     joined = components(links.unionByName(more))
 
+    # the document that stays: least id of the component (a null id last), then least hash
+    rank = F.struct(F.col("one.doc_id").isNull().alias("none"), "one.doc_id", "one.text_hash")
     named = classes.join(joined.withColumnRenamed("node", "cid"), "cid", "left").select(
-        *same, "first_id", F.coalesce("component", "cid").alias("component"))
-    names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    table = named.join(names, "component").select(*same, "component_id", F.lit(True).alias("found"))
+        *same, rank.alias("rank"), F.coalesce("component", "cid").alias("component"))
+    names = named.groupBy("component").agg(F.min("rank").alias("keeper"))
+    table = named.join(names, "component").select(*same, "keeper")
     out = signed.select("doc_id", "text_hash", *same).join(table, same, "left")
-    component = F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id"))
+    keeper = F.col("keeper")
+    component = F.when(keeper.isNotNull(), keeper["doc_id"]).otherwise(F.col("doc_id"))
+    stays = keeper.isNull() | (keeper["doc_id"].eqNullSafe(F.col("doc_id")) & (keeper["text_hash"] == F.col("text_hash")))
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
-                      component.eqNullSafe(F.col("doc_id")).alias("kept"))
+                      component.eqNullSafe(F.col("doc_id")).alias("kept"), stays.alias("stays"))
+
+
+def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """One document of each near-duplicate group, with its own columns only.
+
+    Rows that repeat an id and its text are one document.
+    """
+    key, text_hash = F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       key.alias("id"), text_hash.alias("hash"))
+    kept = near_duplicates(docs, percent).where("stays").select("doc_id", "text_hash").distinct()
+    same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["hash"] == kept["text_hash"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
 
 
 def _within(limit: int):

@@ -124,5 +124,7 @@ def ablation(rows: DataFrame, policy: str) -> DataFrame:
 def filter_documents(docs: DataFrame, policy: str = "strict-1") -> DataFrame:
     """The documents that pass the policy, with their own columns only."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text"))
-    kept = apply_policy(ledger(packed), policy, "__kept").where("__kept")
-    return kept.select("__row.*")
+    judged = apply_policy(ledger(packed), policy, "__kept").select("__row", "__kept")
+    # a filter directly above would be pushed down with the whole ledger copied into it
+    judged = judged.select(F.inline(F.array(F.struct("__row", "__kept"))))
+    return judged.where("__kept").select("__row.*")

@@ -22,7 +22,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(documents(spark, sf_dir), 85).drop("text_hash")
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir), 85).drop("text_hash", "stays")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,8 +19,8 @@ A corpus is not sorted whole: only what may repeat reaches a suffix array.
    lanes of text at once.  Windows tied over ``LENGTH`` bytes repeat.
 4. Merging.  A window's partners share its anchor, so only anchors cut by a
    shard's border are open.  For these every shard gives its windows' 128-bit
-   digests, sorted and dealt by range; a window is looked up in the other shards'
-   runs of its range by binary search.
+   digests, sorted and dealt by range; a range's runs are merged, and each run is
+   looked up in the merged one by binary search.
 
 Hot anchors are pre-counted before each shuffle and cut over shards and ranges,
 so no group has to fit one task; a document's own runs are bounded by its text.
@@ -39,7 +39,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +49,6 @@ SEED = 32
 PIECE = 1 << 21
 SHARD = 1 << 21
 LANE = 128
-RANGES = 256
 _random = np.random.default_rng(3)
 BYTES = _random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 FACTORS = _random.integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -220,22 +218,18 @@ def _spans_of_true(mask: np.ndarray) -> list[tuple[int, int]]:
 FOUND = "doc_id bigint, text_hash int, first bigint, last bigint"
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(ranges: int, limit: int):
     """Per shard of kinds sorted by anchor: windows found repeated, and open windows.
 
-    Rows: doc_id, text_hash, first and last window start, for what is found; or
-    an open anchor's digests (``digests`` not null).
+    Rows hold doc_id, text_hash, first and last window start of what is found, or
+    (``digests`` not null) one digest range of the open windows.
     """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("text_hash", pa.int32()), ("first", pa.int64()), ("last", pa.int64()),
-        ("anchor", pa.int64()), ("part", pa.int32()), ("shard", pa.int64()), ("digests", pa.list_(pa.binary())),
-        ("docs", pa.list_(pa.int64())), ("hashes", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64()))])
-    base = TaskContext.get().partitionId() << 32
-    made = 0
+        ("part", pa.int32()), ("digests", pa.list_(pa.binary())), ("docs", pa.list_(pa.int64())),
+        ("hashes", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64()))])
 
     def shard(rows: list[tuple], opened: set[int]) -> pa.RecordBatch:
-        nonlocal made
-        made += 1
         data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
         starts = np.cumsum([0] + [len(r[5]) for r in rows[:-1]])
         real = np.zeros(len(data) + 1, np.int32)
@@ -248,7 +242,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for name in schema.names:
                 out[name].append(values.get(name))
 
-        open_rows: dict[tuple[int, int], list[tuple]] = {}
+        open_rows: dict[int, list[tuple]] = {}
         for (anchor, doc, text_hash, start, n, span, copies), at in zip(rows, starts.tolist()):
             if copies == 1:
                 for a, b in _spans_of_true(again[at:at + n]):
@@ -257,45 +251,43 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for k in range(n):
                     digest = hashlib.blake2b(span[k:k + LENGTH], digest_size=16).digest()
                     ask = copies == 1 and not again[at + k]  # else only others ask for it
-                    open_rows.setdefault((anchor, digest[0] * RANGES >> 8), []).append(
+                    open_rows.setdefault(int.from_bytes(digest[:4]) * ranges >> 32, []).append(
                         (digest, doc, text_hash, start + k if ask else -1))
-        for (anchor, part), found in sorted(open_rows.items()):
+        for part, found in sorted(open_rows.items()):
             found.sort(key=lambda r: r[0])
             kept = [r for i, r in enumerate(found) if i == 0 or found[i - 1][0] != r[0]]
-            add(anchor=anchor, part=part, shard=base + made, digests=[r[0] for r in kept],
+            add(part=part, digests=[r[0] for r in kept],
                 docs=[r[1] for r in kept], hashes=[r[2] for r in kept], starts=[r[3] for r in kept])
         return pa.RecordBatch.from_pydict(out, schema)
 
-    held: list[tuple] = []
-    size, opened = 0, set()  # open: the partition's first and last anchor, and those a border cuts
-    for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
-            if not held and not made:
-                opened = {row[0]}
-            if size >= SHARD:
-                cut = {row[0]} if held[-1][0] == row[0] else set()
-                yield shard(held, opened | cut)
-                held, size, opened = [], 0, cut
-            held.append(row)
-            size += len(row[5])
-    if held:
-        yield shard(held, opened | {held[-1][0]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size, opened, begun = 0, set(), False  # open: the partition's first and last anchor, and those a border cuts
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if not begun:
+                    opened, begun = {row[0]}, True
+                if size >= limit:
+                    cut = {row[0]} if held[-1][0] == row[0] else set()
+                    yield shard(held, opened | cut)
+                    held, size, opened = [], 0, cut
+                held.append(row)
+                size += len(row[5])
+        if held:
+            yield shard(held, opened | {held[-1][0]})
+
+    return run
 
 
 def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Open windows of one anchor and digest range that another shard has too."""
+    """Open windows of one digest range that another shard has too."""
+    found = [np.array([bytes(d) for d in run], "S16") for run in rows["digests"]]  # each sorted and distinct
+    merged = np.sort(np.concatenate(found), kind="stable")
     out = []
-    sorted_runs = [np.array([bytes(d) for d in run], "S16") for run in rows["digests"]]
-    for i, run in enumerate(sorted_runs):
-        seen = np.zeros(len(run), bool)
-        for j, other in enumerate(sorted_runs):
-            if i != j:
-                at = np.minimum(np.searchsorted(other, run), len(other) - 1)
-                seen |= other[at] == run
-        docs, hashes, starts = (rows[c].iloc[i] for c in ("docs", "hashes", "starts"))
-        for k in np.flatnonzero(seen).tolist():
-            if starts[k] >= 0:
-                out.append((docs[k], hashes[k], starts[k], starts[k]))
+    for run, docs, hashes, starts in zip(found, rows["docs"], rows["hashes"], rows["starts"]):
+        shards = np.searchsorted(merged, run, "right") - np.searchsorted(merged, run, "left")
+        for k in np.flatnonzero((shards > 1) & (np.asarray(starts) >= 0)).tolist():
+            out.append((docs[k], hashes[k], starts[k], starts[k]))
     frame = pd.DataFrame(out, columns=["doc_id", "text_hash", "first", "last"])
     return frame.astype({"doc_id": "Int64", "text_hash": "int32", "first": "int64", "last": "int64"})
 
@@ -322,7 +314,7 @@ def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """(doc_id, text_hash, first, last): window starts whose LENGTH bytes repeat.
 
     ``docs`` has doc_id, text_hash and text (not null).
@@ -351,9 +343,9 @@ def repeated(docs: DataFrame) -> DataFrame:
         "suffix-spans")
     dealt = spans.repartitionByRange(n, "anchor", F.xxhash64("doc_id", "start")).sortWithinPartitions("anchor")
     judged = common.materialize(common.map_arrow(
-        dealt, _shards, "doc_id bigint, text_hash int, first bigint, last bigint, anchor bigint, part int, shard bigint,"
-        " digests array<binary>, docs array<bigint>, hashes array<int>, starts array<bigint>"), "suffix-shards")
-    merged = judged.where("digests IS NOT NULL").groupBy("anchor", "part").applyInPandas(_merge, FOUND)
+        dealt, _shards(n, shard), "doc_id bigint, text_hash int, first bigint, last bigint, part int, digests array<binary>,"
+        " docs array<bigint>, hashes array<int>, starts array<bigint>"), "suffix-shards")
+    merged = judged.where("digests IS NOT NULL").groupBy("part").applyInPandas(_merge, FOUND)
     return (whole.unionByName(judged.where("digests IS NULL").select("doc_id", "text_hash", "first", "last"))
             .unionByName(merged))
 
@@ -405,13 +397,13 @@ def _inward(raw: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, whole_characters: bool = False, shard: int = SHARD) -> DataFrame:
     """doc_id, row (the document's own columns), kept_bytes, n_bytes, n_removed, n_spans."""
     text = F.coalesce("text", F.lit(""))
     keys = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
                        F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
     keys = keys.withColumn("text_hash", F.hash("text"))
-    hits = repeated(keys.select("doc_id", "text_hash", "text"))
+    hits = repeated(keys.select("doc_id", "text_hash", "text"), shard)
     hits = hits.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("hits"))
     hits = hits.toDF("id", "hash", "hits")
     joined = keys.join(hits, keys["doc_id"].eqNullSafe(hits["id"]) & (keys["text_hash"] == hits["hash"]), "left")
@@ -420,3 +412,13 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame
     return common.map_arrow(joined, _remove(whole_characters),
                             f"doc_id bigint, row {kinds['row']}, kept_bytes binary, n_bytes bigint,"
                             " n_removed bigint, n_spans bigint")
+
+
+def clean_documents(docs: DataFrame) -> DataFrame:
+    """The documents without their repeated passages, in whole characters; the
+    columns stay, and ``n_chars`` (if there is one) counts the text that is left."""
+    cleaned = remove_repeats(docs, whole_characters=True).withColumn("text", F.col("kept_bytes").cast("string"))
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return cleaned.select(*[columns[c].alias(c) for c in docs.columns])
