@@ -4,20 +4,22 @@
 key to one task; when one category holds a third of the crawl, that task
 holds a third of the data.  Here the rows of a key are cut into slices
 along the order, each slice is numbered on its own, and slices are stitched
-together with offsets:
-
-1. Slice bounds: a small sample of (key, order) values (about 20 rows per
-   slice, a bounded amount) is collected and sorted in Spark's order, and
-   every n-th value becomes a bound.  A row's slice is a binary search over these literal
-   bounds: a pure function of the row, so every recomputation - a second
-   use of the same rows, or a task re-run after a lost executor - puts the
-   row in the same slice, with no checkpoint and no range exchange.  The
-   slice never decreases along (key, order), so each slice is a contiguous
-   run of the order; a hot key is spread over many slices.
-2. A window on (slice, key) gives the running value inside the slice.
-3. Per (slice, key) totals are turned into offsets with a window over
+together with offsets.  There is one plan for every size and type:
+
+1. Slice bounds: the ``SAMPLE_PER_SLICE`` x slices rows with the least hash
+   (a bounded sample, by row position, taken map-side first) are sorted by
+   Spark itself and every n-th becomes a bound.  The bounds are one constant
+   array, so the plan does not grow with the slice count, and any orderable
+   type works, in Spark's own order.
+2. A row's slice is a binary search over that array, log2(slices) steps: a
+   pure function of the row, so a task re-run after a lost executor puts the
+   row in the same slice.  The slice never decreases along (key, order), so
+   each slice is a contiguous run of the order; a hot key is spread over
+   many slices.
+3. A window on (slice, key) gives the running value inside the slice.
+4. Per (slice, key) totals are turned into offsets with a window over
    slices (a key spans at most all slices, so these groups are small).
-4. Only a key that runs over a slice bound has a non-zero offset, and each
+   Only a key that runs over a slice bound has a non-zero offset, and each
    slice starts with at most one such key: the offset table has at most one
    row per slice, a proven bound, so it is broadcast and the rows are not
    shuffled again.
@@ -30,106 +32,57 @@ any order among themselves.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SAMPLE_PER_SLICE = 20
-ROWS_PER_SLICE = 100_000     # when the caller does not fix the slice count
-_BOUND_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-                T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType)
 
 
-def _max_slices(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def _literal(value, dtype: T.DataType) -> Column:
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'")
-    if isinstance(dtype, T.DateType):
-        return F.expr(f"DATE '{value.isoformat()}'")
-    return F.lit(value).cast(dtype)
+def slice_bounds(df: DataFrame, cols: Sequence[str], slices: int) -> Column:
+    """Ascending constant array of at most ``slices`` - 1 distinct (cols) values
+    that cut ``df`` into about equal parts.
 
-
-def _spark_order(value) -> tuple:
-    """Sort key giving Spark's ascending order for the bound types: NULL
-    first, NaN above every number, strings by code point (the same as
-    Spark's UTF-8 byte order)."""
-    if value is None:
-        return (0,)
-    if isinstance(value, float) and math.isnan(value):
-        return (1, 1)
-    if isinstance(value, float) and value == 0.0:
-        return (1, 0, 0.0)                       # -0.0 sorts with 0.0
-    return (1, 0, value)
-
-
-def _row_order(row: tuple) -> tuple:
-    return tuple(_spark_order(v) for v in row)
-
-
-def slice_bounds(df: DataFrame, cols: Sequence[str], n: int | None, seed: int = 17,
-                 max_slices: int | None = None) -> list[tuple]:
-    """About ``n`` equal slices of ``df`` along ``cols``: the n-1 bounds.
-
-    With ``n`` unset, about one slice per ``ROWS_PER_SLICE`` rows, at most
-    ``max_slices``: slices are sized by the data, not by the task count.
+    Any ascending bounds give right numbers, so it does not matter that they
+    pass through JSON.
     """
-    total = df.count()
-    if n is None:
-        n = min(max_slices or 1, -(-total // ROWS_PER_SLICE))
-    if n <= 1 or total == 0:
-        return []
-    fraction = min(1.0, SAMPLE_PER_SLICE * n / total)
-    # the sample is small (about 20 rows per slice); sorted here in Spark's order
-    sample = sorted((tuple(r) for r in df.select(*cols).sample(False, fraction, seed).collect()),
-                    key=_row_order)
-    if not sample:
-        return []
-    bounds = []
-    for i in range(1, n):
-        b = sample[(i * len(sample)) // n]
-        if not bounds or _row_order(b) != _row_order(bounds[-1]):
-            bounds.append(b)
-    return bounds
-
-
-def slice_of(cols: Sequence[str], types: Sequence[T.DataType], bounds: list[tuple]) -> Column:
+    row = F.struct(*[F.col(c) for c in cols]).alias("row")
+    sample = (df.select(row, F.xxhash64(F.monotonically_increasing_id()).alias("at"))
+              .orderBy("at").limit(SAMPLE_PER_SLICE * slices))   # top-k per task, then of those
+    ordered = sample.agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    n = F.size("rows")
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(max(slices - 1, 1))),
+                       lambda i: F.get(F.col("rows"), F.floor(i * n / slices).cast("int")))
+    bounds = F.when((n > 0) & F.lit(slices > 1), F.array_distinct(cuts)).otherwise(F.slice("rows", 1, 0))
+    ordered = ordered.select(bounds.alias("bounds"))
+    text = ordered.select(F.to_json("bounds", _JSON)).first()[0]
+    return F.from_json(F.lit(text), ordered.schema["bounds"].dataType, _JSON)
+
+
+def slice_of(cols: Sequence[str], bounds: Column, slices: int) -> Column:
     """Number of bounds <= the row's (cols) value, by binary search."""
     row = F.struct(*[F.col(c) for c in cols])
-    lits = [F.struct(*[_literal(v, t).alias(c) for v, t, c in zip(b, types, cols)]) for b in bounds]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(row < lits[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(bounds))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, slices).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) <= row), at + step).otherwise(at))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 value: str | Column, out: str, num_slices: int | None = None) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over rows of the same key up to this one."""
+    """Add ``out`` = sum of ``value`` over rows of the same key up to this one.
+
+    One slice per shuffle partition unless ``num_slices`` is given.
+    """
     keys, order = list(keys), list(order)
     val = F.col(value) if isinstance(value, str) else value
-
-    # bounds on the longest prefix of (keys, order) made of plain types
-    schema = {f.name: f.dataType for f in df.schema.fields}
-    prefix = []
-    for c in keys + order:
-        if not isinstance(schema[c], _BOUND_TYPES):
-            break
-        prefix.append(c)
-    bounds = slice_bounds(df, prefix, num_slices, max_slices=_max_slices(df)) if prefix else []
-    sliced = df.withColumn("_v", val).withColumn(
-        "_slice", slice_of(prefix, [schema[c] for c in prefix], bounds) if bounds else F.lit(0))
+    slices = num_slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = slice_bounds(df, keys + order, slices)
+    sliced = df.withColumn("_v", val).withColumn("_slice", slice_of(keys + order, bounds, slices))
 
     in_slice = (Window.partitionBy("_slice", *keys).orderBy(*order)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -33,3 +33,23 @@ def test_bounds_follow_spark_order_with_nulls_and_nan(spark):
     got = sequence_number(df, ["k"], ["v", "id"], "n", num_slices=6)
     ref = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")).cast("bigint"))
     assert got.select("k", "v", "id", "n").exceptAll(ref.select("k", "v", "id", "n")).count() == 0
+
+
+def test_any_orderable_type_and_many_slices_in_a_plain_plan(spark):
+    df = spark.range(0, 20_000).selectExpr(
+        "cast(CASE WHEN id < 15000 THEN 0 ELSE id % 50 END AS decimal(10,2)) AS k",
+        "timestamp_seconds(id % 97) AS t", "id")
+    ref = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")).cast("bigint"))
+    for slices in (1, 2, 2000):
+        got = sequence_number(df, ["k"], ["t", "id"], "n", num_slices=slices)
+        assert got.select("k", "t", "id", "n").exceptAll(ref).count() == 0
+        assert got.count() == 20_000
+
+
+def test_hot_key_is_cut_into_slices_and_empty_input_works(spark):
+    from priceflow.operators.numbering import slice_bounds, slice_of
+    df = spark.range(0, 5000).selectExpr("0L AS k", "id")
+    cut = df.select(slice_of(["k", "id"], slice_bounds(df, ["k", "id"], 10), 10).alias("s")).groupBy("s").count()
+    sizes = [r["count"] for r in cut.collect()]
+    assert len(sizes) == 10 and max(sizes) < 1500
+    assert sequence_number(df.where("id < 0"), ["k"], ["id"], "n").count() == 0
