@@ -12,7 +12,7 @@ from priceflow.functions.text import col, first_text, last_match, strip_text, to
 
 
 def qty_unit_pattern(units: str) -> str:
-    return "(?i)" + rules.QTY_UNIT_PATTERN.format(units=units)
+    return "(?iuU)" + rules.QTY_UNIT_PATTERN.format(units=units)
 
 
 def quantity_unit_last(name: Column | str, units: str = rules.UNITS_GENERAL,
@@ -33,7 +33,7 @@ def pack_multiplier(name: Column | str, pattern: str = rules.PACK_PATTERN_JUMBO)
 
     Here '.' groups thousands ('por 1.000' -> 1000.0) and ',' is decimal.
     """
-    raw = last_match(F.lower(col(name)), "(?i)" + pattern, 1)
+    raw = last_match(F.lower(col(name)), "(?iuU)" + pattern, 1)
     return to_double(F.replace(F.replace(raw, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
 
 
@@ -48,9 +48,9 @@ def quantity_default(qty: Column, unit: Column, default_unit: str = rules.DEFAUL
 def presentation_first(text: Column | str) -> tuple[Column, Column, Column]:
     """Q4: first 'number unit' in a presentation text -> (found, qty, unit).
 
-    No word boundary: 'unidades' reads as 'unidades', 'gr' as 'g'.
+    No word boundary: 'unidades' reads as 'un', 'gr' as 'g'.
     """
-    pattern = "(?i)" + rules.QTY_PATTERN_INKAFARMA.format(units=rules.UNITS_INKAFARMA)
+    pattern = "(?iuU)" + rules.QTY_PATTERN_INKAFARMA.format(units=rules.UNITS_INKAFARMA)
     text = F.coalesce(col(text), F.lit(""))
     number = F.regexp_extract(text, pattern, 1)     # never empty on a match
     found = number != ""
@@ -66,7 +66,7 @@ def quantity_with_reference(name: Column | str, reference: Column | str
     Only dot decimals are numbers here, so '1,5 l' reads as 5 l.
     """
     text = F.lower(F.concat_ws(" ", col(name), F.coalesce(col(reference), F.lit(""))))
-    pattern = "(?i)" + rules.QTY_PATTERN_PLAZA_VEA.format(units=rules.UNITS_PLAZA_VEA)
+    pattern = "(?iuU)" + rules.QTY_PATTERN_PLAZA_VEA.format(units=rules.UNITS_PLAZA_VEA)
     qty = to_double(F.replace(last_match(text, pattern, 1), F.lit(","), F.lit(".")))
     unit = last_match(text, pattern, 2)
     return qty, unit
@@ -106,15 +106,16 @@ def unit_price_published(text: Column | str, fallback: Column) -> Column:
     return F.coalesce(published, fallback)
 
 
-def round2_half_even(x: Column) -> Column:
-    """Round to cents, ties to even, on the binary value times 100."""
-    return F.rint(x * 100) / 100
+def round2(x: Column) -> Column:
+    """Round to cents as Python's ``round(x, 2)``: on the exact binary value,
+    which ``format_number`` uses (``rint(x * 100)`` rounds the product again)."""
+    return F.replace(F.format_number(x, 2), F.lit(","), F.lit("")).try_cast("double")
 
 
 def unit_price_rounded(price: Column | str, qty: Column | str, found: Column) -> Column:
     """Quantity > 0 -> round(price / quantity, 2); else the price."""
     p, q = col(price), col(qty)
-    return F.when(found & (q > 0), round2_half_even(p / q)).otherwise(p)
+    return F.when(found & (q > 0), round2(p / q)).otherwise(p)
 
 
 def unit_price_by_kind(price: Column | str, qty: Column | str, raw_unit: Column | str

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from priceflow import rules
 from priceflow.functions.labels import label_from_url
-from priceflow.functions.text import col
+from priceflow.functions.text import col, strip_text
 from priceflow.operators.numbering import running_sum
 
 KEYS = ("site", "category")
@@ -37,26 +37,24 @@ def stop_on_empty_pages(log: DataFrame, keys: Sequence[str] = KEYS, page: str =
     are read; otherwise the last page ends it.  One row per category:
     (keys, last_page, stop_page, stop_reason).
 
-    One pass over the log: an empty page p is a member of the runs that
-    would end at p, p+1, ..., p+run-1, so it is exploded into those
-    candidate ends; a candidate with ``run`` members is a run end.  The
-    first aggregate is keyed by page (no skew), the second, per category,
-    is a partial aggregate.
+    One pass over the log: page p is a member of the runs that would end at
+    p, p+1, ..., p+run-1, so it is exploded into those candidate ends, with
+    one bit per member; a candidate whose ``run`` members are all empty is a
+    run end.  A page read again sets the same bit, and one good reading of it
+    makes it good.  The first aggregate is keyed by page (no skew), the
+    second, per category, is a partial aggregate.
     """
     keys = list(keys)
-    p, empty = F.col(page), (F.col(found) == 0).cast("int")
-
-    def entry(end, is_page, member):
-        return F.struct(end.alias("_end"), F.lit(is_page).alias("_page"), member.alias("_empty"))
-
-    # the page itself (a page, and a run member if empty), then the later
-    # run ends it belongs to when it is empty
-    later = F.when(F.col(found) == 0, F.array(*[entry(p + k, 0, F.lit(1)) for k in range(1, run)]))
-    entries = F.concat(F.array(entry(p, 1, empty)), F.coalesce(later, F.array().cast(
-        "array<struct<_end:int,_page:int,_empty:int>>")))
-    exploded = log.select(*keys, F.explode(entries).alias("_e")).select(*keys, "_e.*")
+    p = F.col(page)
+    empty = F.coalesce(F.col(found) == 0, F.lit(False))
+    entries = F.array(*[
+        F.struct((p + k).alias("_end"), F.lit(int(k == 0)).alias("_page"),
+                 F.when(empty, F.lit(1 << k)).otherwise(0).alias("_empty"),
+                 F.when(empty, F.lit(0)).otherwise(1 << k).alias("_good")) for k in range(run)])
+    exploded = log.select(*keys, F.inline(entries))
     ends = (exploded.groupBy(*keys, "_end")
-            .agg(F.max("_page").alias("_is_page"), F.sum("_empty").alias("_members")))
+            .agg(F.max("_page").alias("_is_page"), F.bit_or("_empty").alias("_e"), F.bit_or("_good").alias("_g"))
+            .withColumn("_members", F.bit_count(F.col("_e").bitwiseAND(F.bitwise_not(F.col("_g"))))))
     per_cat = ends.groupBy(*keys).agg(
         F.max(F.when(F.col("_is_page") == 1, F.col("_end"))).alias("last_page"),
         F.min(F.when((F.col("_members") >= run) & (F.col("_is_page") == 1), F.col("_end")))
@@ -87,9 +85,8 @@ def running_total(log: DataFrame, keys: Sequence[str] = KEYS, page: str = "page_
     return running_sum(log, keys, [page], F.col(found).cast("bigint"), "running_total")
 
 
-ACTIVE_PAGE = r'<span class="[^"]*pagination__item[^"]*page-number[^"]*active[^"]*">([^<]*)</span>'
-ANY_PAGE = r'<span class="[^"]*pagination__item[^"]*page-number[^"]*">([^<]*)</span>'
 PAGINATION = '<div class="pagination">'
+PAGE_SPAN = r"<span\b([^>]*)>([^<]*)</span>"
 
 
 def next_page(html: Column | str) -> tuple[Column, Column, Column]:
@@ -97,13 +94,25 @@ def next_page(html: Column | str) -> tuple[Column, Column, Column]:
 
     current = the first active number; last = the highest all-digit page
     text, else current; next = current + 1 while current < last.  No
-    pagination, no active page or a non-number active text -> NULLs.
+    pagination, no active page or a non-number active text -> NULLs.  The
+    span's classes may come in any order, and white space around a number
+    does not count.  Only the markup from the pager on is searched.
     """
     h = col(html)
-    has_pager = F.contains(h, F.lit(PAGINATION))
-    active = F.try_element_at(F.regexp_extract_all(h, F.lit(ACTIVE_PAGE), 1), F.lit(1))
-    current = F.when(has_pager & active.rlike(r"^\d+$"), active.try_cast("int"))
-    digits = F.filter(F.regexp_extract_all(h, F.lit(ANY_PAGE), 1), lambda t: t.rlike(r"^\d+$"))
+    pager = F.when(F.contains(h, F.lit(PAGINATION)), h.substr(F.instr(h, PAGINATION), F.length(h)))
+    spans = F.arrays_zip(F.regexp_extract_all(pager, F.lit(PAGE_SPAN), 1).alias("tag"),
+                         F.regexp_extract_all(pager, F.lit(PAGE_SPAN), 2).alias("text"))
+
+    def has(span: Column, *words: str) -> Column:
+        cond = F.lit(True)
+        for w in words:
+            cond = cond & F.contains(span["tag"], F.lit(w))
+        return cond
+
+    pages = F.filter(spans, lambda x: has(x, "pagination__item", "page-number"))
+    active = strip_text(F.get(F.filter(pages, lambda x: has(x, "active")), F.lit(0))["text"])
+    current = F.when(active.rlike(r"^\d+$"), active.try_cast("int"))
+    digits = F.filter(F.transform(pages, lambda x: strip_text(x["text"])), lambda t: t.rlike(r"^\d+$"))
     last = F.coalesce(F.array_max(F.transform(digits, lambda t: t.try_cast("int"))), current)
     last = F.when(current.isNotNull(), last)
     nxt = F.when(current < last, current + 1)
@@ -113,23 +122,27 @@ def next_page(html: Column | str) -> tuple[Column, Column, Column]:
 def page_advance_check(log: DataFrame, keys: Sequence[str] = KEYS, page: str = "page_number",
                        active: str = "active_page") -> DataFrame:
     """C14: a move to the next page is good only if the pager then shows
-    the expected number (the previous active page + 1).
+    the expected number (the previous active page + 1).  A page that shows
+    no active number is a failed move.
 
     One pass: every page is emitted as itself at p and as the previous page
     at p+1; grouping by (keys, page) pairs them without a self-join.
     """
     keys = list(keys)
-    both = log.select(*keys, F.explode(F.array(
-        F.struct(F.col(page).alias("_p"), F.col(active).alias("_cur"), F.lit(None).cast("int").alias("_prev")),
-        F.struct((F.col(page) + 1).alias("_p"), F.lit(None).cast("int").alias("_cur"),
-                 F.col(active).cast("int").alias("_prev")))).alias("_e")).select(*keys, "_e.*")
+    page_type = log.schema[page].dataType
+    both = log.select(*keys, F.inline(F.array(
+        F.struct(F.col(page).alias("_p"), F.lit(1).alias("_is"), F.lit(0).alias("_was"),
+                 F.col(active).cast("int").alias("_cur"), F.lit(None).cast("int").alias("_prev")),
+        F.struct((F.col(page) + 1).cast(page_type).alias("_p"), F.lit(0).alias("_is"), F.lit(1).alias("_was"),
+                 F.lit(None).cast("int").alias("_cur"), F.col(active).cast("int").alias("_prev")))))
     paired = (both.groupBy(*keys, "_p")
-              .agg(F.max("_cur").alias("_cur"), F.max("_prev").alias("_prev"))
-              .where(F.col("_cur").isNotNull() & F.col("_prev").isNotNull()))
+              .agg(F.max("_is").alias("_is"), F.max("_was").alias("_was"),
+                   F.max("_cur").alias("_cur"), F.max("_prev").alias("_prev"))
+              .where((F.col("_is") == 1) & (F.col("_was") == 1)))
     return paired.select(
-        *keys, F.col("_p").cast(log.schema[page].dataType).alias(page),
+        *keys, F.col("_p").cast(page_type).alias(page),
         (F.col("_prev") + 1).alias("expected_page"), F.col("_cur").alias("active_page"),
-        (F.col("_cur") == F.col("_prev") + 1).alias("moved_ok"))
+        F.coalesce(F.col("_cur") == F.col("_prev") + 1, F.lit(False)).alias("moved_ok"))
 
 
 def classify_failures(requests: DataFrame, error: str = "error_type", retries: str = "retry_count",
@@ -138,12 +151,13 @@ def classify_failures(requests: DataFrame, error: str = "error_type", retries: s
     while it has fewer than two retries, then given up; other failures are
     errors.  Labels come from the URL, 'Unknown' when it has no path."""
     is_timeout = F.contains(F.col(error), F.lit(rules.TIMEOUT_ERROR_MARK))
-    retry = is_timeout & (F.col(retries) < rules.MAX_TIMEOUT_RETRIES)
+    count = F.coalesce(F.col(retries), F.lit(0))   # a first failure carries no count
+    retry = is_timeout & (count < rules.MAX_TIMEOUT_RETRIES)
     cat, sub = label_from_url(url, fallback=rules.FAILURE_LABEL_FALLBACK)
     return requests.select(
         "*",
         F.when(retry, F.lit("retry")).when(is_timeout, F.lit("gave_up"))
          .otherwise(F.lit("error")).alias("outcome"),
-        F.when(retry, F.col(retries) + 1).alias("next_retry_count"),
+        F.when(retry, count + 1).alias("next_retry_count"),
         F.when(retry, F.lit(rules.RETRY_TIMEOUT_MS)).alias("next_timeout_ms"),
         cat.alias("category_label"), sub.alias("sub_category_label"))

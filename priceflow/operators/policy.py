@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEDUP_KEYS = ("site", "name", "category", "sub_category", "result_date", "result_time")
+DEDUP_KEYS = ("site", "name", "price", "total_unit_quantity", "unit_type", "category", "sub_category",
+              "result_date", "result_time")
 
 
 def row_policy_summary(rows: DataFrame) -> DataFrame:
@@ -25,16 +26,19 @@ def missing_field_filter(rows: DataFrame, fields: Sequence[str] = ("name", "pric
 
 def dedup_rows(rows: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
                order: Sequence[str] = ("page_id", "chunk", "pos")) -> DataFrame:
-    """D2 (ours, off by default): one row per (site, name, labels, capture
-    time); the copy that comes first in page order is kept.
+    """D2 (ours, off by default): one row per (site, name, price, quantity,
+    labels, capture time); the copy that comes first in page order is kept.
+    Rows without a name are products nobody can tell apart, not copies: each
+    stays.
 
     Done as a partial aggregate (min of a struct led by the order columns),
     so a key with many copies is combined map-side before the shuffle.
     """
     keys = list(keys)
     rest = [c for c in rows.columns if c not in keys]
+    alone = F.when(F.col("name").isNull(), F.struct(*[F.col(c) for c in order])).alias("_alone")
     first = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order]))
-    return (rows.groupBy(*keys).agg(first.alias("_first"), F.count(F.lit(1)).alias("copies"))
+    return (rows.groupBy(*keys, alone).agg(first.alias("_first"), F.count(F.lit(1)).alias("copies"))
             .select(*keys, "_first.*", "copies"))
 
 
