@@ -46,19 +46,18 @@ def get_spark(master: str | None = None, app: str = "priceflow",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this names shared storage.  Only when it is unset (local
-    tests) a private folder is made, so ``checkpoint()`` works everywhere.
+    On a cluster this names shared storage and must be set.  Only a local
+    session without it (tests) gets a private folder: there every task sees
+    the driver's disk.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None)
-    try:
-        path = path or spark.conf.get("spark.checkpoint.dir")
-    except Exception:  # not set as a SQL conf either
-        pass
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="priceflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    context.setCheckpointDir(path)
     return path
 
 

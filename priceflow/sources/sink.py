@@ -8,7 +8,7 @@ a second table instead of being lost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SINK_COLUMNS = [
@@ -44,21 +44,47 @@ def isolate_bad_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def sink_frame(rows: DataFrame) -> DataFrame:
-    """The rows S4 writes: kept rows, 11 columns + ``country``."""
+    """The rows S4 keeps: 11 columns + ``country``."""
     good, _ = isolate_bad_rows(rows)
     return project_sink_row(good, keep=("country",))
 
 
-def append_country_table(rows: DataFrame, path: str, rejects_path: str | None = None,
-                         fmt: str = "parquet") -> None:
-    """Append kept rows under ``path``, partitioned by country.
+TRACE = ("site", "page_id", "chunk", "pos", "reason")   # where a row came from, and why it was rejected
+
+
+def outcome_frame(rows: DataFrame) -> DataFrame:
+    """Kept and rejected rows in one frame: 11 columns, ``TRACE``, and the two
+    partition columns ``outcome`` ('kept' or 'rejected') and ``country``."""
+    kept = (F.col("status") != "rejected") & F.col("country").isNotNull()
+    judged = rows.withColumns({
+        "outcome": F.when(kept, F.lit("kept")).otherwise(F.lit("rejected")),
+        "reason": F.when(kept, F.col("reason")).otherwise(F.coalesce(F.col("reason"), F.lit("no_country")))})
+    return project_sink_row(judged, keep=(*TRACE, "outcome", "country"))
+
+
+def append_country_table(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """S4 + S7: append kept and rejected rows under ``path``, partitioned by
+    outcome and country, in one write: every page is parsed once.
 
     Appends only, like the reference's INSERT (no upsert); rerunning the
     same snapshots appends the same rows again (see ``dedup_rows``).  The
     same frame can go to ``write.jdbc`` instead.
     """
-    good, bad = isolate_bad_rows(rows)
-    (project_sink_row(good, keep=("country",))
-     .write.mode("append").partitionBy("country").format(fmt).save(path))
-    if rejects_path:
-        bad.write.mode("append").format(fmt).save(rejects_path)
+    outcome_frame(rows).write.mode("append").partitionBy("outcome", "country").format(fmt).save(path)
+
+
+def _table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    columns = [*SINK_COLUMNS, ("site", "string"), ("page_id", "bigint"), ("chunk", "int"), ("pos", "int"),
+               ("reason", "string"), ("outcome", "string"), ("country", "string")]
+    return spark.read.schema(", ".join(f"{c} {t}" for c, t in columns)).format(fmt).load(path)
+
+
+def kept_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The kept rows of a sink table: 11 columns + ``country``."""
+    rows = _table(spark, path, fmt).where(F.col("outcome") == "kept")
+    return rows.select(*[c for c, _ in SINK_COLUMNS], "country")
+
+
+def rejected_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The rejected rows of a sink table, with their place and reason."""
+    return _table(spark, path, fmt).where(F.col("outcome") == "rejected").drop("outcome")
