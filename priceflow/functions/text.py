@@ -77,5 +77,5 @@ def slug_to_label(c: Column | str) -> Column:
 
 
 def text_nodes(markup: Column | str) -> Column:
-    """All non-empty text nodes of a markup fragment, in document order."""
-    return F.regexp_extract_all(col(markup), F.lit(r"(?:^|>)([^<]+)"), 1)
+    """All text nodes of a markup fragment that are not blank, in document order."""
+    return F.regexp_extract_all(col(markup), F.lit(r"(?:^|>)(\s*[^<\s][^<]*)"), 1)

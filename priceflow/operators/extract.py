@@ -9,6 +9,10 @@ markup of each site.  Two ways to cut:
   nested divs inside; the page is split on the card's opening tag and each
   piece after the first is one card (up to the next card).
 
+Tags are matched by name and the one attribute that identifies them, in any
+order and among any others; texts are the first ones inside an element,
+however nested, and their entities are decoded.
+
 Everything is a built-in expression chosen per row by site (one CASE), so a
 page is read once, in the task that scanned it, with no shuffle.
 """
@@ -23,45 +27,75 @@ from priceflow.functions.text import first_match, first_text, text_nodes
 JUMBO_SITES = ("jumbo", "jumbocl")
 FALABELLA_SITES = ("falabella", "falabellacol")
 
+def tag(name: str, attribute: str = "", value: str = "") -> str:
+    """Pattern of an opening tag, whatever its other attributes and their order."""
+    return rf'<{name}\b[^>]*\b{attribute}="{value}"[^>]*>' if attribute else rf"<{name}\b[^>]*>"
+
+
+# First text inside an element: past any tags that open right after it.
+FIRST_TEXT = r"(?:\s*<[^/][^>]*>)*([^<]*)"
+
 # How each site's product cards are delimited in a listing page.
 CARD_MARKUP = {
-    "jumbo": ("pair", r'(?s)<article class="[^"]*vtex-product-summary-2-x-element[^"]*">(.*?)</article>'),
-    "jumbocl": ("pair", r'(?s)<article class="[^"]*vtex-product-summary-2-x-element[^"]*">(.*?)</article>'),
-    "cruzverde": ("split", '<div class="flex flex-col h-full p-10 bg-white rounded-sm font-open sm:p-10">'),
-    "cruzverdecl": ("pair", r'(?s)<ml-new-card-product>\s*<div class="text-left">(.*?)</ml-new-card-product>'),
-    "falabella": ("pair", r'(?s)<a class="pod-link"[^>]*>(.*?)</a>'),
-    "falabellacol": ("pair", r'(?s)<a class="pod-link"[^>]*>(.*?)</a>'),
-    "plaza_vea": ("split", '<div class="Showcase__details">'),
-    "inkafarma": ("pair", r'(?s)<fp-product-large>(.*?)</fp-product-large>'),
+    "jumbo": ("pair", "(?s)" + tag("article", "class", "[^\"]*vtex-product-summary-2-x-element[^\"]*")
+              + "(.*?)</article>"),
+    "jumbocl": ("pair", "(?s)" + tag("article", "class", "[^\"]*vtex-product-summary-2-x-element[^\"]*")
+                + "(.*?)</article>"),
+    "cruzverde": ("split", tag("div", "class", "flex flex-col h-full p-10 bg-white rounded-sm font-open sm:p-10")),
+    "cruzverdecl": ("pair", "(?s)" + tag("ml-new-card-product") + r"\s*" + tag("div", "class", "[^\"]*text-left[^\"]*")
+                    + "(.*?)</ml-new-card-product>"),
+    "falabella": ("pair", "(?s)" + tag("div") + r"\s*" + tag("a") + "(.*?)</a>"),
+    "falabellacol": ("pair", "(?s)" + tag("div") + r"\s*" + tag("a") + "(.*?)</a>"),
+    "plaza_vea": ("split", tag("div", "class", "Showcase__details")),
+    "inkafarma": ("pair", "(?s)" + tag("fp-product-large") + "(.*?)</fp-product-large>"),
 }
+# Where the list of cards starts; a page without it has no cards of that site.
+RESULTS = {"falabella": 'id="testId-searchResults-products"', "falabellacol": 'id="testId-searchResults-products"'}
 
 # Field patterns inside one card; group 1 is the value.
 NAME_PATTERN = {
-    "jumbo": r"<h3[^>]*>\s*<span[^>]*>([^<]*)",
-    "cruzverde": r'<a class="font-open flex items-center text-main[^"]*"[^>]*>([^<]*)',
-    "cruzverdecl": r"<h2[^>]*>\s*<span[^>]*>([^<]*)",
-    "falabella": r'<b id="testId-pod-displaySubTitle-[^"]*"[^>]*>([^<]*)',
-    "plaza_vea": r'<button class="Showcase__name">([^<]*)</button>',
-    "inkafarma": r"<fp-product-name>\s*<span[^>]*>([^<]*)",
+    "jumbo": tag("h3") + FIRST_TEXT,
+    "cruzverde": tag("a", "class", "font-open flex items-center text-main[^\"]*") + FIRST_TEXT,
+    "cruzverdecl": tag("h2") + FIRST_TEXT,
+    "falabella": tag("b", "id", "testId-pod-displaySubTitle-[^\"]*") + FIRST_TEXT,
+    "plaza_vea": tag("button", "class", "Showcase__name") + FIRST_TEXT,
+    "inkafarma": tag("fp-product-name") + FIRST_TEXT,
 }
-SELLING_PRICE_DIV = r'(?s)<div class="[^"]*selling-price[^"]*">(.*?)</div>'
-UNIT_PRICE_DIV = r'(?s)(<div class="[^"]*calculate-pum-2-x-main[^"]*">.*?</div>)'
+# The selling price ends where the unit price begins, or with the card.
+SELLING_PRICE = "(?s)" + tag("div", "class", "[^\"]*selling-price[^\"]*") + "(.*)$"
+UNIT_PRICE_START = r"(?s)<div\b[^>]*calculate-pum-2-x-main.*$"
+UNIT_PRICE_DIV = "(?s)(" + tag("div", "class", "[^\"]*calculate-pum-2-x-main[^\"]*") + ".*?</div>)"
 PRICE_PATTERN = {
-    "cruzverde": r'<span class="font-bold text-prices">([^<]*)</span>',
-    "cruzverdecl": r"(?s)<ml-price-tag-v2>.*?<div[^>]*>\s*<p[^>]*>([^<]*)",
-    "plaza_vea": r'<div class="Showcase__salePrice"[^>]*data-price="([^"]*)"',
-    "inkafarma": r"(?s)<fp-product-card-price>.*?<span[^>]*>([^<]*)</span>\s*</div>\s*</fp-product-card-price>",
+    "cruzverde": tag("span", "class", "font-bold text-prices") + FIRST_TEXT,
+    "cruzverdecl": "(?s)" + tag("ml-price-tag-v2") + ".*?" + tag("div") + r"\s*" + tag("p") + FIRST_TEXT,
 }
+PLAZA_VEA_PRICE_TAG = r"(<div\b[^>]*Showcase__salePrice[^>]*>)"
+PLAZA_VEA_PRICE = r'\bdata-price="([^"]*)"'
+# Inkafarma: the first span that is the last child of its parent, inside the price block.
+INKAFARMA_PRICE_BLOCK = "(?s)" + tag("fp-product-card-price") + "(.*?)</fp-product-card-price>"
+INKAFARMA_PRICE = r"<span\b[^>]*>([^<]*)</span>\s*</"
 FALABELLA_PRICE_PATTERNS = (
-    r"<li data-normal-price[^>]*>\s*<div[^>]*>\s*<span[^>]*>([^<]*)",
-    r'<li data-internet-price[^>]*>\s*<div[^>]*>\s*<span id="">([^<]*)',
-    r'<li data-event-price[^>]*>\s*<div[^>]*>\s*<span id="">([^<]*)',
+    r"<li\b[^>]*\bdata-normal-price\b[^>]*>\s*<div[^>]*>\s*<span[^>]*>([^<]*)",
+    r'<li\b[^>]*\bdata-internet-price\b[^>]*>\s*<div[^>]*>\s*<span\b[^>]*\bid=""[^>]*>([^<]*)',
+    r'<li\b[^>]*\bdata-event-price\b[^>]*>\s*<div[^>]*>\s*<span\b[^>]*\bid=""[^>]*>([^<]*)',
 )
-CRUZVERDE_UNIT_PRICE = r'<span class="text-12">([^<]*)</span>'
-PLAZA_VEA_UNIT_REFERENCE = r'<div class="Showcase__units-reference">([^<]*)</div>'
-INKAFARMA_PRESENTATION = r"<fp-product-description>\s*<span[^>]*>([^<]*)"
-BREADCRUMB_DIV = r'(?s)<div data-testid="breadcrumb">(.*?)</div>'
-BREADCRUMB_TEXT = r"<span>\s*<a[^>]*>([^<]*)</a>"
+CRUZVERDE_UNIT_PRICE = tag("span", "class", "text-12") + FIRST_TEXT
+PLAZA_VEA_UNIT_REFERENCE = tag("div", "class", "Showcase__units-reference") + FIRST_TEXT
+INKAFARMA_PRESENTATION = tag("fp-product-description") + FIRST_TEXT
+BREADCRUMB_DIV = "(?s)" + tag("div", "data-testid", "breadcrumb") + "(.*?)</div>"
+BREADCRUMB_TEXT = r"<span[^>]*>\s*<a[^>]*>([^<]*)</a>"
+
+# The entities that a serialised page holds, '&' last.
+ENTITIES = (("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
+            ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&amp;", "&"))
+
+
+def decode_entities(text: Column) -> Column:
+    """Entities of one field's text as characters; untouched without an '&'."""
+    out = text
+    for entity, char in ENTITIES:
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
 
 
 def by_site(site: Column, choices: dict[str, Column], default: Column | None = None) -> Column:
@@ -74,18 +108,34 @@ def by_site(site: Column, choices: dict[str, Column], default: Column | None = N
 
 
 def _split_cards(html: Column, opener: str) -> Column:
-    pieces = F.split(html, r"\Q" + opener + r"\E")
+    pieces = F.split(html, opener)
     return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
 
 
+def selling_price_texts(card: Column | str) -> Column:
+    """X3 on Jumbo: the text nodes of the selling-price block, in order."""
+    block = F.regexp_extract(F.col(card) if isinstance(card, str) else card, SELLING_PRICE, 1)
+    return text_nodes(F.regexp_replace(block, UNIT_PRICE_START, ""))
+
+
+def plaza_vea_price(card: Column | str) -> Column:
+    """The ``data-price`` attribute of the sale price; '' if it is empty."""
+    return first_match(F.regexp_extract(F.col(card) if isinstance(card, str) else card, PLAZA_VEA_PRICE_TAG, 1),
+                       PLAZA_VEA_PRICE, 1)
+
+
 def card_array(html: Column | str, site: Column | str) -> Column:
     """X1 (array form): the cards of a page, in document order."""
     html = F.col(html) if isinstance(html, str) else html
     site = F.col(site) if isinstance(site, str) else site
     choices = {}
     for name, (mode, spec) in CARD_MARKUP.items():
-        choices[name] = (F.regexp_extract_all(html, F.lit(spec), 1) if mode == "pair"
-                         else _split_cards(html, spec))
+        body = html
+        if name in RESULTS:
+            at = F.instr(html, RESULTS[name])
+            body = F.when(at > 0, html.substr(at, F.length(html))).otherwise(F.lit(""))
+        choices[name] = (F.regexp_extract_all(body, F.lit(spec), 1) if mode == "pair"
+                         else _split_cards(body, spec))
     return by_site(site, choices, F.array().cast("array<string>"))
 
 
@@ -129,14 +179,13 @@ def card_fields(cards: DataFrame) -> DataFrame:
         "plaza_vea": first(NAME_PATTERN["plaza_vea"]),
         "inkafarma": first(NAME_PATTERN["inkafarma"]),
     })
-    jumbo_texts = text_nodes(F.array_join(F.regexp_extract_all(card, F.lit(SELLING_PRICE_DIV), 1), ""))
     price_raw = by_site(site, {
-        JUMBO_SITES: F.try_element_at(jumbo_texts, F.lit(-1)),
+        JUMBO_SITES: F.try_element_at(selling_price_texts(card), F.lit(-1)),
         "cruzverde": first(PRICE_PATTERN["cruzverde"]),
         "cruzverdecl": first(PRICE_PATTERN["cruzverdecl"]),
         FALABELLA_SITES: F.coalesce(*[first(p) for p in FALABELLA_PRICE_PATTERNS]),
-        "plaza_vea": first_match(card, PRICE_PATTERN["plaza_vea"], 1),
-        "inkafarma": first(PRICE_PATTERN["inkafarma"]),
+        "plaza_vea": plaza_vea_price(card),
+        "inkafarma": first_text(F.regexp_extract(card, INKAFARMA_PRICE_BLOCK, 1), INKAFARMA_PRICE, 1),
     })
     unit_price_raw = by_site(site, {
         JUMBO_SITES: first_text(card, UNIT_PRICE_DIV, 1),
@@ -144,8 +193,7 @@ def card_fields(cards: DataFrame) -> DataFrame:
     })
     unit_ref_raw = by_site(site, {"plaza_vea": first(PLAZA_VEA_UNIT_REFERENCE)})
     presentation_raw = by_site(site, {"inkafarma": first(INKAFARMA_PRESENTATION)})
-    return cards.select(
-        *[c for c in cards.columns if c != "card"],
-        name_raw.alias("name_raw"), price_raw.alias("price_raw"),
-        unit_price_raw.alias("unit_price_raw"), unit_ref_raw.alias("unit_ref_raw"),
-        presentation_raw.alias("presentation_raw"))
+    fields = {"name_raw": name_raw, "price_raw": price_raw, "unit_price_raw": unit_price_raw,
+              "unit_ref_raw": unit_ref_raw, "presentation_raw": presentation_raw}
+    raw = cards.select(*[c for c in cards.columns if c != "card"], *[v.alias(k) for k, v in fields.items()])
+    return raw.withColumns({k: decode_entities(F.col(k)) for k in fields})

@@ -17,6 +17,8 @@ no shuffle.  Row policy (R1) follows the site:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -179,17 +181,33 @@ def to_product_rows(parsed: DataFrame, site_rule: DataFrame) -> DataFrame:
         "country")
 
 
-def finished(df: DataFrame) -> DataFrame:
-    """Hand the columns on as generator output (``inline`` of a one-element
-    array), which Catalyst treats as a barrier: a later filter on ``status``
-    or ``category`` stays above it instead of being pushed down with the
-    whole parse inlined into the predicate (which would parse every card
-    twice).  Deterministic, no shuffle, no extra pass over the data."""
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+PASSED_ON = ("site", "page_id", "chunk", "page_number")   # columns of the snapshot itself
+
+
+def finished(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Hand the parsed columns on as generator output (``inline`` of a
+    one-element array), which Catalyst treats as a barrier: a later filter on
+    ``status`` or ``category`` stays above it instead of being pushed down
+    with the whole parse inlined into the predicate (which would parse every
+    card twice).  The snapshot's own columns stay outside, so a filter on them
+    reaches the scan; ``columns`` names what the caller needs, and only that
+    is worked out.  Deterministic, no shuffle, no extra pass over the data."""
+    names = list(columns or df.columns)
+    outside = [c for c in names if c in PASSED_ON]
+    parsed = [c for c in names if c not in PASSED_ON]
+    if not parsed:
+        return df.select(*names)
+    return df.select(*outside, F.inline(F.array(F.struct(*[F.col(c) for c in parsed])))).select(*names)
 
 
-def product_prices(snapshots: DataFrame, site_rule: DataFrame) -> DataFrame:
+def product_prices(snapshots: DataFrame, site_rule: DataFrame,
+                   columns: Sequence[str] | None = None) -> DataFrame:
     """Snapshots -> all product rows (kept and rejected), one pass, no shuffle
-    apart from the broadcast of the fixed-size site table."""
+    apart from the broadcast of the fixed-size site table.
+
+    ``columns``: the row's columns to make (all by default).  Filters on site
+    or page are best applied to the result; they reach the snapshot scan.
+    """
     from priceflow.operators.extract import card_fields, explode_cards
-    return finished(to_product_rows(parse_cards(card_fields(explode_cards(snapshots))), site_rule))
+    rows = to_product_rows(parse_cards(card_fields(explode_cards(snapshots))), site_rule)
+    return finished(rows, columns)

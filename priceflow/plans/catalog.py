@@ -8,6 +8,7 @@ every computed column has the same alias on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from priceflow import rules
 from priceflow.functions import labels, price, quantity
-from priceflow.functions.text import first_match, first_text, strip_text, text_nodes
+from priceflow.functions.text import first_match, first_text, strip_text
 from priceflow.operators import crawl_log as cl
 from priceflow.operators import extract as ex
 from priceflow.operators import frontier as fr
@@ -25,7 +26,9 @@ from priceflow.operators.products import attach_retailer, product_prices
 from priceflow.plans import duck as d
 from priceflow.plans import oracle as o
 from priceflow.sources import fixtures as fx
+from priceflow.session import shared_path
 from priceflow.sources import sink
+from priceflow.sources.snapshots import read_snapshots, write_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, tuple[Query, str | None]] = {}
@@ -62,9 +65,9 @@ PAGE_KEY = ["page_id", "chunk"]
 CARD_KEY = ["page_id", "chunk", "pos"]
 
 
-def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def product_rows(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """All price rows (kept and rejected) of the captured pages."""
-    return product_prices(fx.page_snapshot(spark, sf_dir), fx.site_rule(spark))
+    return product_prices(fx.page_snapshot(spark, sf_dir), fx.site_rule(spark), columns or None)
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +102,10 @@ def product_price(spark, sf_dir):
     " md5(html) AS html_md5, cast(length(html) AS BIGINT) AS html_chars,"
     " strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS captured FROM page_snapshot"))
 def scan_snapshots(spark, sf_dir):
-    s = fx.page_snapshot(spark, sf_dir)
+    """Captured pages stored as files, read by the batch reader."""
+    path = shared_path(spark, f"snapshots-{uuid.uuid4().hex}")
+    write_snapshots(fx.page_snapshot(spark, sf_dir), path)
+    s = read_snapshots(spark, path)
     return s.select(*PAGE_KEY, "site", "url", "category", "sub_category", "page_number", "n_cards",
                     F.md5("html").alias("html_md5"), F.length("html").cast("bigint").alias("html_chars"),
                     F.date_format("captured_at", "yyyy-MM-dd HH:mm:ss").alias("captured"))
@@ -130,8 +136,10 @@ def custom_url_source(spark, sf_dir):
     " comercial_name, comercial_id, result_date, result_time, country FROM product_rows"
     " WHERE status <> 'rejected' AND country IS NOT NULL", products=True))
 def append_country_table(spark, sf_dir):
-    """The frame S4 appends (``sink.append_country_table`` writes it)."""
-    return sink.sink_frame(product_rows(spark, sf_dir))
+    """The rows are appended to a table in shared storage and read back."""
+    path = shared_path(spark, f"prices-{uuid.uuid4().hex}")
+    sink.append_country_table(product_rows(spark, sf_dir), path)
+    return sink.kept_rows(spark, path)
 
 
 @register("project_sink_row", W(
@@ -145,7 +153,7 @@ def project_sink_row(spark, sf_dir):
     "SELECT country, count(*) AS n_rows FROM product_rows WHERE country IS NOT NULL GROUP BY country",
     products=True))
 def route_by_country(spark, sf_dir):
-    routed, _ = sink.route_by_country(product_rows(spark, sf_dir))
+    routed, _ = sink.route_by_country(product_rows(spark, sf_dir, "country"))
     return routed.groupBy("country").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -153,7 +161,7 @@ def route_by_country(spark, sf_dir):
     "SELECT site, page_id, chunk, pos, coalesce(reason, 'no_country') AS reason FROM product_rows"
     " WHERE status = 'rejected' OR country IS NULL", products=True))
 def isolate_bad_rows(spark, sf_dir):
-    _, bad = sink.isolate_bad_rows(product_rows(spark, sf_dir))
+    _, bad = sink.isolate_bad_rows(product_rows(spark, sf_dir, "site", *CARD_KEY, "status", "reason", "country"))
     return bad.select("site", *CARD_KEY, "reason")
 
 
@@ -214,7 +222,8 @@ def breadcrumb_category(spark, sf_dir):
     "SELECT site, page_id, chunk, pos, category, sub_category FROM product_rows", products=True))
 def constant_category(spark, sf_dir):
     """Labels of every row; Inkafarma's are the constant ones."""
-    return product_rows(spark, sf_dir).select("site", *CARD_KEY, "category", "sub_category")
+    columns = ["site", *CARD_KEY, "category", "sub_category"]
+    return product_rows(spark, sf_dir, *columns).select(*columns)
 
 
 @register("compose_name", W(
@@ -246,7 +255,7 @@ def display_name(spark, sf_dir):
     " WHERE category IN (SELECT upper(category) FROM seed WHERE part = '1')", products=True))
 def category_allow_list(spark, sf_dir):
     allowed = fx.seed(spark, sf_dir).where(F.col("part") == "1").select(F.upper("category"))
-    return fr.category_allow_list(product_rows(spark, sf_dir), allowed).select(
+    return fr.category_allow_list(product_rows(spark, sf_dir, "site", *CARD_KEY, "category"), allowed).select(
         "site", *CARD_KEY, "category")
 
 
@@ -257,7 +266,7 @@ DENIED_IN_QUERY = "PROMO"
     f"SELECT site, page_id, chunk, pos, category FROM product_rows"
     f" WHERE category IS DISTINCT FROM '{DENIED_IN_QUERY}'", products=True))
 def category_deny(spark, sf_dir):
-    return fr.category_deny(product_rows(spark, sf_dir), DENIED_IN_QUERY).select(
+    return fr.category_deny(product_rows(spark, sf_dir, "site", *CARD_KEY, "category"), DENIED_IN_QUERY).select(
         "site", *CARD_KEY, "category")
 
 
@@ -313,7 +322,7 @@ def special_category_pick(spark, sf_dir):
     "SELECT site, page_id, chunk, pos FROM product_rows WHERE name IS NOT NULL AND price IS NOT NULL",
     products=True))
 def missing_field_filter(spark, sf_dir):
-    return policy.missing_field_filter(product_rows(spark, sf_dir)).select("site", *CARD_KEY)
+    return policy.missing_field_filter(product_rows(spark, sf_dir, "site", *CARD_KEY, "name", "price")).select("site", *CARD_KEY)
 
 
 @register("link_present", W("SELECT page_id, pos, href FROM menu_link WHERE href IS NOT NULL AND href <> ''"))
@@ -374,7 +383,7 @@ def field_first(spark, sf_dir):
     return fields(spark, sf_dir).select(*CARD_KEY, "name_raw")
 
 
-_last_text = (d.text_nodes(f"array_to_string({d.all_matches('card', ex.SELLING_PRICE_DIV, 1)}, '')")
+_last_text = (d.selling_price_texts("card")
               + "[-1]")
 
 
@@ -383,17 +392,17 @@ _last_text = (d.text_nodes(f"array_to_string({d.all_matches('card', ex.SELLING_P
 def field_last(spark, sf_dir):
     """X3 on every card: the last text of the selling-price elements."""
     e = explode_cards(fx.page_snapshot(spark, sf_dir))
-    texts = text_nodes(F.array_join(F.regexp_extract_all("card", F.lit(ex.SELLING_PRICE_DIV), 1), ""))
+    texts = ex.selling_price_texts("card")
     return e.select(*CARD_KEY, F.try_element_at(texts, F.lit(-1)).alias("price_text"))
 
 
 @register("field_attribute", W(
-    f"SELECT page_id, chunk, pos, {d.first('card', ex.PRICE_PATTERN['plaza_vea'], 1)} AS data_price"
+    f"SELECT page_id, chunk, pos, {d.plaza_vea_price('card')} AS data_price"
     " FROM exploded", products=True))
 def field_attribute(spark, sf_dir):
     """X4 on every card: the ``data-price`` attribute ('' when empty)."""
     e = explode_cards(fx.page_snapshot(spark, sf_dir))
-    return e.select(*CARD_KEY, first_match("card", ex.PRICE_PATTERN["plaza_vea"], 1).alias("data_price"))
+    return e.select(*CARD_KEY, ex.plaza_vea_price("card").alias("data_price"))
 
 
 _unit_ref = d.strip(d.blank_null(f"regexp_extract(card, {d.lit(ex.PLAZA_VEA_UNIT_REFERENCE)}, 1)"))
@@ -732,7 +741,8 @@ def stop_on_empty_pages(spark, sf_dir):
     " count(*) AS cards, count(DISTINCT (page_id, chunk)) AS pages, max(page_number) AS max_page"
     " FROM product_rows GROUP BY site, category, sub_category", products=True))
 def category_summary(spark, sf_dir):
-    return cl.category_summary(product_rows(spark, sf_dir))
+    return cl.category_summary(product_rows(
+        spark, sf_dir, "site", "category", "sub_category", "status", *PAGE_KEY, "page_number"))
 
 
 @register("running_total", W(
@@ -744,10 +754,12 @@ def running_total(spark, sf_dir):
         "site", "category", "page_number", "products_found", "running_total")
 
 
-_active = f"{d.all_matches('html', cl.ACTIVE_PAGE, 1)}[1]"
+_ANY_PAGE = r'<span class="[^"]*pagination__item[^"]*page-number[^"]*">([^<]*)</span>'
+_ACTIVE_PAGE = r'<span class="[^"]*active[^"]*">([^<]*)</span>'
+_active = f"{d.strip(d.all_matches('html', _ACTIVE_PAGE, 1) + '[1]')}"
 _cur = (f"(CASE WHEN contains(html, {d.lit(cl.PAGINATION)}) AND regexp_matches({_active}, '^\\d+$')"
         f" THEN try_cast({_active} AS INTEGER) END)")
-_last = ("list_max(list_transform(list_filter(" + d.all_matches("html", cl.ANY_PAGE, 1)
+_last = ("list_max(list_transform(list_filter(" + d.all_matches("html", _ANY_PAGE, 1)
          + ", lambda t: regexp_matches(t, '^\\d+$')), lambda t: try_cast(t AS INTEGER)))")
 
 
@@ -802,25 +814,26 @@ def distinct_links(spark, sf_dir):
     return fr.distinct_links(links)
 
 
+_dedup = ", ".join(policy.DEDUP_KEYS)
+
+
 @register("dedup_rows", W(
-    "SELECT site, name, category, sub_category, result_date, result_time,"
-    " struct_extract(first_row, 'page_id') AS page_id, struct_extract(first_row, 'chunk') AS chunk,"
-    " struct_extract(first_row, 'pos') AS pos, struct_extract(first_row, 'price') AS price, copies FROM ("
-    " SELECT site, name, category, sub_category, result_date, result_time,"
-    " min(struct_pack(page_id := page_id, chunk := chunk, pos := pos, price := price)) AS first_row,"
-    " count(*) AS copies FROM product_rows WHERE status <> 'rejected'"
-    " GROUP BY site, name, category, sub_category, result_date, result_time)", products=True))
+    f"SELECT {_dedup}, page_id, chunk, pos, copies FROM ("
+    f" SELECT *, row_number() OVER w AS nth, count(*) OVER (PARTITION BY {_dedup}, alone) AS copies FROM ("
+    "  SELECT *, CASE WHEN name IS NULL THEN page_id || '/' || chunk || '/' || pos END AS alone"
+    "  FROM product_rows WHERE status <> 'rejected')"
+    f" WINDOW w AS (PARTITION BY {_dedup}, alone ORDER BY page_id, chunk, pos)) WHERE nth = 1", products=True))
 def dedup_rows(spark, sf_dir):
-    rows = product_rows(spark, sf_dir).where(F.col("status") != "rejected").select(
-        *policy.DEDUP_KEYS, *CARD_KEY, "price")
-    return policy.dedup_rows(rows).select(*policy.DEDUP_KEYS, *CARD_KEY, "price", "copies")
+    rows = product_rows(spark, sf_dir, *policy.DEDUP_KEYS, *CARD_KEY, "status")
+    rows = rows.where(F.col("status") != "rejected").drop("status")
+    return policy.dedup_rows(rows).select(*policy.DEDUP_KEYS, *CARD_KEY, "copies")
 
 
 @register("row_policy", W(
     "SELECT site, status, reason, count(*) AS cards FROM product_rows GROUP BY site, status, reason",
     products=True))
 def row_policy(spark, sf_dir):
-    return policy.row_policy_summary(product_rows(spark, sf_dir))
+    return policy.row_policy_summary(product_rows(spark, sf_dir, "site", "status", "reason"))
 
 
 LIMIT_N = 500
@@ -830,7 +843,8 @@ LIMIT_N = 500
     "SELECT site, page_id, chunk, pos, name, price FROM product_rows WHERE status <> 'rejected'"
     f" ORDER BY site, page_id, chunk, pos LIMIT {LIMIT_N}", products=True))
 def limit_items(spark, sf_dir):
-    rows = product_rows(spark, sf_dir).where(F.col("status") != "rejected")
+    rows = product_rows(spark, sf_dir, "site", *CARD_KEY, "name", "price", "status").where(
+        F.col("status") != "rejected")
     return policy.limit_items(rows, LIMIT_N).select("site", *CARD_KEY, "name", "price")
 
 
@@ -844,4 +858,4 @@ def stream_append(spark, sf_dir):
     (availableNow) appends the kept rows to the country-partitioned sink.
     Must equal the batch sink frame."""
     from priceflow.streaming.stream import stream_append as run
-    return run(spark, fx.page_snapshot(spark, sf_dir), fx.site_rule(spark))
+    return sink.kept_rows(spark, run(spark, fx.page_snapshot(spark, sf_dir), fx.site_rule(spark)))

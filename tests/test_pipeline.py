@@ -51,21 +51,26 @@ def test_rerun_gives_same_rows(spark, rows):
     assert again.exceptAll(rows).count() == 0
 
 
-def test_sink_appends_by_country(spark, rows):
-    out = tempfile.mkdtemp(prefix="priceflow-sink-")
-    sink.append_country_table(rows, os.path.join(out, "prices"), os.path.join(out, "rejects"))
-    written = spark.read.parquet(os.path.join(out, "prices"))
-    assert set(r.country for r in written.select("country").distinct().collect()) <= {"colombia", "chile", "peru"}
-    assert written.count() == rows.where(F.col("status") != "rejected").count()
-    assert written.columns == [c for c, _ in sink.SINK_COLUMNS] + ["country"]
-
-
-def test_stream_equals_batch(spark, rows):
+def test_sink_appends_kept_and_rejected_in_one_table(spark, rows):
+    out = os.path.join(tempfile.mkdtemp(prefix="priceflow-sink-"), "prices")
+    sink.append_country_table(rows, out)
+    kept, rejected = sink.kept_rows(spark, out), sink.rejected_rows(spark, out)
+    assert set(r.country for r in kept.select("country").distinct().collect()) <= {"colombia", "chile", "peru"}
+    assert kept.columns == [c for c, _ in sink.SINK_COLUMNS] + ["country"]
+    assert kept.count() == rows.where(F.col("status") != "rejected").count()
+    assert kept.count() + rejected.count() == rows.count()
+    assert rejected.where("reason IS NULL").count() == 0
+
+
+def test_stream_equals_batch_over_several_micro_batches(spark, rows):
     base = tempfile.mkdtemp(prefix="priceflow-stream-")
-    streamed = stream_append(spark, fx.page_snapshot(spark, SF_SMALL), fx.site_rule(spark), base_dir=base)
-    batch = sink.sink_frame(rows)
+    path = stream_append(spark, fx.page_snapshot(spark, SF_SMALL).repartition(3), fx.site_rule(spark), base_dir=base,
+                         max_files_per_trigger=1)
+    batches = [f for f in os.listdir(os.path.join(base, "checkpoint", "commits")) if f.isdigit()]
+    assert len(batches) >= 3
+    streamed, batch = sink.kept_rows(spark, path), sink.sink_frame(rows)
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
-    assert streamed.count() == batch.count()
+    assert streamed.count() + sink.rejected_rows(spark, path).count() == rows.count()
 
 
 @pytest.mark.parametrize("name", ["product_price", "stop_on_empty_pages", "menu_tree", "next_page"])
@@ -109,3 +114,18 @@ def test_filter_on_parsed_column_stays_above_the_parse(spark):
     filters = [line for line in plan.splitlines() if "Filter" in line and "status" in line]
     assert filters
     assert all("regexp" not in line.lower() and "rlike" not in line.lower() for line in filters)
+
+
+def test_site_filter_reaches_the_scan_and_unused_columns_are_not_parsed(spark, tmp_path):
+    from priceflow.operators.products import product_prices
+    from priceflow.sources.snapshots import read_snapshots, write_snapshots
+    write_snapshots(fx.page_snapshot(spark, SF_SMALL), str(tmp_path / "pages"))
+    pages, rules = read_snapshots(spark, str(tmp_path / "pages")), fx.site_rule(spark)
+    one = product_prices(pages, rules).where("site = 'jumbo' AND page_id = 1").select("site")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(site,jumbo)" in plan and "EqualTo(page_id,1)" in plan
+    country = product_prices(pages, rules, ["country"]).groupBy("country").count()
+    full = product_prices(pages, rules).groupBy("country").count()
+    regexps = [d._jdf.queryExecution().optimizedPlan().toString().count("regexp") for d in (country, full)]
+    assert regexps[0] < regexps[1] / 2
+    assert sorted(country.collect(), key=str) == sorted(full.collect(), key=str)
