@@ -206,6 +206,8 @@ def _chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _encode_cells(ranks: dict[bytes, int]):
     """(chunk, cell, counts, ids) from rows sorted by cell; a cell's equal words are encoded once."""
+    kind = id_type(ranks)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, encoded = None, {}
         for batch in batches:
@@ -219,7 +221,7 @@ def _encode_cells(ranks: dict[bytes, int]):
                         encoded[word] = merge(word, ranks)
                     found.append(encoded[word])
                 counts.append(np.array([len(f) for f in found], np.int32).tobytes())
-                ids.append(np.array([i for f in found for i in f], np.uint32).astype(id_type(ranks)).tobytes())
+                ids.append(np.array([i for f in found for i in f], kind).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(0), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())],
                 names=["chunk", "cell", "counts", "ids"])
