@@ -57,15 +57,8 @@ def union_seed_lists(seeds: DataFrame, parts: Sequence[str] = ("1", "2", "electr
     ``list_no`` is the list's place in the concatenation, so
     (list_no, seq) orders the result as the reference's ``a + b + c``.
     """
-    out = None
-    for i, p in enumerate(parts):
-        one = seeds.where(F.col("part") == p).withColumn("list_no", F.lit(i))
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-BROADCAST_PICKS_MAX = 100_000
-PICK_SALTS = 64
+    places = F.array_compact(F.array(*[F.when(F.col("part") == p, F.lit(i)) for i, p in enumerate(parts)]))
+    return seeds.select("*", F.explode(places).alias("list_no"))
 
 
 def seed_selector(requests: DataFrame, seeds: DataFrame, scope: str = "supermarket",
@@ -76,12 +69,10 @@ def seed_selector(requests: DataFrame, seeds: DataFrame, scope: str = "supermark
     the supermarket lists), then ``part``; no category picks every list; no
     match picks none.  One row per (run, seed).
 
-    The join key ``part`` has three values, so a plain shuffle join would
-    put a third of the seeds in one task.  The picks (runs x lists) are
-    counted: up to ``BROADCAST_PICKS_MAX`` rows they are broadcast and the
-    seeds stream past them; beyond that each seed gets a deterministic salt
-    and the picks are repeated once per salt, so every list is spread over
-    ``PICK_SALTS`` tasks.
+    The join key ``part`` has three values, so a list is a hot key: the join
+    is left to the planner, which broadcasts the picks (runs x lists) when it
+    has measured them small and otherwise splits the hot partitions (AQE skew
+    join, see ``session.PIPELINE_CONF``).
     """
     cat, part = F.col("category"), F.col("part")
     none = cat.isNull() | (cat == "")
@@ -93,11 +84,7 @@ def seed_selector(requests: DataFrame, seeds: DataFrame, scope: str = "supermark
               .otherwise(F.array().cast("array<string>")))
     picks = requests.select("run_id", F.explode(chosen).alias("part"))
     seeds = seeds.withColumnRenamed("category", "seed_category")
-    if picks.count() <= BROADCAST_PICKS_MAX:
-        return seeds.join(F.broadcast(picks), "part", "inner")
-    salted = seeds.withColumn("_salt", F.pmod(F.xxhash64(*seeds.columns), F.lit(PICK_SALTS)))
-    spread = picks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PICK_SALTS - 1))))
-    return salted.join(spread, ["part", "_salt"], "inner").drop("_salt")
+    return seeds.join(picks, "part", "inner")
 
 
 def number_requests(requests: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -653,9 +653,9 @@ def resolve_links(spark, sf_dir):
     return resolved_links(spark, sf_dir).select("page_id", "pos", "link_url")
 
 
-@register("menu_links", W("SELECT page_id, cast(pos AS INTEGER) AS pos, href, text FROM menu_link"))
+@register("menu_links", W("SELECT page_id, cast(pos AS INTEGER) AS pos, href, text FROM menu_raw"))
 def menu_links(spark, sf_dir):
-    return fx.menu_link(spark, sf_dir).select("page_id", "pos", "href", "text")
+    return fx.menu_raw(spark, sf_dir).select("page_id", "pos", "href", "text")
 
 
 MENU_CATEGORY = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]+/([^/?#]+)"

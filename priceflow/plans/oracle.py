@@ -48,13 +48,14 @@ crawl_log AS (
   FROM (SELECT *, cast(row_number() OVER (PARTITION BY site, category ORDER BY visited_at, event_id) AS INTEGER)
                AS page_number FROM crawl_base)),
 request_log AS (SELECT {_sel(fx.request_log_exprs(DD))} FROM events WHERE event_type = 'error'),
-menu_link AS (
+menu_raw AS (
   SELECT page_id, url, cast(m.pos AS INTEGER) AS pos, m.href AS href, m.text AS text FROM (
     SELECT page_id, url, unnest(list_transform(
         {d.all_matches('html', fx.MENU_LINK_PATTERN, 1)},
         lambda h, i: struct_pack(pos := i, href := h,
                                  text := {d.all_matches('html', fx.MENU_LINK_PATTERN, 2)}[i]))) AS m
     FROM pages)),
+menu_link AS (SELECT {_sel(fx.menu_link_exprs(DD))} FROM menu_raw),
 seed AS (SELECT {_sel(fx.seed_exprs(DD))} FROM part),
 site_rule AS ({site_rule_values()})"""
 

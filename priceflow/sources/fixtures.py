@@ -10,7 +10,7 @@ tables so that every query's work grows with them:
                     per page (a bounded group), wrapped in the site's markup
 * ``crawl_log``     one visited page per ``events`` row
 * ``request_log``   one failed request per ``events`` row of type 'error'
-* ``menu_link``     the navigation links of ``pages``
+* ``menu_link``     the navigation links of ``pages``, with the forms shops use
 * ``seed``          one (category, sub-category) seed per ``part`` row
 
 Every column is a SQL expression rendered for one of two dialects, Spark
@@ -382,12 +382,35 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(ev, request_log_exprs(d))
 
 
-def menu_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+def menu_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Navigation anchors of ``pages``: (page_id, url, pos, href, text)."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return menu_links(pages)
 
 
+def menu_link_exprs(d: Dialect) -> list[tuple[str, str]]:
+    """Anchors as shops print them: some without an address, some to other
+    hosts, some relative, some with a text that is not a product list."""
+    n = d.s("pos")
+    denied = rules.CRUZVERDE_CL_DENIED_LINK_TEXTS[0]
+    return [
+        ("page_id", "page_id"), ("url", "url"), ("pos", "pos"),
+        ("href", "CASE WHEN (page_id + pos) % 11 = 0 THEN ''"
+                 " WHEN (page_id + 2 * pos) % 7 = 0 THEN 'https://cdn.example.net' || href"
+                 f" WHEN (3 * page_id + pos) % 9 = 1 THEN '?p=' || {n}"
+                 f" WHEN (3 * page_id + pos) % 9 = 2 THEN '#s' || {n}"
+                 f" WHEN (3 * page_id + pos) % 9 = 3 THEN 'rel/' || {n}"
+                 f" WHEN (3 * page_id + pos) % 9 = 4 THEN '//cdn.example.org/' || {n}"
+                 " ELSE href END"),
+        ("text", f"CASE WHEN (page_id + pos) % 13 = 0 THEN {q(denied)} || ' ' || text ELSE text END"),
+    ]
+
+
+def menu_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The anchors with the properties above."""
+    return _select(menu_raw(spark, sf_dir), menu_link_exprs(Dialect("spark")))
+
+
 def seed_exprs(d: Dialect) -> list[tuple[str, str]]:
     return [
         ("site", "'plaza_vea'"),

@@ -118,13 +118,12 @@ def test_classify_failures(spark):
                    3: ("gave_up", None, None, "C"), 4: ("error", None, None, "Unknown")}
 
 
-def test_seed_selector_salted_path_equals_broadcast(spark, monkeypatch):
+def test_seed_selector_counts_and_one_scan_union(spark):
     seeds = spark.range(0, 300).selectExpr(
         "CASE id % 3 WHEN 0 THEN '1' WHEN 1 THEN '2' ELSE 'electro' END AS part",
         "'c' AS category", "'s' AS sub_category", "id AS seq")
     runs = spark.createDataFrame([(1, "super", "1"), (2, None, None), (3, "electro", "x")],
                                  "run_id long, category string, part string")
-    small = sorted((r.run_id, r.seq) for r in fr.seed_selector(runs, seeds).collect())
-    monkeypatch.setattr(fr, "BROADCAST_PICKS_MAX", 0)
-    salted = sorted((r.run_id, r.seq) for r in fr.seed_selector(runs, seeds).collect())
-    assert small == salted and len(small) == 100 + 300 + 100
+    assert fr.seed_selector(runs, seeds).count() == 100 + 300 + 100
+    lists = fr.union_seed_lists(seeds, ("2", "1", "2")).groupBy("list_no").count().orderBy("list_no").collect()
+    assert [(r.list_no, r["count"]) for r in lists] == [(0, 100), (1, 100), (2, 100)]
