@@ -7,6 +7,7 @@ written to the shared folder, which also cuts the lineage.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +49,18 @@ def components(links: DataFrame) -> DataFrame:
         before = after
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least node of each node's component among the n nodes of one block, by
+    label spreading over the links (a, b)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

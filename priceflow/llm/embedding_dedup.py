@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priceflow.llm import common
-from priceflow.llm.components import components
+from priceflow.llm.components import components, spanning
 
 THRESHOLD = 0.98
 SAMPLE = 8192
@@ -118,20 +118,6 @@ def _stack(column, width: int) -> np.ndarray:
     return out
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least node of each node's component among n nodes, by label spreading."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def classes(vectors: DataFrame) -> DataFrame:
     """(cid, label, dim, vec, m, first_id): one row per distinct comparable vector."""
     vec = F.col("embedding")
@@ -200,7 +186,7 @@ def link_classes(found: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
         ids, at = np.unique(np.concatenate((vc, hc)), return_inverse=True)
         links = np.bincount(at[p], left["m"].to_numpy()[q], len(ids))
         links += np.bincount(at[len(vc) + q], np.where(back, 0, right["m"].to_numpy()[p]), len(ids))
-        root = _forest(len(ids), at[p], at[len(vc) + q])
+        root = spanning(len(ids), at[p], at[len(vc) + q])
         some = np.flatnonzero((links > 0) | (root != np.arange(len(ids))))
         return pd.DataFrame({"cid": ids[some], "links": links[some].astype(int), "a": ids[some], "b": ids[root[some]]})
 

@@ -11,11 +11,14 @@ one of them has at most one error, and every chunk is indexed once per place
 left out, which enumerates its allowed errors.
 
 Buckets of the index do not become pairs.  First each class is compared with
-one neighbour, the least class of its buckets; what links is joined into
-components.  Then only pairs that share a bucket, lie in different components
-and are within the radius are compared: a pair inside a component can add
-nothing.  Every link is confirmed on the full sets, so the components are those
-of all links.
+one neighbour, that class of its buckets which shares the most buckets with
+others (what a group was copied from comes first); what links is joined into
+components.  A pair inside a component can add nothing, so only buckets with
+several components stay open.  Their classes are put into blocks of about
+``BLOCK`` with the same neighbour, and blocks that meet in an open bucket are
+compared as a whole, by matrix products over their full sets, inside one task;
+only links that span what they join are written.  Every link is confirmed on
+full sets, so the components are those of all links.
 
 Null and empty texts have no shingles and link with nothing: their component is
 their own id.  Repeated rows and equal sets fall into one class.  Null ids take
@@ -35,11 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priceflow.llm import common
-from priceflow.llm.components import components
+from priceflow.llm.components import components, spanning
 
 WORDS = 5
 HASHES = 64
 MISS = 1e-6
+BLOCK = 256
 _random = np.random.default_rng(5)
 MULTIPLY = _random.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADD = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64)
@@ -142,6 +146,56 @@ def _confirm(percent: int):
     return run
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections among the sets of one block, by matrix products."""
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(every, return_inverse=True, return_counts=True)
+    often = count[column] > 1
+    column, owner = column[often], owner[often]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    column = np.cumsum(np.concatenate(([0], column[1:] != column[:-1]))) if len(column) else column
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 8192):
+        a, b = np.searchsorted(column, (lo, lo + 8192))
+        table = np.zeros((len(sets), 8192), np.float32)
+        table[owner[a:b], column[a:b] - lo] = 1
+        out += table @ table.T
+    return out
+
+
+def _compare_blocks(percent: int):
+    """Spanning links among the classes of a pair of blocks that are in different components."""
+    def links(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        cid, component = (np.array([r[k] for r in rows], np.int64) for k in (3, 4))
+        side = np.array([r[2] == r[0] for r in rows])
+        sets = shingle_sets(*common.text_buffer(pa.array([r[5] for r in rows], pa.string())))
+        size = np.array([len(s) for s in sets], np.float64)
+        both = shared_counts(sets).astype(np.float64)
+        near = 100 * both >= percent * (size[:, None] + size - both)
+        near &= component[:, None] != component
+        if not side.all():
+            near &= side[:, None] != side
+        a, b = np.nonzero(near)
+        root = spanning(len(rows), a, b)
+        some = np.flatnonzero(root != np.arange(len(rows)))
+        return cid[some], cid[root[some]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[:2] != held[0][:2]:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, links(held))), names=["a", "b"])
+                    held = []
+                held.append(row)
+        if held:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, links(held))), names=["a", "b"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (and text_hash): one row per document."""
     r = radius(percent)
@@ -161,23 +215,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .select(F.monotonically_increasing_id().alias("cid"), "*"), "minhash-classes")
 
     index = common.map_arrow(classes.select("cid", "symbols"), _index(bounds), "key bigint, cid bigint")
-    least = index.groupBy("key").agg(F.min("cid").alias("least"), F.count("*").alias("n")).where("n > 1")
-    shared = common.materialize(index.join(least.select("key", "least"), "key").select("key", "cid", "least"),
-                                "minhash-buckets")
-    nearest = shared.groupBy("cid").agg(F.min("least").alias("least"))
+    often = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = common.materialize(index.join(often, "key").select("key", "cid", "n"), "minhash-buckets")
+    # the text that others were copied from shares the most buckets with them
+    weight = shared.groupBy("cid").agg(F.sum("n").alias("weight"))
+    centre = shared.join(weight, "cid").groupBy("key").agg(F.max(F.struct("weight", "cid")).alias("centre"))
+    nearest = common.materialize(shared.select("key", "cid").join(centre, "key").groupBy("cid").agg(
+        F.max("centre").alias("centre")).select("cid", F.col("centre.cid").alias("centre")), "minhash-centres")
     one = F.col("one")
     wanted = nearest.join(classes.select("cid", one["doc_id"].alias("id"), one["text_hash"].alias("hash")), "cid")
     # the text of one document per class that shares a bucket; equal rows may come twice, which is harmless
     texts = common.materialize(
         rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["text_hash"] == wanted["hash"]))
-        .select("cid", "least", "text"), "minhash-texts")
+        .select("cid", "centre", "text"), "minhash-texts")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         return common.map_arrow(pairs, _confirm(percent), "a bigint, b bigint")
 
     firsts = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")).join(
-        nearest.select(F.col("least").alias("a")).distinct(), "a", "left_semi")
-    stars = texts.where("cid != least").select(F.col("least").alias("a"), F.col("cid").alias("b"),
+        nearest.select(F.col("centre").alias("a")).distinct(), "a", "left_semi")
+    stars = texts.where("cid != centre").select(F.col("centre").alias("a"), F.col("cid").alias("b"),
                                               F.col("text").alias("text_b"))
     links = common.materialize(confirm(stars.join(firsts, "a").select("a", "b", "text_a", "text_b")), "minhash-links")
     joined = components(links)
@@ -186,20 +243,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     named = shared.select("key", "cid").join(joined.withColumnRenamed("node", "cid"), "cid", "left").select(
         "key", "cid", F.coalesce("component", "cid").alias("component"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    open_rows = common.materialize(named.join(mixed.select("key"), "key")
-                                   .join(classes.select("cid", "symbols"), "cid"), "minhash-open")
-    left = open_rows.select("key", F.col("cid").alias("a"), F.col("component").alias("c_a"),
-                            F.col("symbols").alias("s_a"))
-    right = open_rows.select("key", F.col("cid").alias("b"), F.col("component").alias("c_b"),
-                             F.col("symbols").alias("s_b"))
-    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b"))
-                      & (F.col("c_a") != F.col("c_b"))).select("a", "b", "s_a", "s_b")
-    pairs = common.map_arrow(pairs, _within(r), "a bigint, b bigint").distinct()
-    tried = stars.select("a", "b")
-    pairs = common.materialize(pairs.join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
-    text_a = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    text_b = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-    more = confirm(pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b"))
+    open_rows = common.materialize(named.join(mixed.select("key"), "key"), "minhash-open")
+    members = open_rows.select("cid", "component").distinct().join(nearest, "cid")
+    crowd = members.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    part = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    members = common.materialize(members.join(crowd, "centre").select(
+        "cid", "component", F.xxhash64("centre", part).alias("block")), "minhash-members")
+    meeting = common.materialize(
+        open_rows.select("key", "cid").join(members.select("cid", "block"), "cid").select("key", "block").distinct(),
+        "minhash-meeting")
+    other = meeting.select(F.col("key").alias("k"), F.col("block").alias("other"))
+    pairs = common.materialize(
+        meeting.join(other, (F.col("key") == F.col("k")) & (F.col("block") <= F.col("other")))
+        .select("block", "other").distinct(), "minhash-blocks")
+    bodies = members.join(texts.select("cid", "text"), "cid")
+    near, far = bodies.withColumnRenamed("block", "own"), bodies.toDF(*bodies.columns).withColumnRenamed("block", "own")
+    columns = ["block", "other", F.col("own").alias("side"), "cid", "component", "text"]
+    rows_of = near.join(pairs, near["own"] == pairs["block"]).select(*columns).unionByName(
+        far.join(pairs, (far["own"] == pairs["other"]) & (pairs["block"] != pairs["other"])).select(*columns))
+    dealt = rows_of.repartition(common.partitions(docs.sparkSession), "block", "other")
+    more = common.materialize(common.map_arrow(
+        dealt.sortWithinPartitions("block", "other"), _compare_blocks(percent), "a bigint, b bigint"), "minhash-more")
     joined = components(links.unionByName(more))
 
     # the document that stays: least id of the component (a null id last), then least hash
@@ -227,16 +291,3 @@ def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
     kept = near_duplicates(docs, percent).where("stays").select("doc_id", "text_hash").distinct()
     same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["hash"] == kept["text_hash"])
     return rows.join(kept, same, "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
-
-
-def _within(limit: int):
-    """Pairs (a, b) whose signatures differ in at most ``limit`` places."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                s, t = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, HASHES)
-                        for i in (2, 3))
-                near = (s != t).sum(axis=1) <= limit
-                yield batch.filter(pa.array(near)).select(["a", "b"])
-
-    return run
