@@ -25,6 +25,7 @@ from priceflow.session import shared_path
 
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = pow(BASE, -1, 1 << 64)
 BLOCK = 1 << 20
 

@@ -5,10 +5,11 @@ taken in hash order; equal texts once): every word, and its first 4 and 5
 bytes, is a feature.  A feature's score is the log-odds of occurring in toxic
 against other texts under an informative Dirichlet prior (each feature's own
 overall rate, ``PRIOR`` of the observed mass); it enters the lexicon if its
-z-score reaches ``MIN_Z``.
+z-score reaches ``MIN_Z`` and its log-odds ``MIN_ODDS``.
 
 Scoring: a word scores as the most specific of its features in the lexicon,
-any other word costs ``DRIFT``.  One linear scan finds all maximal scoring
+once in a text (a word said again adds nothing); any other word costs
+``DRIFT``.  One linear scan finds all maximal scoring
 segments of the whole text.  Segment scores S are calibrated by extreme-value
 statistics: lambda solves E[exp(lambda s)] = 1 for the word scores of
 non-toxic training texts, and a text of n words has
@@ -42,6 +43,7 @@ SAMPLE = 8000
 PREFIXES = (4, 5)
 PRIOR = 0.1
 MIN_Z = 3.0
+MIN_ODDS = 3.0
 DRIFT = -0.7
 K = 0.1
 SIGNIFICANT = 0.01
@@ -58,14 +60,22 @@ class Model:
     slope: float = 1.0
     offset: float = -3.0
 
-    def words(self, heads: list[np.ndarray]) -> np.ndarray:
-        """Score of every word: the first of its features that the lexicon has."""
+    def words(self, heads: list[np.ndarray], bounds: np.ndarray) -> np.ndarray:
+        """Score of every word: the first of its features that the lexicon has,
+        0 where the text has said the word before."""
         out = np.full(len(heads[0]), DRIFT)
         if len(self.features):
             for h in heads:
                 at = np.minimum(np.searchsorted(self.features, h), len(self.features) - 1)
                 found = (self.features[at] == h) & (out == DRIFT)
                 out[found] = self.scores[at[found]]
+        known = np.flatnonzero(out > 0)
+        if len(known):
+            text = np.searchsorted(bounds, known, "right").astype(np.uint64)
+            _, first = np.unique(common.mix(heads[0][known] ^ text * common.MULTIPLIER), return_index=True)
+            again = np.ones(len(known), bool)
+            again[first] = False
+            out[known[again]] = 0
         return out
 
     def e_value(self, score: float, n: int) -> float:
@@ -164,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         "feature", (odds(up_t, mass_t) - odds(up_o, mass_o)).alias("score"),
         F.sqrt(1 / up_t + 1 / up_o).alias("sd"))
     # at least a few training texts stand behind every entry: bounded by the sample
-    lexicon = scored.where(F.col("score") > MIN_Z * F.col("sd")).select("feature", "score").toPandas()
+    lexicon = scored.where((F.col("score") > MIN_Z * F.col("sd")) & (F.col("score") > MIN_ODDS)).select("feature", "score").toPandas()
     features = lexicon["feature"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(features)
     model = Model(features[order], lexicon["score"].to_numpy(float)[order])
@@ -173,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             for part in common.pieces(batch):
                 bounds, heads = _heads(*common.text_buffer(part.column(0)))
-                values = np.round(model.words(heads), 3)
+                values = np.round(model.words(heads, bounds), 3)
                 out = {"toxic": part.column(1).to_pylist(), "values": [], "counts": []}
                 for lo, hi in zip(bounds[:-1], bounds[1:]):
                     v, c = np.unique(values[lo:hi], return_counts=True)
@@ -230,7 +240,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for part in common.pieces(batch):
                 column = part.column(part.schema.get_field_index("text"))
                 bounds, heads = _heads(*common.text_buffer(column))
-                values = model.words(heads)
+                values = model.words(heads, bounds)
                 positive = np.searchsorted(np.flatnonzero(values > 0), bounds)
                 evidence, passages = [], []
                 for i, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
