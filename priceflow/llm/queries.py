@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceflow.llm import byte_bpe, embedding_dedup, license_scan, lm_score, minhash_dedup, packing, quality_rules, sharding, suffix_dedup, toxicity
+from priceflow.llm import (
+    byte_bpe,
+    embedding_dedup,
+    license_scan,
+    lm_score,
+    minhash_dedup,
+    oracle,
+    packing,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    toxicity,
+)
 from priceflow.llm.common import documents
 
 
@@ -77,4 +89,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    return oracle.oracle_sql()
