@@ -15,17 +15,27 @@ def qty_unit_pattern(units: str) -> str:
     return "(?iuU)" + rules.QTY_UNIT_PATTERN.format(units=units)
 
 
+def split_quantity(hit: Column | str, pattern: str) -> tuple[Column, Column]:
+    """The number and the unit of one 'number unit' text (NULL stays NULL)."""
+    number = F.regexp_extract(col(hit), pattern, 1)
+    return to_double(F.replace(number, F.lit(","), F.lit("."))), F.regexp_extract(col(hit), pattern, 2)
+
+
+def quantity_unit_text(name: Column | str, units: str = rules.UNITS_GENERAL,
+                       lower_input: bool = False) -> Column:
+    """Q1, first half: the last 'number unit' of a name as one text, so that a
+    name is scanned once for both parts."""
+    text = F.lower(col(name)) if lower_input else col(name)
+    return last_match(text, qty_unit_pattern(units), 0)
+
+
 def quantity_unit_last(name: Column | str, units: str = rules.UNITS_GENERAL,
                        lower_input: bool = False) -> tuple[Column, Column]:
     """Q1: last 'number unit' in a name -> (quantity, unit as written).
 
     The decimal comma becomes a dot; a dot is kept, so '1.000 ml' is 1.0.
     """
-    text = F.lower(col(name)) if lower_input else col(name)
-    pattern = qty_unit_pattern(units)
-    qty = to_double(F.replace(last_match(text, pattern, 1), F.lit(","), F.lit(".")))
-    unit = last_match(text, pattern, 2)
-    return qty, unit
+    return split_quantity(quantity_unit_text(name, units, lower_input), qty_unit_pattern(units))
 
 
 def pack_multiplier(name: Column | str, pattern: str = rules.PACK_PATTERN_JUMBO) -> Column:
@@ -59,17 +69,22 @@ def presentation_first(text: Column | str) -> tuple[Column, Column, Column]:
     return found, qty, unit
 
 
+REFERENCE_PATTERN = "(?iuU)" + rules.QTY_PATTERN_PLAZA_VEA.format(units=rules.UNITS_PLAZA_VEA)
+
+
+def reference_text(name: Column | str, reference: Column | str) -> Column:
+    """Q5, first half: the last 'number unit' over lower('name unit-reference')."""
+    text = F.lower(F.concat_ws(" ", col(name), F.coalesce(col(reference), F.lit(""))))
+    return last_match(text, REFERENCE_PATTERN, 0)
+
+
 def quantity_with_reference(name: Column | str, reference: Column | str
                             ) -> tuple[Column, Column]:
     """Q5: last 'number unit' over lower('name unit-reference').
 
     Only dot decimals are numbers here, so '1,5 l' reads as 5 l.
     """
-    text = F.lower(F.concat_ws(" ", col(name), F.coalesce(col(reference), F.lit(""))))
-    pattern = "(?iuU)" + rules.QTY_PATTERN_PLAZA_VEA.format(units=rules.UNITS_PLAZA_VEA)
-    qty = to_double(F.replace(last_match(text, pattern, 1), F.lit(","), F.lit(".")))
-    unit = last_match(text, pattern, 2)
-    return qty, unit
+    return split_quantity(reference_text(name, reference), REFERENCE_PATTERN)
 
 
 def unit_synonyms(unit: Column | str) -> Column:

@@ -57,16 +57,19 @@ def parse_cards(fields: DataFrame) -> DataFrame:
         F.coalesce(strip_text("unit_ref_raw"), F.lit("")).alias("unit_ref"))
     name, raw_price = F.col("name"), F.col("price_text")
 
-    # -- stage 2: quantity, unit (Q1-Q7) and price (N1-N8) ---------------------
-    q_gen, u_gen = quantity.quantity_unit_last(name, rules.UNITS_GENERAL)
-    q_cv, u_cv = quantity.quantity_unit_last(name, rules.UNITS_CRUZVERDE_CO, lower_input=True)
-    q_cl, u_cl = quantity.quantity_unit_last(name, rules.UNITS_CRUZVERDE_CL)
+    # -- stage 2: the quantity as one text (one scan of the name), then its parts
+    # (Q1-Q7) and the price
+    units = {JUMBO_SITES: rules.UNITS_GENERAL, FALABELLA_SITES: rules.UNITS_GENERAL,
+             "cruzverde": rules.UNITS_CRUZVERDE_CO, "cruzverdecl": rules.UNITS_CRUZVERDE_CL}
+    hits = {s: quantity.quantity_unit_text(name, u, lower_input=s == "cruzverde") for s, u in units.items()}
+    hits["plaza_vea"] = quantity.reference_text(name, F.col("unit_ref"))
+    texts = texts.withColumn("hit", by_site(site, hits))
+    parts = {s: quantity.split_quantity("hit", quantity.qty_unit_pattern(u)) for s, u in units.items()}
+    parts["plaza_vea"] = quantity.split_quantity("hit", quantity.REFERENCE_PATTERN)
     ink_found, q_ink, u_ink = quantity.presentation_first(F.col("presentation"))
-    q_pv, u_pv = quantity.quantity_with_reference(name, F.col("unit_ref"))
-    q1 = by_site(site, {JUMBO_SITES: q_gen, FALABELLA_SITES: q_gen, "cruzverde": q_cv,
-                        "cruzverdecl": q_cl, "inkafarma": q_ink, "plaza_vea": q_pv})
-    u1 = by_site(site, {JUMBO_SITES: u_gen, FALABELLA_SITES: u_gen, "cruzverde": u_cv,
-                        "cruzverdecl": u_cl, "inkafarma": u_ink, "plaza_vea": u_pv})
+    parts["inkafarma"] = (q_ink, u_ink)
+    q1 = by_site(site, {s: q for s, (q, _) in parts.items()})
+    u1 = by_site(site, {s: u for s, (_, u) in parts.items()})
     pack = by_site(site, {JUMBO_SITES: quantity.pack_multiplier(name, rules.PACK_PATTERN_JUMBO),
                           "cruzverde": quantity.pack_multiplier(name, rules.PACK_PATTERN_CRUZVERDE)})
     parsed_price = by_site(site, {
