@@ -230,7 +230,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs + evidence, score and passages of each whole text; one scan."""
     extra = T.StructType.fromDDL(f"evidence double, score double, passages {SPANS}")
     names = {"evidence", "score", "passages"}
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names])
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
     schema = T.StructType(docs.schema.fields + extra.fields)
     span = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()),
                                ("score", pa.float64()), ("e_value", pa.float64())]))
