@@ -323,14 +323,18 @@ def repeated(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     found = common.materialize(common.map_arrow(
         docs.select("doc_id", "text_hash", "text"), _find_runs,
         "anchor bigint, print bigint, doc_id bigint, text_hash int, place bigint"), "suffix-runs")
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # written before the join: a side that is aggregated in the join's own stage keeps
+    # Spark from splitting a hot anchor
+    often = common.materialize(
+        found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "suffix-often")
     shared = common.materialize(found.join(often, "anchor"), "suffix-shared")
     kinds = common.materialize(shared.groupBy("anchor", "print").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_hash", "place")).alias("one")), "suffix-kinds")
     whole = shared.join(kinds.where("copies > 1").select("anchor", "print"), ["anchor", "print"])
     start, windows = F.shiftright("place", 8), F.col("place").bitwiseAND(F.lit(255))
     whole = whole.select("doc_id", "text_hash", start.alias("first"), (start + windows - 1).alias("last"))
-    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    mixed = common.materialize(
+        kinds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "suffix-mixed")
     edges = kinds.join(mixed, "anchor").select("one.doc_id", "one.text_hash", F.struct(
         "anchor", "copies", F.col("one.place").alias("place")).alias("kind"))
     edges = edges.groupBy("doc_id", "text_hash").agg(F.collect_list("kind").alias("kinds"))  # bounded by the text
