@@ -20,7 +20,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         near = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         near = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    # written before the join, so that Spark can split a hot node there
+    least = materialize(near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")), "least")
     joined = near.join(least, "a")
     if large:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))

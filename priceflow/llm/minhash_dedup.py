@@ -215,7 +215,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .select(F.monotonically_increasing_id().alias("cid"), "*"), "minhash-classes")
 
     index = common.map_arrow(classes.select("cid", "symbols"), _index(bounds), "key bigint, cid bigint")
-    often = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # written before the join, so that Spark can split a hot key there
+    often = common.materialize(index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "minhash-often")
     shared = common.materialize(index.join(often, "key").select("key", "cid", "n"), "minhash-buckets")
     # the text that others were copied from shares the most buckets with them
     weight = shared.groupBy("cid").agg(F.sum("n").alias("weight"))
