@@ -3,18 +3,24 @@
 Every word is predicted from the two words on either side of it, its own place
 masked, and the conditional log-probabilities are summed over the document.
 
-Words are hashed into ``VOCABULARY`` buckets, which are the model's tokens;
-their counts come from all documents.  A bucket belongs to one of ``CLASSES``
-classes (the commonest buckets alone, the others in bands of equal mass), and
-log p(word | both sides) = log p(class | both sides) + log p(word | class).
-The second part is the corpus counts; the first is a small network: one
-embedding table per place of the window, a tanh layer and a softmax.
+The vocabulary is every distinct word of the corpus (a full 64-bit hash), with
+its count, in a distributed table that grows with the corpus.  Words fall into
+classes (the ``ALONE`` commonest words alone, the others in ``BANDS`` bands of
+about equal mass by falling count), and a band into ``PARTS`` leaves by hash:
+log p(word | both sides) = log p(class | both sides) + log p(leaf | class, both
+sides) + log p(word | leaf).  The last part is the corpus counts; the others are
+a small network: one embedding of leaves per place of the window, a tanh layer
+and a softmax over classes and over each band's leaves.
+
+Texts are coded once, in chunks of about ``PIECE`` bytes with a dictionary of
+their distinct words; a dictionary's words are joined to the table, once per
+chunk however often a chunk says them, and the leaves put in place.
 
 Training reads all documents in ``ROUNDS`` rounds.  In a round every task
 starts from the common weights and takes gradient steps (Adagrad, batches of
 ``BATCH`` words) over its own part; the tasks' weights are then averaged, by
-their numbers of words, in a grouped aggregation.  The weights and the bucket
-counts have a fixed size, whatever the corpus.
+their numbers of words, in a grouped aggregation.  The network has a fixed size,
+and words of one leaf are told apart by their counts, not by context.
 
 Null and empty texts have no words, log-probability 0 and a null mean.  Rows
 are scored one by one, repeated rows alike; null ids stay null; other columns
@@ -26,150 +32,312 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priceflow.llm import common
 
-VOCABULARY = 1 << 16
-CLASSES = 64
 ALONE = 40
-PAD = CLASSES - 1
+BANDS = 23
+PARTS = 64
+CLASSES = ALONE + BANDS
+LEAVES = ALONE + BANDS * PARTS
+PAD = LEAVES
 WINDOW = (-2, -1, 1, 2)
 WIDTH = 16
 ROUNDS = 2
 BATCH = 8192
 RATE = 0.1
 SEED = 7
+PIECE = 1 << 21
+COUNT_BITS = 35  # of a number that holds a place in a chunk's dictionary and a count
+SLICE = 512
 
-SHAPES = ((len(WINDOW), CLASSES, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,))
+SHAPES = ((len(WINDOW), LEAVES + 1, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,),
+          (BANDS, WIDTH, PARTS), (BANDS, PARTS))
 
 
-def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Token of every word, and each text's bounds."""
-    starts, _, hashes = common.words(data, offsets, common.SPACED)
-    return (hashes & np.uint64(VOCABULARY - 1)).astype(np.int64), common.per_text(starts, offsets)
+# ---------------------------------------------------------------- the vocabulary
+
+
+def _narrow(words: np.ndarray) -> type:
+    return np.uint16 if len(words) <= 1 << 16 else np.uint32
+
+
+def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks: ids, each text's bounds, words as places in the chunk's sorted dictionary."""
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part in common.pieces(batch, "text", PIECE):
+            data, offsets = common.text_buffer(part.column(1))
+            starts, _, hashes = common.words(data, offsets, common.SPACED)
+            words, tokens, n = np.unique(hashes, return_inverse=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk]), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in (
+                     common.per_text(starts, offsets).astype(np.int64), tokens.astype(_narrow(words)), words,
+                     n.astype(np.uint32)))], names=["chunk", "docs", "bounds", "tokens", "words", "counts"])
+            chunk += 1
+
+
+def code(docs: DataFrame) -> DataFrame:
+    return common.materialize(common.map_arrow(
+        docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text"), _code,
+        "chunk bigint, docs array<bigint>, bounds binary, tokens binary, words binary, counts binary"), "lm-coded")
+
+
+def _dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per chunk and distinct word."""
+    for batch in batches:
+        for chunk, words, n in zip(*(c.to_pylist() for c in batch.columns)):
+            words = np.frombuffer(words, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words), pa.array(np.full(len(words), chunk)), pa.array(np.arange(len(words), dtype=np.int32)),
+                 pa.array(np.frombuffer(n, np.uint32).astype(np.int64))], names=["word", "chunk", "place", "n"])
+
+
+def dictionaries(coded: DataFrame) -> DataFrame:
+    return common.map_arrow(coded.select("chunk", "words", "counts"), _dictionaries,
+                            "word bigint, chunk bigint, place int, n bigint")
+
+
+def count_words(coded: DataFrame) -> DataFrame:
+    """(word, n) of every distinct word; occurrences are added up per chunk before the shuffle."""
+    return common.materialize(dictionaries(coded).groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+
+
+def corpus_counts(docs: DataFrame) -> DataFrame:
+    """Occurrences of every distinct word in all texts."""
+    return count_words(code(docs))
+
+
+class Leaves:
+    """What gives a word of some count its leaf, and the mass of each leaf; of fixed size."""
+
+    def __init__(self, counts: DataFrame):
+        levelled = counts.withColumn("level", F.floor(F.log2("n") * 16).cast("int"))
+        top = levelled.orderBy(F.desc("n"), "word").limit(ALONE).toPandas()  # bounded by the parameter
+        levels = levelled.groupBy("level").agg(
+            F.sum("n").alias("n"), F.min("n").alias("least")).orderBy("level").toPandas()  # at most 64 * 16 rows
+        self.least = levels["least"].to_numpy(np.int64)
+        self.share = levels["n"].to_numpy(float)  # of each level
+        np.subtract.at(self.share, np.searchsorted(levels["level"], top["level"]), top["n"].to_numpy(float))
+        self.above = self.share[::-1].cumsum()[::-1] - self.share
+        alone = top["word"].to_numpy(np.int64)
+        self.order = np.argsort(alone)
+        self.alone = alone[self.order]
+        self.mass = np.zeros(LEAVES)
+        leaf_of = self.of
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            mass = np.zeros(LEAVES)
+            for batch in batches:
+                n = batch.column(1).to_numpy()
+                mass += np.bincount(leaf_of(batch.column(0).to_numpy(), n), n, LEAVES)
+            yield pa.RecordBatch.from_pydict({"leaf": np.arange(LEAVES, dtype=np.int32), "n": mass})
+
+        sums = common.map_arrow(counts.select("word", "n"), count, "leaf int, n double").groupBy("leaf").agg(
+            F.sum("n").alias("n")).toPandas()  # at most LEAVES rows
+        self.mass[sums["leaf"].to_numpy(int)] = sums["n"]
+
+    def of(self, words: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Leaf of every word; a word that the corpus did not have (n = 0) is in the last band."""
+        out = ALONE + (BANDS - 1) * PARTS + (words & (PARTS - 1))
+        if not len(self.alone):
+            return out
+        level = np.maximum(np.searchsorted(self.least, n, "right") - 1, 0)
+        cut = (words.view(np.uint64) >> np.uint64(11)) / float(1 << 53)  # a level is cut by hash
+        place = (self.above[level] + cut * self.share[level]) / max(self.share.sum(), 1.0)
+        band = np.where(n > 0, np.minimum((place * BANDS).astype(np.int64), BANDS - 1), BANDS - 1)
+        out += (band - BANDS + 1) * PARTS
+        at = np.minimum(np.searchsorted(self.alone, words), len(self.alone) - 1)
+        return np.where(self.alone[at] == words, self.order[at], out)
 
 
 class Tokens:
-    """Classes and conditional probabilities from the corpus counts."""
+    """The counts of every word as a table, and their leaves."""
+
+    def __init__(self, counts: DataFrame):
+        self.table, self.leaves = counts, Leaves(counts)
+
+
+def _put(leaves: Leaves):
+    """Leaves in place, and each text's summed log p(word | leaf)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                bounds, words = (np.frombuffer(batch.column(k)[i].as_py(), np.int64) for k in (1, 3))
+                places = np.frombuffer(batch.column(2)[i].as_py(), _narrow(words))
+                n = np.zeros(len(words), np.int64)
+                if len(words):
+                    known = batch.column(4)[i].values.to_numpy()
+                    n[known >> COUNT_BITS] = known & ((1 << COUNT_BITS) - 1)
+                leaf = leaves.of(words, n)
+                half = np.where(n == 0, 0.5, 0.0)
+                member = np.minimum(np.log((n + half) / (leaves.mass[leaf] + half)), 0.0)
+                sums = np.concatenate(([0.0], np.cumsum(member[places])))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), batch.column(1).slice(i, 1),
+                     pa.array([leaf.astype(np.uint16)[places].tobytes()], pa.binary()),
+                     pa.array([np.diff(sums[bounds]).tobytes()], pa.binary())],
+                    names=["docs", "bounds", "leaves", "member"])
+
+    return run
+
+
+def place(coded: DataFrame, tokens: Tokens) -> DataFrame:
+    """The chunks with leaves: docs, bounds, leaves, member."""
+    count = F.least(F.coalesce("n", F.lit(0)), F.lit((1 << COUNT_BITS) - 1))
+    known = dictionaries(coded).drop("n").join(tokens.table, "word", "left").select(
+        "chunk", F.shiftleft(F.col("place").cast("bigint"), COUNT_BITS).bitwiseOR(count).alias("known"))
+    known = known.groupBy("chunk").agg(F.collect_list("known").alias("known"))  # one chunk's words
+    joined = coded.select("chunk", "docs", "bounds", "tokens", "words").join(known, "chunk", "left")
+    return common.materialize(common.map_arrow(
+        joined.select("docs", "bounds", "tokens", "words", "known"), _put(tokens.leaves),
+        "docs array<bigint>, bounds binary, leaves binary, member binary"), "lm-placed")
+
+
+# ---------------------------------------------------------------- the network
+
+
+def _log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
+
+
+def _class_of(leaf: np.ndarray) -> np.ndarray:
+    return np.where(leaf < ALONE, leaf, ALONE + (leaf - ALONE) // PARTS)
+
 
-    def __init__(self, counts: np.ndarray):
-        order = np.lexsort((np.arange(VOCABULARY), -counts))
-        self.class_of = np.empty(VOCABULARY, np.uint8)
-        self.class_of[order[:ALONE]] = np.arange(ALONE)
-        rest = counts[order[ALONE:]] + 0.5
-        bands = CLASSES - 1 - ALONE
-        mass = np.cumsum(rest) / rest.sum()
-        self.class_of[order[ALONE:]] = ALONE + np.minimum((mass * bands).astype(int), bands - 1)
-        total = np.bincount(self.class_of, counts + 0.5, CLASSES)
-        self.log_member = np.log((counts + 0.5) / total[self.class_of])
+def _by_band(leaf: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(band, rows, part) of the rows whose leaf is in a band."""
+    rows = np.flatnonzero(leaf >= ALONE)
+    band, part = np.divmod(leaf[rows] - ALONE, PARTS)
+    order = np.argsort(band, kind="stable")
+    cuts = np.searchsorted(band[order], np.arange(BANDS + 1))
+    for b in range(BANDS):
+        some = order[cuts[b]:cuts[b + 1]]
+        if len(some):
+            yield b, rows[some], part[some]
 
 
 class Network:
-    """Window network over classes; parameters as one flat vector."""
+    """Window network over leaves; parameters as one flat vector."""
 
     def __init__(self, flat: np.ndarray):
-        parts, at = [], 0
+        self.parts, at = [], 0
         for shape in SHAPES:
             n = int(np.prod(shape))
-            parts.append(flat[at:at + n].astype(np.float32).reshape(shape))
+            self.parts.append(flat[at:at + n].astype(np.float32).reshape(shape))
             at += n
-        self.embed, self.bias, self.out, self.out_bias = parts
+        self.embed, self.bias, self.out, self.out_bias, self.inner, self.inner_bias = self.parts
 
     @staticmethod
     def initial() -> np.ndarray:
         random = np.random.default_rng(SEED)
-        return np.concatenate([(random.normal(0, 0.1, s) if len(s) > 1 else np.zeros(s)).ravel() for s in SHAPES])
+        biases = {1, 3, 5}
+        return np.concatenate([(np.zeros(s) if k in biases else random.normal(0, 0.1, s)).ravel()
+                               for k, s in enumerate(SHAPES)])
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in (self.embed, self.bias, self.out, self.out_bias)])
+        return np.concatenate([p.ravel() for p in self.parts])
 
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and log-probabilities of the masked word's class."""
+    def hidden(self, context: np.ndarray) -> np.ndarray:
         hidden = self.bias + self.embed[0][context[0]]
         for k in range(1, len(WINDOW)):
             hidden += self.embed[k][context[k]]
-        np.tanh(hidden, out=hidden)
-        logits = hidden @ self.out
-        logits += self.out_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return hidden, logits
+        return np.tanh(hidden, out=hidden)
+
+    def log_p(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """log p(leaf | both sides) of the masked words."""
+        hidden = self.hidden(context)
+        out = _log_softmax(hidden @ self.out + self.out_bias)[np.arange(len(target)), _class_of(target)].astype(float)
+        for b, rows, part in _by_band(target):
+            inner = _log_softmax(hidden[rows] @ self.inner[b] + self.inner_bias[b])
+            out[rows] += inner[np.arange(len(rows)), part]
+        return out
 
     def step(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray]) -> None:
-        hidden, error = self.forward(context)
-        np.exp(error, out=error)
-        error[np.arange(len(target)), target] -= 1
+        hidden = self.hidden(context)
+        error = np.exp(_log_softmax(hidden @ self.out + self.out_bias))
+        error[np.arange(len(target)), _class_of(target)] -= 1
         error /= len(target)
         back = error @ self.out.T
+        grads = [None, None, hidden.T @ error, error.sum(axis=0), np.zeros_like(self.inner), np.zeros_like(self.inner_bias)]
+        for b, rows, part in _by_band(target):
+            own = hidden[rows]
+            error = np.exp(_log_softmax(own @ self.inner[b] + self.inner_bias[b]))
+            error[np.arange(len(rows)), part] -= 1
+            error /= len(target)
+            back[rows] += error @ self.inner[b].T
+            grads[4][b], grads[5][b] = own.T @ error, error.sum(axis=0)
         back *= 1 - hidden * hidden
-        grad = np.empty_like(self.embed)
-        for k in range(len(WINDOW)):
-            for d in range(WIDTH):
-                grad[k, :, d] = np.bincount(context[k], back[:, d], CLASSES)
-        grads = (grad, back.sum(axis=0), hidden.T @ error, error.sum(axis=0))
-        for p, g, m in zip((self.embed, self.bias, self.out, self.out_bias), grads, memory):
+        grads[1] = back.sum(axis=0)
+        for k in range(len(WINDOW)):  # only rows that occur have a gradient
+            order = np.argsort(context[k], kind="stable")
+            near = context[k][order]
+            first = np.flatnonzero(np.concatenate(([True], near[1:] != near[:-1])))
+            grad, near = np.add.reduceat(back[order], first, axis=0), near[first]
+            seen = memory[0][k][near] + grad * grad
+            memory[0][k][near] = seen
+            self.embed[k][near] -= RATE * grad / (np.sqrt(seen) + 1e-6)
+        for p, g, m in zip(self.parts[1:], grads[1:], memory[1:]):
             m += g * g
             p -= RATE * g / (np.sqrt(m) + 1e-6)
 
 
-def windows(classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Classes at the window's places around every word, PAD beyond the text."""
+def windows(leaves: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Leaves at the window's places around every word, PAD beyond the text."""
     reach = max(WINDOW)
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    at = np.arange(len(classes)) + (text + 1) * reach  # reach pads before, between and after texts
-    padded = np.full(len(classes) + (len(bounds) + 1) * reach, PAD, np.intp)
-    padded[at] = classes
+    at = np.arange(len(leaves)) + (text + 1) * reach  # reach pads before, between and after texts
+    padded = np.full(len(leaves) + (len(bounds) + 1) * reach, PAD, np.uint16)
+    padded[at] = leaves
     return np.stack([padded[at + w] for w in WINDOW])
 
 
-def corpus_counts(docs: DataFrame) -> np.ndarray:
-    """Occurrences of every bucket in all texts."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(VOCABULARY, np.int64)
-        for batch in batches:
-            for part in common.pieces(batch):
-                seen += np.bincount(buckets(*common.text_buffer(part.column(0)))[0], minlength=VOCABULARY)
-        some = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_pydict({"bucket": some.astype(np.int32), "n": seen[some]})
-
-    counted = common.map_arrow(docs.select("text"), count, "bucket int, n bigint")
-    rows = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # at most VOCABULARY rows
-    out = np.zeros(VOCABULARY)
-    out[rows["bucket"].to_numpy(int)] = rows["n"]
-    return out
+def _mean(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Mean of one slice of the weights by the tasks' numbers of words."""
+    weights = np.stack([np.frombuffer(w, np.float64) for w in rows["weights"]])
+    return pd.DataFrame({"slice": [key[0]], "weights": [np.average(weights, axis=0, weights=rows["n"]).tobytes()]})
 
 
-def train(docs: DataFrame, tokens: Tokens) -> np.ndarray:
-    """The averaged weights after ROUNDS rounds over all texts."""
+def learn(placed: DataFrame) -> np.ndarray:
+    """The averaged weights after ROUNDS rounds over all chunks."""
     weights = Network.initial()
     for _ in range(ROUNDS):
-        def learn(batches: Iterator[pa.RecordBatch], start=weights) -> Iterator[pa.RecordBatch]:
+        def steps(batches: Iterator[pa.RecordBatch], start=weights) -> Iterator[pa.RecordBatch]:
             network, seen = Network(start), 0
             memory = [np.full(s, 1e-4, np.float32) for s in SHAPES]
             for batch in batches:
-                for part in common.pieces(batch):
-                    found, bounds = buckets(*common.text_buffer(part.column(0)))
-                    classes = tokens.class_of[found].astype(np.intp)
-                    context = windows(classes, bounds)
-                    for lo in range(0, len(classes), BATCH):
-                        network.step(context[:, lo:lo + BATCH], classes[lo:lo + BATCH], memory)
-                    seen += len(classes)
+                for bounds, leaves in zip(*(c.to_pylist() for c in batch.columns)):
+                    leaves = np.frombuffer(leaves, np.uint16).astype(np.intp)
+                    context = windows(leaves, np.frombuffer(bounds, np.int64))
+                    for lo in range(0, len(leaves), BATCH):
+                        network.step(context[:, lo:lo + BATCH], leaves[lo:lo + BATCH], memory)
+                    seen += len(leaves)
             if seen:
-                flat = network.flat().astype(float)
-                yield pa.RecordBatch.from_pydict({"place": np.arange(len(flat), dtype=np.int32), "weight": flat,
-                                                  "n": np.full(len(flat), seen, np.int64)})
-
-        learned = common.map_arrow(docs.select("text"), learn, "place int, weight double, n bigint")
-        mean = learned.groupBy("place").agg((F.sum(F.col("weight") * F.col("n")) / F.sum("n")).alias("w")).toPandas()
-        if len(mean):  # as many rows as the network has weights
-            weights = mean.sort_values("place")["w"].to_numpy(float)
+                flat = network.flat().astype(np.float64)
+                parts = [flat[lo:lo + SLICE].tobytes() for lo in range(0, len(flat), SLICE)]
+                yield pa.RecordBatch.from_pydict({"slice": np.arange(len(parts), dtype=np.int32), "weights": parts,
+                                                  "n": np.full(len(parts), seen, np.int64)})
+
+        learned = common.map_arrow(placed.select("bounds", "leaves"), steps, "slice int, weights binary, n bigint")
+        mean = learned.groupBy("slice").applyInPandas(_mean, "slice int, weights binary").toPandas()
+        if len(mean):  # as many values as the network has weights
+            weights = np.concatenate([np.frombuffer(w, np.float64) for w in mean.sort_values("slice")["weights"]])
     return weights
 
 
-def score(docs: DataFrame, tokens: Tokens, weights: np.ndarray) -> DataFrame:
+def train(docs: DataFrame, tokens: Tokens) -> np.ndarray:
+    return learn(place(code(docs), tokens))
+
+
+def rate(placed: DataFrame, weights: np.ndarray) -> DataFrame:
     """doc_id, n_tokens, log_prob (summed over all words) and mean_log_prob."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                         ("log_prob", pa.float64()), ("mean_log_prob", pa.float64())])
@@ -177,26 +345,31 @@ def score(docs: DataFrame, tokens: Tokens, weights: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = Network(weights)
         for batch in batches:
-            for part in common.pieces(batch):
-                found, bounds = buckets(*common.text_buffer(part.column(1)))
-                classes = tokens.class_of[found].astype(np.intp)
-                context, each = windows(classes, bounds), np.empty(len(classes) + 1)
-                for lo in range(0, len(classes), BATCH):
-                    target = classes[lo:lo + BATCH]
-                    _, log_p = network.forward(context[:, lo:lo + BATCH])
-                    each[lo:lo + len(target)] = log_p[np.arange(len(target)), target]
-                each[:-1] += tokens.log_member[found]
-                sums = np.concatenate(([0.0], np.cumsum(each[:-1])))
+            for i in range(batch.num_rows):
+                bounds, leaves, member = (np.frombuffer(batch.column(k)[i].as_py(), t)
+                                          for k, t in ((1, np.int64), (2, np.uint16), (3, np.float64)))
+                leaves = leaves.astype(np.intp)
+                context, sums = windows(leaves, bounds), np.zeros(len(leaves) + 1)
+                for lo in range(0, len(leaves), BATCH):
+                    target = leaves[lo:lo + BATCH]
+                    sums[lo + 1:lo + 1 + len(target)] = network.log_p(context[:, lo:lo + BATCH], target)
+                sums = np.cumsum(sums)
                 n = np.diff(bounds)
-                total = sums[bounds[1:]] - sums[bounds[:-1]]
+                total = sums[bounds[1:]] - sums[bounds[:-1]] + member
                 mean = np.divide(total, n, out=np.zeros(len(n)), where=n > 0)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(total), pa.array(mean, mask=n == 0)], schema=schema)
+                    [batch.column(0)[i].values, pa.array(n, pa.int64()), pa.array(total), pa.array(mean, mask=n == 0)],
+                    schema=schema)
 
-    return common.map_arrow(docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text"), run,
+    return common.map_arrow(placed.select("docs", "bounds", "leaves", "member"), run,
                             "doc_id bigint, n_tokens bigint, log_prob double, mean_log_prob double")
 
 
+def score(docs: DataFrame, tokens: Tokens, weights: np.ndarray) -> DataFrame:
+    return rate(place(code(docs), tokens), weights)
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
-    tokens = Tokens(corpus_counts(docs))
-    return score(docs, tokens, train(docs, tokens))
+    coded = code(docs)
+    placed = place(coded, Tokens(count_words(coded)))
+    return rate(placed, learn(placed))

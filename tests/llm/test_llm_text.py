@@ -199,3 +199,23 @@ def test_lm_prefers_the_corpus_to_shuffled_words(spark):
 def test_lm_scores_every_row(spark):
     assert lm_score.score_documents(documents(spark)).count() == len(texts())
     assert lm_score.score_documents(empty(spark)).count() == 0
+
+
+def test_lm_counts_every_distinct_word(spark):
+    rows = [(i, " ".join(f"word{i}x{k}" for k in range(10000)) + " the the") for i in range(8)]
+    counts = lm_score.corpus_counts(documents(spark, rows))
+    assert counts.count() == 80001  # more than 65,536
+    assert counts.agg({"n": "max"}).first()[0] == 16 and counts.where("n = 1").count() == 80000
+
+
+def test_lm_context_decides_within_a_band(spark):
+    random = np.random.default_rng(3)
+    pairs = [(f"left{k}", f"right{k}") for k in range(100)]  # all alike in count, so of a few bands
+    rows = [(i, " ".join(" ".join(pairs[k]) for k in random.integers(0, 100, 1500))) for i in range(120)]
+    docs = documents(spark, rows)
+    tokens = lm_score.Tokens(lm_score.corpus_counts(docs))
+    weights = lm_score.train(docs, tokens)
+    wrong = [(1000 + i, " ".join(w if w.startswith("left") else f"right{(int(w[5:]) + 7) % 100}" for w in t.split()))
+             for i, t in rows[:30]]
+    out = {x.doc_id: x.mean_log_prob for x in lm_score.score(documents(spark, rows[:30] + wrong), tokens, weights).collect()}
+    assert np.mean([out[i] for i, _ in rows[:30]]) > np.mean([out[i] for i, _ in wrong]) + 0.2
