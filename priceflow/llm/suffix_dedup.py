@@ -26,7 +26,8 @@ Hot anchors are pre-counted before each shuffle and cut over shards and ranges,
 so no group has to fit one task; a document's own runs are bounded by its text.
 
 Null and empty texts lose nothing.  Repeated rows are documents of their own, so
-a repeated text of ``LENGTH`` bytes goes whole; null ids take part.  Long texts
+a repeated text of ``LENGTH`` bytes goes whole; null ids take part.  Rows of one
+(or null) id are told apart by a 128-bit hash of their texts.  Long texts
 are read in overlapping pieces.  An empty table gives an empty result; other
 columns are not read.
 """
@@ -215,7 +216,7 @@ def _spans_of_true(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-FOUND = "doc_id bigint, text_hash int, first bigint, last bigint"
+FOUND = "doc_id bigint, text_hash binary, first bigint, last bigint"
 
 
 def _shards(ranges: int, limit: int):
@@ -225,9 +226,9 @@ def _shards(ranges: int, limit: int):
     (``digests`` not null) one digest range of the open windows.
     """
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("text_hash", pa.int32()), ("first", pa.int64()), ("last", pa.int64()),
+        ("doc_id", pa.int64()), ("text_hash", pa.binary()), ("first", pa.int64()), ("last", pa.int64()),
         ("part", pa.int32()), ("digests", pa.list_(pa.binary())), ("docs", pa.list_(pa.int64())),
-        ("hashes", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64()))])
+        ("hashes", pa.list_(pa.binary())), ("starts", pa.list_(pa.int64()))])
 
     def shard(rows: list[tuple], opened: set[int]) -> pa.RecordBatch:
         data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
@@ -289,7 +290,7 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         for k in np.flatnonzero((shards > 1) & (np.asarray(starts) >= 0)).tolist():
             out.append((docs[k], hashes[k], starts[k], starts[k]))
     frame = pd.DataFrame(out, columns=["doc_id", "text_hash", "first", "last"])
-    return frame.astype({"doc_id": "Int64", "text_hash": "int32", "first": "int64", "last": "int64"})
+    return frame.astype({"doc_id": "Int64", "first": "int64", "last": "int64"})
 
 
 # ---------------------------------------------------------------- the corpus
@@ -297,7 +298,7 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Text spans of the kinds listed per document."""
-    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int32()),
+    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.binary()),
                         ("start", pa.int64()), ("windows", pa.int32()), ("span", pa.binary()), ("copies", pa.int64())])
     for batch in batches:
         for part in common.pieces(batch, "text"):
@@ -317,12 +318,12 @@ def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """(doc_id, text_hash, first, last): window starts whose LENGTH bytes repeat.
 
-    ``docs`` has doc_id, text_hash and text (not null).
+    ``docs`` has doc_id, text_hash (16 bytes) and text (not null).
     """
     n = common.partitions(docs.sparkSession)
     found = common.materialize(common.map_arrow(
         docs.select("doc_id", "text_hash", "text"), _find_runs,
-        "anchor bigint, print bigint, doc_id bigint, text_hash int, place bigint"), "suffix-runs")
+        "anchor bigint, print bigint, doc_id bigint, text_hash binary, place bigint"), "suffix-runs")
     # written before the join: a side that is aggregated in the join's own stage keeps
     # Spark from splitting a hot anchor
     often = common.materialize(
@@ -343,12 +344,12 @@ def repeated(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     # rows that repeat would give a kind twice; one is enough
     spans = common.materialize(common.map_arrow(
         texts.select("doc_id", "text_hash", "text", "kinds"), _cut_spans,
-        "anchor bigint, doc_id bigint, text_hash int, start bigint, windows int, span binary, copies bigint"),
+        "anchor bigint, doc_id bigint, text_hash binary, start bigint, windows int, span binary, copies bigint"),
         "suffix-spans")
     dealt = spans.repartitionByRange(n, "anchor", F.xxhash64("doc_id", "start")).sortWithinPartitions("anchor")
     judged = common.materialize(common.map_arrow(
-        dealt, _shards(n, shard), "doc_id bigint, text_hash int, first bigint, last bigint, part int, digests array<binary>,"
-        " docs array<bigint>, hashes array<int>, starts array<bigint>"), "suffix-shards")
+        dealt, _shards(n, shard), "doc_id bigint, text_hash binary, first bigint, last bigint, part int, digests array<binary>,"
+        " docs array<bigint>, hashes array<binary>, starts array<bigint>"), "suffix-shards")
     merged = judged.where("digests IS NOT NULL").groupBy("part").applyInPandas(_merge, FOUND)
     return (whole.unionByName(judged.where("digests IS NULL").select("doc_id", "text_hash", "first", "last"))
             .unionByName(merged))
@@ -406,7 +407,7 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False, shard: int =
     text = F.coalesce("text", F.lit(""))
     keys = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"),
                        F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
-    keys = keys.withColumn("text_hash", F.hash("text"))
+    keys = keys.withColumn("text_hash", F.unhex(F.md5(F.col("text").cast("binary"))))
     hits = repeated(keys.select("doc_id", "text_hash", "text"), shard)
     hits = hits.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("hits"))
     hits = hits.toDF("id", "hash", "hits")

@@ -277,3 +277,17 @@ def test_pipeline_stages_hand_on_documents(spark, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path))
     want = sum(len((r.text or "").split()) for r in docs.collect())
     assert packed.agg(F.sum("length")).first()[0] == want
+
+
+def test_suffix_dedup_tells_null_ids_apart(spark):
+    # two texts of one 32-bit hash, the second too short for the first one's repeats
+    texts = spark.range(200000).select("id", F.concat(F.lit("short "), F.col("id")).alias("short"), F.concat(
+        F.lit(prose(90, 60) + " "), F.col("id")).alias("long"))
+    short = texts.select("short", F.hash("short").alias("h"))
+    pair = texts.select("long", F.hash("long").alias("h")).join(short, "h").orderBy("h").first()
+    assert pair is not None
+    rows = [(None, pair.long), (None, pair.short), (1, pair.long + " more")]
+    out = suffix_dedup.remove_repeats(documents(spark, rows))
+    got = collections.Counter(map(tuple, out.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256)).collect()))
+    assert got == collections.Counter(brute_removed(rows))
