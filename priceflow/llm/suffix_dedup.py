@@ -341,11 +341,13 @@ def repeated(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     edges = edges.groupBy("doc_id", "text_hash").agg(F.collect_list("kind").alias("kinds"))  # bounded by the text
     edges = edges.toDF("id", "hash", "kinds")
     texts = docs.join(edges, docs["doc_id"].eqNullSafe(edges["id"]) & (docs["text_hash"] == edges["hash"]))
-    # rows that repeat would give a kind twice; one is enough
     spans = common.materialize(common.map_arrow(
         texts.select("doc_id", "text_hash", "text", "kinds"), _cut_spans,
         "anchor bigint, doc_id bigint, text_hash binary, start bigint, windows int, span binary, copies bigint"),
         "suffix-spans")
+    # rows that repeat give a kind of several copies more than once; one is enough
+    once = spans.where("copies > 1").dropDuplicates(["anchor", "doc_id", "text_hash", "start"])
+    spans = spans.where("copies = 1").unionByName(once)
     dealt = spans.repartitionByRange(n, "anchor", F.xxhash64("doc_id", "start")).sortWithinPartitions("anchor")
     judged = common.materialize(common.map_arrow(
         dealt, _shards(n, shard), "doc_id bigint, text_hash binary, first bigint, last bigint, part int, digests array<binary>,"
@@ -409,6 +411,8 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False, shard: int =
                        F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
     keys = keys.withColumn("text_hash", F.unhex(F.md5(F.col("text").cast("binary"))))
     hits = repeated(keys.select("doc_id", "text_hash", "text"), shard)
+    # rows that repeat find the same; one of each, so that a list is bounded by its text
+    hits = hits.groupBy("doc_id", "text_hash", "first", "last").agg(F.count("*"))
     hits = hits.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("hits"))
     hits = hits.toDF("id", "hash", "hits")
     joined = keys.join(hits, keys["doc_id"].eqNullSafe(hits["id"]) & (keys["text_hash"] == hits["hash"]), "left")

@@ -291,3 +291,19 @@ def test_suffix_dedup_tells_null_ids_apart(spark):
     got = collections.Counter(map(tuple, out.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256)).collect()))
     assert got == collections.Counter(brute_removed(rows))
+
+
+def test_suffix_dedup_finds_repeated_rows_once(spark, monkeypatch):
+    passage = prose(91, 60)
+    rows = [(None, prose(92, 100) + " " + passage)] * 30 + [(5, prose(93, 50) + " " + passage)]
+    seen = []
+    monkeypatch.setattr(suffix_dedup.common, "map_arrow", lambda df, run, schema, real=suffix_dedup.common.map_arrow: (
+        seen.append(df) or df if "hits" in df.columns else real(df, run, schema)))
+    joined = suffix_dedup.remove_repeats(documents(spark, rows))
+    hits = [[tuple(h) for h in r.hits] for r in joined.where("hits IS NOT NULL").collect()]
+    assert seen and len(hits) == 31 and all(len(h) == len(set(h)) for h in hits)
+    monkeypatch.undo()
+    out = suffix_dedup.remove_repeats(documents(spark, rows))
+    got = collections.Counter(map(tuple, out.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256)).collect()))
+    assert got == collections.Counter(brute_removed(rows))
