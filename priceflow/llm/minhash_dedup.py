@@ -225,10 +225,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         F.max("centre").alias("centre")).select("cid", F.col("centre.cid").alias("centre")), "minhash-centres")
     one = F.col("one")
     wanted = nearest.join(classes.select("cid", one["doc_id"].alias("id"), one["text_hash"].alias("hash")), "cid")
-    # the text of one document per class that shares a bucket; equal rows may come twice, which is harmless
+    # the text of one document per class that shares a bucket; of equal rows one, so that classes bound blocks
     texts = common.materialize(
         rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["id"]) & (rows["text_hash"] == wanted["hash"]))
-        .select("cid", "centre", "text"), "minhash-texts")
+        .select("cid", "centre", "text").dropDuplicates(["cid"]), "minhash-texts")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         return common.map_arrow(pairs, _confirm(percent), "a bigint, b bigint")

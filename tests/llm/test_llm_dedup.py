@@ -307,3 +307,16 @@ def test_suffix_dedup_finds_repeated_rows_once(spark, monkeypatch):
     got = collections.Counter(map(tuple, out.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256)).collect()))
     assert got == collections.Counter(brute_removed(rows))
+
+
+def test_minhash_compares_one_text_of_a_repeated_row(spark, monkeypatch):
+    base = prose(94, 120)
+    words = base.split()
+    rows = [(None, base)] * 40 + [(2, " ".join(words[:60] + ["changed"] + words[61:]))]
+    written = {}
+    real = minhash_dedup.common.materialize
+    monkeypatch.setattr(minhash_dedup.common, "materialize",
+                        lambda df, name: written.setdefault(name, real(df, name)))
+    out = minhash_dedup.near_duplicates(documents(spark, rows), 80)
+    assert out.count() == 41 and {r.component_id for r in out.collect()} == {2}
+    assert written["minhash-texts"].count() == 2 and written["minhash-links"].count() == 1
