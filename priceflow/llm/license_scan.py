@@ -8,8 +8,8 @@ also occurs in some template.  Two things are read off this stream:
 * the places of the base phrases: a phrase ends at a word exactly when the
   match there is at least as long as the phrase and the phrase is a suffix of
   it;
-* long matches (``MIN_MATCH`` words or more, or a whole template), which are
-  chained per template: matches that follow one another in text and template
+* long matches (``MIN_MATCH`` words or more where they grow no further, and
+  every whole template wherever it ends), which are chained per template: matches that follow one another in text and template
   with at most ``MAX_GAP`` words between them form one covered span.  A
   template whose best span covers ``MIN_COVER`` of its words labels the text.
 
@@ -93,9 +93,14 @@ class Automaton:
                     self.ends[v].append((t, k))
                     v = self.link[v]
         #: (phrase, its length) for phrases that are suffixes of the state's words
-        self.phrases: list[list[tuple[int, int]]] = [[] for _ in self.next]
-        own = {}
-        for p, (seq, _) in enumerate(phrases):
+        self.phrases = self._suffixes([seq for seq, _ in phrases])
+        #: the same of whole sequences
+        self.whole = self._suffixes(sequences)
+
+    def _suffixes(self, sequences: list[list[int]]) -> list[list[tuple[int, int]]]:
+        out: list[list[tuple[int, int]]] = [[] for _ in self.next]
+        own: dict[int, list[tuple[int, int]]] = {}
+        for p, seq in enumerate(sequences):
             at = 0
             for word in seq:
                 at = self.next[at][word]
@@ -103,8 +108,9 @@ class Automaton:
         for v in range(len(self.next)):
             u = v
             while u > 0:
-                self.phrases[v] += own.get(u, [])
+                out[v] += own.get(u, [])
                 u = self.link[u]
+        return out
 
     def _new(self, length: int, link: int, edges: dict[int, int]) -> int:
         self.next.append(dict(edges))
@@ -183,6 +189,9 @@ class Scanner:
                 for p, size in m.phrases[state]:
                     if size <= length:
                         places.append((i - size + 1, p))
+                for t, size in m.whole[state]:  # also where the match grows on in another template
+                    if size <= length and 2 <= size and t < len(self.sizes):
+                        matches.append((t, i, size - 1, size))
             ended.append((hi - 1, state, length))
             for end, at, size in ended:
                 if size >= 2:

@@ -219,3 +219,13 @@ def test_lm_context_decides_within_a_band(spark):
              for i, t in rows[:30]]
     out = {x.doc_id: x.mean_log_prob for x in lm_score.score(documents(spark, rows[:30] + wrong), tokens, weights).collect()}
     assert np.mean([out[i] for i, _ in rows[:30]]) > np.mean([out[i] for i, _ in wrong]) + 0.2
+
+
+def test_license_template_that_goes_on_in_another(spark):
+    notice = "Licensed under the Apache License, Version 2.0. The code is free"
+    longer = "x " + license_scan.TEMPLATES["apache-2.0"][1] + " y"
+    rows = {r.doc_id: r for r in license_scan.scan(documents(spark, [(1, notice), (2, longer)])).collect()}
+    assert rows[1].labels == "apache,apache-2.0"
+    assert [(s.first_word, s.last_word) for s in rows[1].spans if s.template == "apache-2.0" and s.cover == 1.0] == [(0, 7)]
+    # the short template ends inside the long one: both are whole
+    assert sorted((s.first_word, s.last_word) for s in rows[2].spans if s.cover == 1.0) == [(1, 8), (1, 22)]
