@@ -42,7 +42,7 @@ from priceflow.llm import common
 
 ALONE = 40
 BANDS = 23
-PARTS = 64
+PARTS = 32
 CLASSES = ALONE + BANDS
 LEAVES = ALONE + BANDS * PARTS
 PAD = LEAVES
@@ -52,7 +52,7 @@ ROUNDS = 2
 BATCH = 8192
 RATE = 0.1
 SEED = 7
-PIECE = 1 << 21
+PIECE = 1 << 19
 COUNT_BITS = 35  # of a number that holds a place in a chunk's dictionary and a count
 SLICE = 512
 
@@ -92,7 +92,8 @@ def code(docs: DataFrame) -> DataFrame:
 def _dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per chunk and distinct word."""
     for batch in batches:
-        for chunk, words, n in zip(*(c.to_pylist() for c in batch.columns)):
+        for i in range(batch.num_rows):
+            chunk, words, n = (c[i].as_py() for c in batch.columns)
             words = np.frombuffer(words, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words), pa.array(np.full(len(words), chunk)), pa.array(np.arange(len(words), dtype=np.int32)),
@@ -203,12 +204,26 @@ def place(coded: DataFrame, tokens: Tokens) -> DataFrame:
 # ---------------------------------------------------------------- the network
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _logits(hidden: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """A column per row of ``hidden``, less its largest value."""
+    out = weights.T @ hidden.T
+    out += bias[:, None]
+    out -= out.max(axis=0)
+    return out
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
     return logits
 
 
+def _log_of(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log-softmax at one place of every column."""
+    own = logits[target, np.arange(len(target))]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=0))
+
+
 def _class_of(leaf: np.ndarray) -> np.ndarray:
     return np.where(leaf < ALONE, leaf, ALONE + (leaf - ALONE) // PARTS)
 
@@ -255,26 +270,25 @@ class Network:
     def log_p(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log p(leaf | both sides) of the masked words."""
         hidden = self.hidden(context)
-        out = _log_softmax(hidden @ self.out + self.out_bias)[np.arange(len(target)), _class_of(target)].astype(float)
+        out = _log_of(_logits(hidden, self.out, self.out_bias), _class_of(target)).astype(float)
         for b, rows, part in _by_band(target):
-            inner = _log_softmax(hidden[rows] @ self.inner[b] + self.inner_bias[b])
-            out[rows] += inner[np.arange(len(rows)), part]
+            out[rows] += _log_of(_logits(hidden[rows], self.inner[b], self.inner_bias[b]), part)
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray]) -> None:
         hidden = self.hidden(context)
-        error = np.exp(_log_softmax(hidden @ self.out + self.out_bias))
-        error[np.arange(len(target)), _class_of(target)] -= 1
+        error = _softmax(_logits(hidden, self.out, self.out_bias))
+        error[_class_of(target), np.arange(len(target))] -= 1
         error /= len(target)
-        back = error @ self.out.T
-        grads = [None, None, hidden.T @ error, error.sum(axis=0), np.zeros_like(self.inner), np.zeros_like(self.inner_bias)]
+        back = np.ascontiguousarray((self.out @ error).T)
+        grads = [None, None, (error @ hidden).T, error.sum(axis=1), np.zeros_like(self.inner), np.zeros_like(self.inner_bias)]
         for b, rows, part in _by_band(target):
             own = hidden[rows]
-            error = np.exp(_log_softmax(own @ self.inner[b] + self.inner_bias[b]))
-            error[np.arange(len(rows)), part] -= 1
+            error = _softmax(_logits(own, self.inner[b], self.inner_bias[b]))
+            error[part, np.arange(len(rows))] -= 1
             error /= len(target)
-            back[rows] += error @ self.inner[b].T
-            grads[4][b], grads[5][b] = own.T @ error, error.sum(axis=0)
+            back[rows] += (self.inner[b] @ error).T
+            grads[4][b], grads[5][b] = (error @ own).T, error.sum(axis=1)
         back *= 1 - hidden * hidden
         grads[1] = back.sum(axis=0)
         for k in range(len(WINDOW)):  # only rows that occur have a gradient
@@ -314,7 +328,8 @@ def learn(placed: DataFrame) -> np.ndarray:
             network, seen = Network(start), 0
             memory = [np.full(s, 1e-4, np.float32) for s in SHAPES]
             for batch in batches:
-                for bounds, leaves in zip(*(c.to_pylist() for c in batch.columns)):
+                for i in range(batch.num_rows):
+                    bounds, leaves = (c[i].as_py() for c in batch.columns)
                     leaves = np.frombuffer(leaves, np.uint16).astype(np.intp)
                     context = windows(leaves, np.frombuffer(bounds, np.int64))
                     for lo in range(0, len(leaves), BATCH):
