@@ -8,9 +8,9 @@ overall rate, ``PRIOR`` of the observed mass); it enters the lexicon if its
 z-score reaches ``MIN_Z`` and its log-odds ``MIN_ODDS``.
 
 Scoring: a word scores as the most specific of its features in the lexicon,
-once in a text (a word said again adds nothing); any other word costs
-``DRIFT``.  One linear scan finds all maximal scoring
-segments of the whole text.  Segment scores S are calibrated by extreme-value
+once in a segment (a word said again there adds nothing, in another segment it
+counts anew); any other word costs ``DRIFT``.  One linear scan finds all maximal
+scoring segments of the whole text.  Segment scores S are calibrated by extreme-value
 statistics: lambda solves E[exp(lambda s)] = 1 for the word scores of
 non-toxic training texts, and a text of n words has
 E(S) = K n exp(-lambda S) chance segments of score S.  Segments with E below
@@ -60,22 +60,14 @@ class Model:
     slope: float = 1.0
     offset: float = -3.0
 
-    def words(self, heads: list[np.ndarray], bounds: np.ndarray) -> np.ndarray:
-        """Score of every word: the first of its features that the lexicon has,
-        0 where the text has said the word before."""
+    def words(self, heads: list[np.ndarray]) -> np.ndarray:
+        """Score of every word: the first of its features that the lexicon has."""
         out = np.full(len(heads[0]), DRIFT)
         if len(self.features):
             for h in heads:
                 at = np.minimum(np.searchsorted(self.features, h), len(self.features) - 1)
                 found = (self.features[at] == h) & (out == DRIFT)
                 out[found] = self.scores[at[found]]
-        known = np.flatnonzero(out > 0)
-        if len(known):
-            text = np.searchsorted(bounds, known, "right").astype(np.uint64)
-            _, first = np.unique(common.mix(heads[0][known] ^ text * common.MULTIPLIER), return_index=True)
-            again = np.ones(len(known), bool)
-            again[first] = False
-            out[known[again]] = 0
         return out
 
     def e_value(self, score: float, n: int) -> float:
@@ -112,6 +104,26 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, right - left) for a, b, left, right in stack]
 
 
+def segments(scores: np.ndarray, words: np.ndarray) -> list[tuple[int, int, float]]:
+    """Maximal segments in which a word said again adds nothing.
+
+    A word counts again in another segment: repeats are set to 0 within each
+    segment of the full scores, and what is left of it is scanned anew.
+    """
+    out = []
+    for a, b, score in maximal_segments(scores):
+        own = scores[a:b + 1]
+        known = np.flatnonzero(own > 0)
+        _, first = np.unique(words[a:b + 1][known], return_index=True)
+        if len(first) == len(known):
+            out.append((a, b, score))
+            continue
+        own = own.copy()
+        own[np.delete(known, first)] = 0
+        out += [(a + x, a + y, z) for x, y, z in maximal_segments(own)]
+    return out
+
+
 def _heads(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Word bounds per text; hashes of the words, then of their longest prefixes."""
     starts, _, whole, *heads = common.words(data, offsets, common.LETTERS, common.LOWER, PREFIXES)
@@ -183,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             for part in common.pieces(batch):
                 bounds, heads = _heads(*common.text_buffer(part.column(0)))
-                values = np.round(model.words(heads, bounds), 3)
+                values = np.round(model.words(heads), 3)
                 out = {"toxic": part.column(1).to_pylist(), "values": [], "counts": []}
                 for lo, hi in zip(bounds[:-1], bounds[1:]):
                     v, c = np.unique(values[lo:hi], return_counts=True)
@@ -240,11 +252,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for part in common.pieces(batch):
                 column = part.column(part.schema.get_field_index("text"))
                 bounds, heads = _heads(*common.text_buffer(column))
-                values = model.words(heads, bounds)
+                values = model.words(heads)
                 positive = np.searchsorted(np.flatnonzero(values > 0), bounds)
                 evidence, passages = [], []
                 for i, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-                    found = maximal_segments(values[lo:hi]) if positive[i] < positive[i + 1] else []
+                    found = segments(values[lo:hi], heads[0][lo:hi]) if positive[i] < positive[i + 1] else []
                     rated = [(a, b, s, model.e_value(s, hi - lo)) for a, b, s in found]
                     evidence.append(float(model.evidence(found, hi - lo)))
                     passages.append([{"first_word": a, "last_word": b, "score": s, "e_value": e}

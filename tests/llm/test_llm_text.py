@@ -229,3 +229,19 @@ def test_license_template_that_goes_on_in_another(spark):
     assert [(s.first_word, s.last_word) for s in rows[1].spans if s.template == "apache-2.0" and s.cover == 1.0] == [(0, 7)]
     # the short template ends inside the long one: both are whole
     assert sorted((s.first_word, s.last_word) for s in rows[2].spans if s.cover == 1.0) == [(1, 8), (1, 22)]
+
+
+def test_toxicity_finds_a_second_passage_of_the_same_words():
+    names = ["zap", "rot", "vex", "gob"]
+    words = [f"clean{k}" for k in range(400)]
+    for k, name in enumerate(names):
+        words[5 + 40 * k] = name  # first singly and far apart
+    words[300:304] = words[350:354] = names
+    hashes = np.array([lm_score.common.word_hash(w) for w in words], np.uint64)
+    lexicon = np.sort(np.array([lm_score.common.word_hash(w) for w in names], np.uint64))
+    model = toxicity.Model(lexicon, np.full(4, 4.0))
+    found = toxicity.segments(model.words([hashes]), hashes)
+    dense = [(a, b) for a, b, s in found if model.e_value(s, len(words)) <= toxicity.SIGNIFICANT]
+    assert dense == [(300, 303), (350, 353)]
+    again = np.array([hashes[5]] * 50, np.uint64)  # one word over and over is one occurrence
+    assert max(s for _, _, s in toxicity.segments(model.words([again]), again)) == 4.0
