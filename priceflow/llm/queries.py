@@ -12,10 +12,13 @@ from priceflow.llm import (
     embedding_dedup,
     license_scan,
     lm_score,
+    merkle,
     minhash_dedup,
     oracle,
     packing,
+    quality_classifier,
     quality_rules,
+    resampling,
     sharding,
     suffix_dedup,
     toxicity,
@@ -72,6 +75,23 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(documents(spark, sf_dir))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = quality_classifier.score_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    drawn = resampling.resample(documents(spark, sf_dir), target)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle.verify(merkle.manifest(documents(spark, sf_dir)))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -84,6 +104,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_lm_score": op10_lm_score,
+        "op11_quality_classifier": op11_quality_classifier,
+        "op12_resampling": op12_resampling,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
