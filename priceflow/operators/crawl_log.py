@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from priceflow import rules
 from priceflow.functions.labels import label_from_url
 from priceflow.functions.text import col, strip_text
-from priceflow.operators.numbering import running_sum
+from priceflow.operators.extract import tag
+from priceflow.operators.numbering import running_sum, running_values
 
 KEYS = ("site", "category")
 
@@ -85,8 +86,17 @@ def running_total(log: DataFrame, keys: Sequence[str] = KEYS, page: str = "page_
     return running_sum(log, keys, [page], F.col(found).cast("bigint"), "running_total")
 
 
-PAGINATION = '<div class="pagination">'
-PAGE_SPAN = r"<span\b([^>]*)>([^<]*)</span>"
+def numbered_running_total(visits: DataFrame, keys: Sequence[str] = KEYS,
+                           order: Sequence[str] = ("visited_at", "event_id"),
+                           found: str = "products_found") -> DataFrame:
+    """C12 on visits that have no page numbers yet: both running values in one sliced pass."""
+    out = running_values(visits, keys, order, {
+        "page_number": F.lit(1).cast("bigint"), "running_total": F.col(found).cast("bigint")})
+    return out.withColumn("page_number", F.col("page_number").cast("int"))
+
+
+PAGINATION = tag("div", "class", "pagination")
+PAGE_SPAN = r"<span\b([^>]*)>([^<]+)"
 
 
 def next_page(html: Column | str) -> tuple[Column, Column, Column]:
@@ -94,25 +104,29 @@ def next_page(html: Column | str) -> tuple[Column, Column, Column]:
 
     current = the first active number; last = the highest all-digit page
     text, else current; next = current + 1 while current < last.  No
-    pagination, no active page or a non-number active text -> NULLs.  The
-    span's classes may come in any order, and white space around a number
-    does not count.  Only the markup from the pager on is searched.
+    pagination, no active page or a non-number active text -> NULLs.  When
+    there is a pager, page numbers count wherever they stand on the page.
+    Classes may come in any order and the tags have other attributes.  White
+    space around the active number does not count; around another page's it
+    makes the text no number.
     """
     h = col(html)
-    pager = F.when(F.contains(h, F.lit(PAGINATION)), h.substr(F.instr(h, PAGINATION), F.length(h)))
-    spans = F.arrays_zip(F.regexp_extract_all(pager, F.lit(PAGE_SPAN), 1).alias("tag"),
-                         F.regexp_extract_all(pager, F.lit(PAGE_SPAN), 2).alias("text"))
+    paged = F.when(h.rlike(PAGINATION), h)
+    spans = F.arrays_zip(F.regexp_extract_all(paged, F.lit(PAGE_SPAN), F.lit(1)).alias("tag"),
+                         F.regexp_extract_all(paged, F.lit(PAGE_SPAN), F.lit(2)).alias("text"))
+    classed = F.transform(spans, lambda x: F.struct(
+        F.regexp_extract(x["tag"], r'\sclass="([^"]*)"', 1).alias("class"), x["text"].alias("text")))
 
     def has(span: Column, *words: str) -> Column:
         cond = F.lit(True)
         for w in words:
-            cond = cond & F.contains(span["tag"], F.lit(w))
+            cond = cond & F.contains(span["class"], F.lit(w))
         return cond
 
-    pages = F.filter(spans, lambda x: has(x, "pagination__item", "page-number"))
+    pages = F.filter(classed, lambda x: has(x, "pagination__item", "page-number"))
     active = strip_text(F.get(F.filter(pages, lambda x: has(x, "active")), F.lit(0))["text"])
-    current = F.when(active.rlike(r"^\d+$"), active.try_cast("int"))
-    digits = F.filter(F.transform(pages, lambda x: strip_text(x["text"])), lambda t: t.rlike(r"^\d+$"))
+    current = F.when(active.rlike(r"^\d+\z"), active.try_cast("int"))
+    digits = F.filter(F.transform(pages, lambda x: x["text"]), lambda t: t.rlike(r"^\d+\z"))
     last = F.coalesce(F.array_max(F.transform(digits, lambda t: t.try_cast("int"))), current)
     last = F.when(current.isNotNull(), last)
     nxt = F.when(current < last, current + 1)

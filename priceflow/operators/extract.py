@@ -1,13 +1,10 @@
 """Cards and fields out of captured HTML.
 
 Spark's ``xpath`` functions need well-formed XML and fail on an unclosed
-``<br>``, so cards are cut with regular expressions over the known, flat
-markup of each site.  Two ways to cut:
-
-* ``pair``:  the card has its own closing tag (``<article>...</article>``);
-* ``split``: cards are sibling ``<div>`` blocks of the same class with
-  nested divs inside; the page is split on the card's opening tag and each
-  piece after the first is one card (up to the next card).
+``<br>``, so cards, price blocks and breadcrumbs are cut out of the known
+markup of each site as elements that end where their nesting depth closes
+(see ``functions.markup``): what follows the last card is no part of it, and
+nested elements of the card's own name do not end it.
 
 Tags are matched by name and the one attribute that identifies them, in any
 order and among any others; texts are the first ones inside an element,
@@ -22,35 +19,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from priceflow.functions.text import first_match, first_text, text_nodes
+from priceflow.functions.markup import element_texts, elements, first_element, first_in
+from priceflow.functions.text import first_match, first_text
 
 JUMBO_SITES = ("jumbo", "jumbocl")
 FALABELLA_SITES = ("falabella", "falabellacol")
 
 def tag(name: str, attribute: str = "", value: str = "") -> str:
     """Pattern of an opening tag, whatever its other attributes and their order."""
-    return rf'<{name}\b[^>]*\b{attribute}="{value}"[^>]*>' if attribute else rf"<{name}\b[^>]*>"
+    return rf'<{name}\b[^>]*\s{attribute}="{value}"[^>]*>' if attribute else rf"<{name}\b[^>]*>"
 
 
 # First text inside an element: past any tags that open right after it.
 FIRST_TEXT = r"(?:\s*<[^/][^>]*>)*([^<]*)"
 
-# How each site's product cards are delimited in a listing page.
+# Each site's product cards: the element and how its opening tag looks (and what follows it).
+JUMBO_CARD = ("article", tag("article", "class", "[^\"]*vtex-product-summary-2-x-element[^\"]*"))
 CARD_MARKUP = {
-    "jumbo": ("pair", "(?s)" + tag("article", "class", "[^\"]*vtex-product-summary-2-x-element[^\"]*")
-              + "(.*?)</article>"),
-    "jumbocl": ("pair", "(?s)" + tag("article", "class", "[^\"]*vtex-product-summary-2-x-element[^\"]*")
-                + "(.*?)</article>"),
-    "cruzverde": ("split", tag("div", "class", "flex flex-col h-full p-10 bg-white rounded-sm font-open sm:p-10")),
-    "cruzverdecl": ("pair", "(?s)" + tag("ml-new-card-product") + r"\s*" + tag("div", "class", "[^\"]*text-left[^\"]*")
-                    + "(.*?)</ml-new-card-product>"),
-    "falabella": ("pair", "(?s)" + tag("div") + r"\s*" + tag("a") + "(.*?)</a>"),
-    "falabellacol": ("pair", "(?s)" + tag("div") + r"\s*" + tag("a") + "(.*?)</a>"),
-    "plaza_vea": ("split", tag("div", "class", "Showcase__details")),
-    "inkafarma": ("pair", "(?s)" + tag("fp-product-large") + "(.*?)</fp-product-large>"),
+    JUMBO_SITES: JUMBO_CARD,
+    "cruzverde": ("div", tag("div", "class", "flex flex-col h-full p-10 bg-white rounded-sm font-open sm:p-10")),
+    "cruzverdecl": ("ml-new-card-product", tag("ml-new-card-product") + r"\s*"
+                    + tag("div", "class", "[^\"]*text-left[^\"]*")),
+    "plaza_vea": ("div", tag("div", "class", "Showcase__details")),
+    "inkafarma": ("fp-product-large", tag("fp-product-large")),
 }
-# Where the list of cards starts; a page without it has no cards of that site.
-RESULTS = {"falabella": 'id="testId-searchResults-products"', "falabellacol": 'id="testId-searchResults-products"'}
+# Falabella's cards are the links right inside the boxes right inside the results.
+FALABELLA_RESULTS = tag("div", "id", "[^\"]*testId-searchResults-products[^\"]*")
 
 # Field patterns inside one card; group 1 is the value.
 NAME_PATTERN = {
@@ -61,8 +55,8 @@ NAME_PATTERN = {
     "plaza_vea": tag("button", "class", "Showcase__name") + FIRST_TEXT,
     "inkafarma": tag("fp-product-name") + FIRST_TEXT,
 }
-# The selling price ends where the unit price begins, or with the card.
-SELLING_PRICE = "(?s)" + tag("div", "class", "[^\"]*selling-price[^\"]*") + "(.*)$"
+SELLING_PRICE = tag("div", "class", "[^\"]*selling-price[^\"]*")
+# A unit price inside the selling price's block is not the selling price.
 UNIT_PRICE_START = r"(?s)<div\b[^>]*calculate-pum-2-x-main.*$"
 UNIT_PRICE_DIV = "(?s)(" + tag("div", "class", "[^\"]*calculate-pum-2-x-main[^\"]*") + ".*?</div>)"
 PRICE_PATTERN = {
@@ -74,16 +68,19 @@ PLAZA_VEA_PRICE = r'\bdata-price="([^"]*)"'
 # Inkafarma: the first span that is the last child of its parent, inside the price block.
 INKAFARMA_PRICE_BLOCK = "(?s)" + tag("fp-product-card-price") + "(.*?)</fp-product-card-price>"
 INKAFARMA_PRICE = r"<span\b[^>]*>([^<]*)</span>\s*</"
-FALABELLA_PRICE_PATTERNS = (
-    r"<li\b[^>]*\bdata-normal-price\b[^>]*>\s*<div[^>]*>\s*<span[^>]*>([^<]*)",
-    r'<li\b[^>]*\bdata-internet-price\b[^>]*>\s*<div[^>]*>\s*<span\b[^>]*\bid=""[^>]*>([^<]*)',
-    r'<li\b[^>]*\bdata-event-price\b[^>]*>\s*<div[^>]*>\s*<span\b[^>]*\bid=""[^>]*>([^<]*)',
+# Falabella: the first span text (with an empty id in the last two) in such an item of the price block.
+FALABELLA_PRICES = tag("div", "id", "[^\"]*testId-pod-prices-[^\"]*")
+SPAN_TEXT = r"<span\b[^>]*>([^<]+)"
+BLANK_ID_SPAN_TEXT = r'<span\b[^>]*\sid=""[^>]*>([^<]+)'
+FALABELLA_PRICE_ITEMS = (
+    (r"<li\b[^>]*\sdata-normal-price\b[^>]*>", SPAN_TEXT),
+    (r"<li\b[^>]*\sdata-internet-price\b[^>]*>", BLANK_ID_SPAN_TEXT),
+    (r"<li\b[^>]*\sdata-event-price\b[^>]*>", BLANK_ID_SPAN_TEXT),
 )
 CRUZVERDE_UNIT_PRICE = tag("span", "class", "text-12") + FIRST_TEXT
 PLAZA_VEA_UNIT_REFERENCE = tag("div", "class", "Showcase__units-reference") + FIRST_TEXT
 INKAFARMA_PRESENTATION = tag("fp-product-description") + FIRST_TEXT
-BREADCRUMB_DIV = "(?s)" + tag("div", "data-testid", "breadcrumb") + "(.*?)</div>"
-BREADCRUMB_TEXT = r"<span[^>]*>\s*<a[^>]*>([^<]*)</a>"
+BREADCRUMB_DIV = tag("div", "data-testid", "breadcrumb")
 
 # The entities that a serialised page holds, '&' last.
 ENTITIES = (("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
@@ -107,15 +104,19 @@ def by_site(site: Column, choices: dict[str, Column], default: Column | None = N
     return expr.otherwise(default) if default is not None else expr
 
 
-def _split_cards(html: Column, opener: str) -> Column:
-    pieces = F.split(html, opener)
-    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+def selling_price_texts(card: Column | str) -> Column:
+    """X3 on Jumbo: the text nodes of the selling-price blocks, in order."""
+    blocks = elements(card, "div", SELLING_PRICE)
+    return element_texts(F.transform(blocks, lambda b: F.regexp_replace(b, UNIT_PRICE_START, "")))
 
 
-def selling_price_texts(card: Column | str) -> Column:
-    """X3 on Jumbo: the text nodes of the selling-price block, in order."""
-    block = F.regexp_extract(F.col(card) if isinstance(card, str) else card, SELLING_PRICE, 1)
-    return text_nodes(F.regexp_replace(block, UNIT_PRICE_START, ""))
+def falabella_price(card: Column | str) -> Column:
+    """X2 on Falabella: the first of normal, internet and event price, at any depth of its item.
+
+    Only the price block counts; a card without one is searched as a whole.
+    """
+    block = F.coalesce(first_element(card, "div", FALABELLA_PRICES), F.col(card) if isinstance(card, str) else card)
+    return F.coalesce(*[first_in(elements(block, "li", item), text) for item, text in FALABELLA_PRICE_ITEMS])
 
 
 def plaza_vea_price(card: Column | str) -> Column:
@@ -128,22 +129,16 @@ def card_array(html: Column | str, site: Column | str) -> Column:
     """X1 (array form): the cards of a page, in document order."""
     html = F.col(html) if isinstance(html, str) else html
     site = F.col(site) if isinstance(site, str) else site
-    choices = {}
-    for name, (mode, spec) in CARD_MARKUP.items():
-        body = html
-        if name in RESULTS:
-            at = F.instr(html, RESULTS[name])
-            body = F.when(at > 0, html.substr(at, F.length(html))).otherwise(F.lit(""))
-        choices[name] = (F.regexp_extract_all(body, F.lit(spec), 1) if mode == "pair"
-                         else _split_cards(body, spec))
+    choices = {names: elements(html, name, opener) for names, (name, opener) in CARD_MARKUP.items()}
+    results = F.coalesce(first_element(html, "div", FALABELLA_RESULTS), F.lit(""))
+    choices[FALABELLA_SITES] = elements(results, "a", inside="div", level=1)
     return by_site(site, choices, F.array().cast("array<string>"))
 
 
 def breadcrumbs(html: Column | str) -> Column:
-    """Texts of the breadcrumb links of a page (Jumbo)."""
-    html = F.col(html) if isinstance(html, str) else html
-    div = F.coalesce(first_match(html, BREADCRUMB_DIV, 1), F.lit(""))
-    return F.regexp_extract_all(div, F.lit(BREADCRUMB_TEXT), 1)
+    """Texts of the breadcrumb links of a page (Jumbo), however nested, decoded."""
+    links = elements(F.coalesce(first_element(html, "div", BREADCRUMB_DIV), F.lit("")), "a")
+    return F.transform(element_texts(links), decode_entities)
 
 
 def explode_cards(snapshots: DataFrame) -> DataFrame:
@@ -183,7 +178,7 @@ def card_fields(cards: DataFrame) -> DataFrame:
         JUMBO_SITES: F.try_element_at(selling_price_texts(card), F.lit(-1)),
         "cruzverde": first(PRICE_PATTERN["cruzverde"]),
         "cruzverdecl": first(PRICE_PATTERN["cruzverdecl"]),
-        FALABELLA_SITES: F.coalesce(*[first(p) for p in FALABELLA_PRICE_PATTERNS]),
+        FALABELLA_SITES: falabella_price(card),
         "plaza_vea": plaza_vea_price(card),
         "inkafarma": first_text(F.regexp_extract(card, INKAFARMA_PRICE_BLOCK, 1), INKAFARMA_PRICE, 1),
     })

@@ -10,12 +10,14 @@ aggregate finds the winner and a join keeps its rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from priceflow import rules
 from priceflow.functions.text import col, strip_text
+from priceflow.operators.extract import decode_entities, tag
 from priceflow.operators.numbering import sequence_number
 
 ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
@@ -104,17 +106,97 @@ def number_requests(requests: DataFrame, keys: Sequence[str], order: Sequence[st
 
 # -- links -----------------------------------------------------------------------------
 
-MENU_LINK_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a>'
+ANCHOR = r"<a\b([^>]*)>(.*?)</a>"
+MENU_LINK_PATTERN = "(?s)" + tag("li") + r"\s*" + ANCHOR
+
+
+class MenuMarkup(NamedTuple):
+    """Patterns of a menu: category title, start of a group, its title ('' if none), its links."""
+
+    category: str
+    group: str
+    title: str
+    link: str
+
+
+_LEVEL_2 = "SecondLevelCategories-module_"
+FALABELLA_MENU = MenuMarkup(
+    tag("div", "class", '[^"]*FirstLevelCategories-module_categoryTitle__[^"]*') + ".*?</div>",
+    tag("ul", "class", f'[^"]*{_LEVEL_2}secondLevelCategory__NVToy[^"]*'),
+    tag("li", "class", f'[^"]*{_LEVEL_2}secondLevelCategoryTitle__[^"]*') + r"\s*" + ANCHOR,
+    tag("li", "class", f"{_LEVEL_2}thirdLevelCategory__0VfiO") + r"\s*" + ANCHOR)
+CRUZVERDE_CL_MENU = MenuMarkup(
+    tag("div", "class", '[^"]*flex-1 hover:bg-main hover:text-white option text-gray-darkest ng-star-inserted[^"]*')
+    + r"\s*" + tag("h4") + ".*?</h4>",
+    tag("li", "class", "ng-star-inserted"), "", tag("at-link") + r"\s*" + ANCHOR)
+
+
+def _visible_text(markup: Column) -> Column:
+    return strip_text(decode_entities(F.regexp_replace(markup, "<[^>]*>", "")))
+
+
+def _href(markup: Column) -> Column:
+    found = F.regexp_extract_all(markup, F.lit(r'<a\b[^>]*\shref="([^"]*)"'), F.lit(1))
+    return decode_entities(F.get(found, F.lit(0)))
 
 
 def menu_links(pages: DataFrame, pattern: str = MENU_LINK_PATTERN) -> DataFrame:
-    """Anchors of a page's menu -> (page_id, url, pos, href, text) rows."""
-    hrefs = F.regexp_extract_all(F.col("html"), F.lit(pattern), 1)
-    texts = F.regexp_extract_all(F.col("html"), F.lit(pattern), 2)
-    pairs = F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
-    return (pages.select("page_id", "url", F.posexplode(pairs).alias("pos0", "link"))
+    """C5, plain: list anchors of a page -> (page_id, url, pos, href, text) rows.
+
+    The tags may have any attributes; texts and addresses are decoded; an
+    anchor without an address has a NULL href.
+    """
+    anchors = F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
+    return (pages.select("page_id", "url", F.posexplode(anchors).alias("pos0", "anchor"))
             .select("page_id", "url", (F.col("pos0") + 1).cast("int").alias("pos"),
-                    F.col("link.href").alias("href"), F.col("link.text").alias("text")))
+                    _href(F.col("anchor")).alias("href"), _visible_text(F.col("anchor")).alias("text")))
+
+
+def menu_groups(pages: DataFrame, markup: MenuMarkup) -> DataFrame:
+    """A menu's links with the category and sub-category that they stand under.
+
+    The menu's titles, group starts and links are taken as one array in document
+    order, and one fold carries the last category and sub-category along it.  Adds
+    (category, category_pos, sub_category, group_pos, pos, href, text): the positions are
+    the running numbers of the category title, the group and the link.  A group's first
+    title names it; a link before any category, or in a group without its title, is
+    none of the menu's.  Menus without group titles give a NULL sub-category.
+    """
+    kinds = [p for p in markup if p]
+    tokens = F.regexp_extract_all("html", F.lit("(?s)" + "|".join(f"(?:{p})" for p in kinds)), F.lit(0))
+
+    def described(token: Column) -> Column:
+        # only the opening tag tells the kind: what follows may hold anything
+        kind = F.when(token.rlike("(?s)^" + markup.category), "category").when(token.rlike("^" + markup.group), "group")
+        if markup.title:
+            kind = kind.when(token.rlike("(?s)^" + markup.title), "title")
+        return F.struct(kind.otherwise("link").alias("kind"), _visible_text(token).alias("text"),
+                        _href(token).alias("href"))
+
+    def state(s: Column, **changed: Column) -> Column:
+        return F.struct(*[changed.get(f, s[f]).alias(f) for f in (
+            "category", "category_pos", "sub_category", "group_pos", "links")])
+
+    def step(s: Column, t: Column) -> Column:
+        named = s["sub_category"].isNotNull() if markup.title else F.lit(True)
+        link = F.struct(s["category"].alias("category"), s["category_pos"].alias("category_pos"),
+                        s["sub_category"].alias("sub_category"), s["group_pos"].alias("group_pos"),
+                        t["href"].alias("href"), t["text"].alias("text"))
+        none = F.lit(None).cast("string")
+        return (F.when(t["kind"] == "category", state(s, category=t["text"], category_pos=s["category_pos"] + 1,
+                                                      sub_category=none))
+                .when(t["kind"] == "group", state(s, group_pos=s["group_pos"] + 1, sub_category=none))
+                .when(t["kind"] == "title", state(s, sub_category=F.coalesce(s["sub_category"], t["text"])))
+                .when(s["category"].isNotNull() & named, state(s, links=F.concat(s["links"], F.array(link))))
+                .otherwise(s))
+
+    row = ("category:string,category_pos:int,sub_category:string,group_pos:int")
+    zero = F.struct(F.lit(None).alias("category"), F.lit(0).alias("category_pos"), F.lit(None).alias("sub_category"),
+                    F.lit(0).alias("group_pos"), F.array().alias("links")).cast(
+                        f"struct<{row},links:array<struct<{row},href:string,text:string>>>")
+    links = F.aggregate(F.transform(tokens, described), zero, step, lambda s: s["links"])
+    found = pages.select("page_id", "url", F.posexplode(links).alias("pos0", "link"))
+    return found.select("page_id", "url", (F.col("pos0") + 1).cast("int").alias("pos"), "link.*")
 
 
 def url_origin(url: Column | str) -> Column:
@@ -125,27 +207,52 @@ def url_host(url: Column | str) -> Column:
     return F.lower(F.regexp_extract(col(url), HOST, 1))
 
 
+# scheme, //host, path, ?query, #fragment
+URL_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+
+
+def _url_parts(url: Column) -> list[Column]:
+    return [F.regexp_extract(url, URL_PARTS, k) for k in range(1, 6)]
+
+
+def _collapse(segments: Column) -> Column:
+    """Path segments with '.' dropped and '..' taking back the one before."""
+    return F.aggregate(segments, F.array().cast("array<string>"), lambda kept, s: F.when(
+        s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(s == ".", kept).otherwise(F.concat(kept, F.array(s))))
+
+
 def resolve_link(base: Column | str, href: Column | str) -> Column:
-    """C4: absolute href kept; relative forms joined to the page URL.
+    """C4: an address joined to its page's URL, as ``urljoin`` joins them.
 
-    '//h/p' takes the page's scheme, '/p' its origin, '?q' and '#f' its
-    path, anything else replaces the last path part.  Dot segments are not
-    collapsed.
+    A fold over the path's segments keeps them as a stack: '.' is dropped, '..' takes
+    back the one before.  An address with a scheme other than the page's (``mailto:``)
+    stays as it is; leading blanks and line ends are dropped.  Pages are http or https.
     """
     b, h = col(base), col(href)
-    no_frag = F.regexp_replace(b, "#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    origin = url_origin(b)
-    scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    path = F.substring(no_query, F.length(origin) + 1, 1 << 30)
-    directory = F.regexp_extract(path, r"^(.*/)", 1)
-    return (F.when(h.startswith("http"), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(origin, h))
-            .when(h.startswith("?"), F.concat(no_query, h))
-            .when(h.startswith("#"), F.concat(no_frag, h))
-            .when(h == "", b)
-            .otherwise(F.concat(origin, F.when(directory == "", F.lit("/")).otherwise(directory), h)))
+    clean = F.regexp_replace(F.regexp_replace(h, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    b_scheme, b_host, b_path, b_query, _ = _url_parts(b)
+    scheme, host, path, query, fragment = _url_parts(clean)
+    base_scheme = F.lower(b_scheme)
+    own_scheme = F.when(scheme == "", base_scheme).otherwise(F.lower(scheme))
+    before = F.split(b_path, "/")
+    before = F.when(F.element_at(before, -1) != "", F.slice(before, 1, F.size(before) - 1)).otherwise(before)
+    after = F.split(path, "/")
+    below = F.concat(before, after)
+    below = F.filter(below, lambda s, i: (s != "") | (i == 0) | (i == F.size(before) + F.size(after) - 1))
+    segments = F.when(path.startswith("/"), after).otherwise(below)
+    ends = F.element_at(segments, -1)
+    kept = _collapse(segments)
+    kept = F.when(ends.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    joined = F.array_join(kept, "/")
+    whole = F.when(host != "", path).when(path == "", b_path).otherwise(F.when(joined == "", "/").otherwise(joined))
+    asked = F.when((host == "") & (path == "") & (query == ""), b_query).otherwise(query)
+    place = F.when(host != "", host).otherwise(b_host)
+    slash = F.when((place != "") & (whole != "") & ~whole.startswith("/"), "/").otherwise("")
+    full = F.concat(own_scheme, F.lit("://"), place, slash, whole,
+                    F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(""),
+                    F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""))
+    return F.when(h == "", b).when(own_scheme != base_scheme, h).otherwise(full)
 
 
 def link_present(links: DataFrame, href: str = "href") -> DataFrame:
@@ -163,11 +270,30 @@ def link_text_deny(links: DataFrame, text: str = "text",
     return links.where(~cond)
 
 
-def offsite_filter(df: DataFrame, url: str, domain: str) -> DataFrame:
-    """F8: keep URLs whose host is the allowed domain or one of its
-    sub-domains (the framework's offsite rule)."""
-    host, dom = url_host(url), F.lower(F.col(domain))
-    return df.where((host == dom) | host.endswith(F.concat(F.lit("."), dom)))
+def host_suffixes(url: Column | str) -> Column:
+    """'a.b.c' -> ['a.b.c', 'b.c', 'c']: a URL's host and the domains it is under."""
+    labels = F.split(url_host(url), r"\.")
+    return F.transform(labels, lambda x, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
+
+
+def offsite_filter(links: DataFrame, sites: DataFrame, url: str = "url", site: str = "site",
+                   domain: str = "domain") -> DataFrame:
+    """F8: keep URLs whose host is an allowed domain of their site, or under one.
+
+    A host becomes its label suffixes and meets the site's domains by equality, so any
+    number of sites and domains is one equi-join and 'xshop.com' is not under 'shop.com'.
+    A link without a host or a site is dropped.
+    """
+    allowed = sites.select(F.col(site).alias("_site"), F.lower(domain).alias("_domain")).distinct()
+    # a domain under another of its site allows nothing more, and would repeat links
+    wider = F.slice(F.split("_domain", r"\."), 2, F.size(F.split("_domain", r"\.")))
+    under = allowed.select("_site", "_domain", F.explode(
+        F.transform(wider, lambda x, i: F.array_join(F.slice(wider, i + 1, F.size(wider)), "."))).alias("_wider"))
+    under = under.join(allowed.select("_site", F.col("_domain").alias("_wider")), ["_site", "_wider"], "left_semi")
+    allowed = allowed.join(under, ["_site", "_domain"], "left_anti")
+    found = links.withColumn("_suffix", F.explode(host_suffixes(url)))
+    return found.join(allowed, (F.col(site) == F.col("_site")) & (F.col("_suffix") == F.col("_domain")),
+                      "left_semi").drop("_suffix")
 
 
 def distinct_links(links: DataFrame, keys: Sequence[str] = ("site", "url")) -> DataFrame:
@@ -177,21 +303,41 @@ def distinct_links(links: DataFrame, keys: Sequence[str] = ("site", "url")) -> D
 
 # -- menus ---------------------------------------------------------------------------
 
-def menu_tree(groups: DataFrame) -> DataFrame:
-    """Category -> sub-category -> links; a sub-category named again
-    later replaces the earlier one (a dict assignment), so only the last
-    group of each (category, sub_category) keeps its links.
+def menu_tree(groups: DataFrame, run: Sequence[str] = ()) -> DataFrame:
+    """Category -> sub-category -> links, with a dictionary's order.
 
-    ``groups`` holds (category, sub_category, group_pos, pos, url) rows.
-    The winner is found by a partial aggregate, then kept by a join.
+    ``groups`` holds (run, category, sub_category, group_pos, pos, url) rows, and
+    category_pos where categories can be named again.  A sub-category named again
+    replaces the links of the earlier one but keeps its place; a category named again
+    starts empty and keeps its place.  So one aggregate per level takes the place of
+    the first naming (``category_place``, ``place``) and the links of the last.
     """
-    last = groups.groupBy("category", "sub_category").agg(F.max("group_pos").alias("group_pos"))
-    return groups.join(last, ["category", "sub_category", "group_pos"], "left_semi")
-
-
-def menu_flatten(tree: DataFrame) -> DataFrame:
-    """One request per URL of the tree, numbered in tree order."""
-    return number_requests(tree, ["category"], ["sub_category", "group_pos", "pos"])
+    run = list(run)
+    if "category_pos" in groups.columns:
+        last = groups.groupBy(*run, "category").agg(
+            F.min("category_pos").alias("category_place"), F.max("category_pos").alias("category_pos"))
+        groups = groups.join(last, [*run, "category", "category_pos"])
+    else:
+        first = groups.groupBy(*run, "category").agg(F.min("group_pos").alias("category_place"))
+        groups = groups.join(first, [*run, "category"])
+    last = groups.groupBy(*run, "category", "sub_category").agg(
+        F.min("group_pos").alias("place"), F.max("group_pos").alias("group_pos"))
+    return groups.join(last, [*run, "category", "sub_category", "group_pos"])
+
+
+def menu_flatten(tree: DataFrame, run: Sequence[str] = ()) -> DataFrame:
+    """One request per URL of the tree, numbered from 0 in dictionary order.
+
+    With ``run``, the numbers start anew for each run; its links come from one menu,
+    so the window is bounded by that page.  Without, the whole tree is numbered in
+    slices (see ``numbering``).
+    """
+    order = ["category_place", "place", "pos"]
+    if not run:
+        return sequence_number(tree, [], order, "request_index").withColumn(
+            "request_index", F.col("request_index") - 1)
+    return tree.withColumn("request_index", (
+        F.row_number().over(Window.partitionBy(*run).orderBy(*order)) - 1).cast("bigint"))
 
 
 def last_child_label(links: DataFrame, group: Sequence[str] = ("page_id",),

@@ -24,6 +24,9 @@ together with offsets.  There is one plan for every size and type:
    row per slice, a proven bound, so it is broadcast and the rows are not
    shuffled again.
 
+Several running values over one order (page numbers and totals, say) are worked
+out in the same pass (``running_values``).
+
 The result equals the plain window exactly, as long as ``order`` is a total
 order within the key (add a unique column as the last tie breaker).  Rows
 that tie on every order column are interchangeable and may be numbered in
@@ -32,7 +35,8 @@ any order among themselves.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,36 +76,48 @@ def slice_of(cols: Sequence[str], bounds: Column, slices: int) -> Column:
         (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) <= row), at + step).otherwise(at))
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                value: str | Column, out: str, num_slices: int | None = None) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over rows of the same key up to this one.
+def running_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   values: Mapping[str, str | Column], num_slices: int | None = None) -> DataFrame:
+    """Add, for each ``out: value``, the sum of ``value`` over rows of the same key up to this one.
 
-    One slice per shuffle partition unless ``num_slices`` is given.
+    All values share one pass: the same slices, one window, one table of offsets.
+    Bounds come from the key and order columns only.  One slice per shuffle
+    partition unless ``num_slices`` is given.
     """
-    keys, order = list(keys), list(order)
-    val = F.col(value) if isinstance(value, str) else value
+    keys, order, outs = list(keys), list(order), list(values)
     slices = num_slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = slice_bounds(df, keys + order, slices)
-    sliced = df.withColumn("_v", val).withColumn("_slice", slice_of(keys + order, bounds, slices))
+    sliced = df.withColumns({f"_v{k}": F.col(v) if isinstance(v, str) else v for k, v in enumerate(values.values())})
+    sliced = sliced.withColumn("_slice", slice_of(keys + order, bounds, slices))
+    places = range(len(outs))
 
     in_slice = (Window.partitionBy("_slice", *keys).orderBy(*order)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = sliced.withColumn("_local", F.sum("_v").over(in_slice))
+    local = sliced.select("*", *[F.sum(f"_v{k}").over(in_slice).alias(f"_local{k}") for k in places])
 
-    totals = sliced.groupBy("_slice", *keys).agg(F.sum("_v").alias("_total"))
+    totals = sliced.groupBy("_slice", *keys).agg(*[F.sum(f"_v{k}").alias(f"_total{k}") for k in places])
     before = (Window.partitionBy(*keys).orderBy("_slice")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (totals.withColumn("_offset", F.sum("_total").over(before))
-               .where(F.col("_offset").isNotNull() & (F.col("_offset") != 0))
-               .select(*[F.col(c).alias(f"_o_{c}") for c in ["_slice", *keys]], "_offset"))
+    names = ["_slice", *keys]
+    offsets = totals.select(*[F.col(c).alias(f"_o_{c}") for c in names],
+                            *[F.sum(f"_total{k}").over(before).alias(f"_offset{k}") for k in places])
+    offsets = offsets.where(reduce(lambda a, b: a | b, [
+        F.coalesce(F.col(f"_offset{k}") != 0, F.lit(False)) for k in places]))
 
     # null-safe: a NULL key is a key like any other here
     cond = F.col("_slice") == F.col("_o__slice")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    return (local.join(F.broadcast(offsets), cond, "left")
-            .withColumn(out, F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0)))
-            .drop("_slice", "_local", "_offset", "_v", *[f"_o_{c}" for c in ["_slice", *keys]]))
+    joined = local.join(F.broadcast(offsets), cond, "left").withColumns({
+        out: F.col(f"_local{k}") + F.coalesce(F.col(f"_offset{k}"), F.lit(0)) for k, out in enumerate(outs)})
+    return joined.drop(*names[:1], *[f"_o_{c}" for c in names],
+                       *[f"{n}{k}" for n in ("_v", "_local", "_offset") for k in places])
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                value: str | Column, out: str, num_slices: int | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``value`` over rows of the same key up to this one."""
+    return running_values(df, keys, order, {out: value}, num_slices)
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],

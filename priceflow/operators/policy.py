@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from priceflow.session import shared_path
+
 DEDUP_KEYS = ("site", "name", "price", "total_unit_quantity", "unit_type", "category", "sub_category",
               "result_date", "result_time")
 
@@ -31,15 +34,27 @@ def dedup_rows(rows: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
     Rows without a name are products nobody can tell apart, not copies: each
     stays.
 
-    Done as a partial aggregate (min of a struct led by the order columns),
-    so a key with many copies is combined map-side before the shuffle.
+    Two phases, over rows written once to the shared folder (so that a page is
+    parsed once).  First the rows are counted by a 64-bit hash of their keys: a
+    hash aggregate over two fixed-width columns, combined map-side.  Most
+    hashes occur once, and their rows are passed on as they are.  Only rows whose
+    hash comes again are grouped by their full keys, where the first is picked
+    (a partial aggregate, so a key with many copies is combined map-side too).
     """
     keys = list(keys)
+    spark = rows.sparkSession
+    path = shared_path(spark, f"dedup-{uuid.uuid4().hex}")
     rest = [c for c in rows.columns if c not in keys]
-    alone = F.when(F.col("name").isNull(), F.struct(*[F.col(c) for c in order])).alias("_alone")
+    rows.withColumn("_hash", F.when(F.col("name").isNotNull(), F.xxhash64(*keys))).write.parquet(path)
+    stored = spark.read.parquet(path)
+    again = stored.where("_hash IS NOT NULL").groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # both sides of the join read the same narrow table; a hot hash is split by the skew join
+    marked = stored.join(again.select("_hash", F.lit(True).alias("_again")), "_hash", "left")
+    alone = marked.where("_again IS NULL").select(*keys, *rest, F.lit(1).cast("bigint").alias("copies"))
     first = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order]))
-    return (rows.groupBy(*keys, alone).agg(first.alias("_first"), F.count(F.lit(1)).alias("copies"))
-            .select(*keys, "_first.*", "copies"))
+    several = (marked.where("_again").groupBy(*keys).agg(first.alias("_first"), F.count(F.lit(1)).alias("copies"))
+               .select(*keys, "_first.*", "copies"))
+    return alone.unionByName(several)
 
 
 def limit_items(rows: DataFrame, n: int, order: Sequence[str] = ("site", "page_id", "chunk", "pos")

@@ -210,7 +210,8 @@ _b_cat, _b_sub = d.breadcrumb_category("crumbs", "url")
 
 @register("breadcrumb_category", W(
     f"SELECT page_id, chunk, {_b_cat} AS category, {_b_sub} AS sub_category FROM ("
-    f" SELECT page_id, chunk, url, {d.breadcrumbs('html')} AS crumbs FROM page_snapshot)"))
+    f" SELECT page_id, chunk, url, CASE WHEN site IN ('jumbo', 'jumbocl') THEN {fx.crumb_exprs()}"
+    " ELSE []::VARCHAR[] END AS crumbs FROM page_snapshot)"))
 def breadcrumb_category(spark, sf_dir):
     """P5 on every page; a page without breadcrumbs falls back to its URL."""
     s = fx.page_snapshot(spark, sf_dir)
@@ -331,38 +332,44 @@ def link_present(spark, sf_dir):
 
 
 def _resolve_sql(base: str, href: str) -> str:
-    origin = f"regexp_extract({base}, {d.lit(fr.ORIGIN)}, 1)"
-    no_frag = f"regexp_replace({base}, '#.*$', '')"
-    no_query = rf"regexp_replace({no_frag}, '\?.*$', '')"
-    scheme = f"regexp_extract({base}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)"
-    path = f"substr({no_query}, length({origin}) + 1)"
-    directory = f"regexp_extract({path}, '^(.*/)', 1)"
-    return (f"(CASE WHEN starts_with({href}, 'http') THEN {href}"
-            f" WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href}"
-            f" WHEN starts_with({href}, '/') THEN {origin} || {href}"
-            f" WHEN starts_with({href}, '?') THEN {no_query} || {href}"
-            f" WHEN starts_with({href}, '#') THEN {no_frag} || {href}"
-            f" WHEN {href} = '' THEN {base}"
-            f" ELSE {origin} || (CASE WHEN {directory} = '' THEN '/' ELSE {directory} END) || {href} END)")
+    """urljoin, step by step over the parts of both addresses."""
+    def part(x, k):
+        return f"regexp_extract({x}, {d.lit('(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:[?]([^#]*))?(?:#(.*))?$')}, {k})"
+
+    bs, bh, bp, bq = (part(base, k) for k in (1, 2, 3, 4))
+    scheme, host, path, query, frag = (part(f"ltrim({href})", k) for k in (1, 2, 3, 4, 5))
+    folder = f"string_split(regexp_replace({bp}, '[^/]+$', ''), '/')"
+    below = (f"list_concat(list_filter({folder}, lambda x, i: x <> '' OR i = 1),"
+             f" list_filter(string_split({path}, '/'), lambda x, i: x <> '' OR i = len(string_split({path}, '/'))))")
+    steps = f"(CASE WHEN starts_with({path}, '/') THEN string_split({path}, '/') ELSE {below} END)"
+    kept = (f"list_reduce(list_prepend([]::VARCHAR[], list_transform({steps}, lambda x: [x])), lambda a, b:"
+            " CASE b[1] WHEN '..' THEN a[:-2] WHEN '.' THEN a ELSE list_concat(a, b) END)")
+    joined = f"array_to_string({kept}, '/') || (CASE WHEN {steps}[-1] IN ('.', '..') THEN '/' ELSE '' END)"
+    whole = (f"(CASE WHEN {host} <> '' THEN {path} WHEN {path} = '' THEN {bp}"
+             f" ELSE '/' || ltrim({joined}, '/') END)")
+    asked = f"(CASE WHEN {host} = '' AND {path} = '' AND {query} = '' THEN {bq} ELSE {query} END)"
+    return (f"(CASE WHEN {href} = '' THEN {base} WHEN {scheme} <> '' AND lower({scheme}) <> lower({bs}) THEN {href}"
+            f" ELSE lower({bs}) || '://' || (CASE WHEN {host} <> '' THEN {host} ELSE {bh} END) || {whole}"
+            f" || (CASE WHEN {asked} <> '' THEN '?' || {asked} ELSE '' END)"
+            f" || (CASE WHEN {frag} <> '' THEN '#' || {frag} ELSE '' END) END)")
 
 
 def _host_sql(url: str) -> str:
     return f"lower(regexp_extract({url}, {d.lit(fr.HOST)}, 1))"
 
 
-RESOLVED = ("resolved AS (SELECT page_id, url, pos, href, text, " + _resolve_sql("url", "href")
+RESOLVED = ("resolved AS (SELECT page_id, site, url, pos, href, text, " + _resolve_sql("url", "href")
             + " AS link_url FROM menu_link WHERE href IS NOT NULL AND href <> '')")
 
 
 @register("offsite_filter", W(
-    "SELECT page_id, pos, link_url FROM (SELECT *, regexp_replace(" + _host_sql("url")
-    + r", '^(www|m|blog)\.', '') AS allowed FROM resolved) WHERE "
-    + _host_sql("link_url") + " = lower(allowed) OR ends_with(" + _host_sql("link_url")
-    + ", '.' || lower(allowed))", extra=(RESOLVED,)))
+    "SELECT page_id, pos, link_url FROM resolved JOIN site_rule USING (site) WHERE "
+    + _host_sql("link_url") + " = lower(domain) OR ends_with(" + _host_sql("link_url")
+    + ", '.' || lower(domain))", extra=(RESOLVED,)))
 def offsite_filter(spark, sf_dir):
-    links = resolved_links(spark, sf_dir).withColumn(
-        "allowed", F.regexp_replace(fr.url_host("url"), r"^(www|m|blog)\.", ""))
-    return fr.offsite_filter(links, "link_url", "allowed").select("page_id", "pos", "link_url")
+    """F8: links against the allowed domains of their site (the site table)."""
+    kept = fr.offsite_filter(resolved_links(spark, sf_dir), fx.site_rule(spark), "link_url")
+    return kept.select("page_id", "pos", "link_url")
 
 
 # ---------------------------------------------------------------------------
@@ -383,12 +390,9 @@ def field_first(spark, sf_dir):
     return fields(spark, sf_dir).select(*CARD_KEY, "name_raw")
 
 
-_last_text = (d.selling_price_texts("card")
-              + "[-1]")
-
-
 @register("field_last", W(
-    f"SELECT page_id, chunk, pos, {_last_text} AS price_text FROM exploded", products=True))
+    "SELECT page_id, chunk, pos, CASE WHEN site IN ('jumbo', 'jumbocl') THEN price_raw END AS price_text"
+    " FROM exploded", products=True))
 def field_last(spark, sf_dir):
     """X3 on every card: the last text of the selling-price elements."""
     e = explode_cards(fx.page_snapshot(spark, sf_dir))
@@ -397,7 +401,7 @@ def field_last(spark, sf_dir):
 
 
 @register("field_attribute", W(
-    f"SELECT page_id, chunk, pos, {d.plaza_vea_price('card')} AS data_price"
+    "SELECT page_id, chunk, pos, CASE WHEN site = 'plaza_vea' THEN price_raw END AS data_price"
     " FROM exploded", products=True))
 def field_attribute(spark, sf_dir):
     """X4 on every card: the ``data-price`` attribute ('' when empty)."""
@@ -405,11 +409,8 @@ def field_attribute(spark, sf_dir):
     return e.select(*CARD_KEY, ex.plaza_vea_price("card").alias("data_price"))
 
 
-_unit_ref = d.strip(d.blank_null(f"regexp_extract(card, {d.lit(ex.PLAZA_VEA_UNIT_REFERENCE)}, 1)"))
-
-
 @register("field_optional", W(
-    f"SELECT page_id, chunk, pos, coalesce({_unit_ref}, '') AS unit_reference FROM exploded", products=True))
+    "SELECT page_id, chunk, pos, coalesce(unit_ref_raw, '') AS unit_reference FROM exploded", products=True))
 def field_optional(spark, sf_dir):
     """X5 on every card: an absent unit reference reads as ''."""
     e = explode_cards(fx.page_snapshot(spark, sf_dir))
@@ -653,39 +654,43 @@ def resolve_links(spark, sf_dir):
     return resolved_links(spark, sf_dir).select("page_id", "pos", "link_url")
 
 
-@register("menu_links", W("SELECT page_id, cast(pos AS INTEGER) AS pos, href, text FROM menu_raw"))
+@register("menu_links", W(
+    "SELECT page_id, category, sub_category, cast(pos AS INTEGER) AS pos, nullif(href, '') AS href, text"
+    " FROM menu_grouped"))
 def menu_links(spark, sf_dir):
-    return fx.menu_raw(spark, sf_dir).select("page_id", "pos", "href", "text")
+    """The links of every menu page under their category and sub-category."""
+    links = fr.menu_groups(fx.menu_page(spark, sf_dir), fr.FALABELLA_MENU)
+    return links.select("page_id", "category", "sub_category", "pos", "href", "text")
 
 
-MENU_CATEGORY = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]+/([^/?#]+)"
-MENU_GROUPS = ("groups AS (SELECT regexp_extract(url, " + d.lit(MENU_CATEGORY) + ", 1) AS category, "
-               + _host_sql("url") + " AS sub_category, page_id AS group_pos, cast(pos AS INTEGER) AS pos,"
-               " link_url AS url FROM resolved)")
-MENU_TREE = ("tree AS (SELECT g.* FROM groups g JOIN (SELECT category, sub_category, max(group_pos) AS gp"
-             " FROM groups GROUP BY ALL) w ON g.category = w.category AND g.sub_category = w.sub_category"
-             " AND g.group_pos = w.gp)")
+# dictionary order, in SQL: the last naming's links at the first naming's place
+MENU_TREE = ("named AS (SELECT page_id, category, sub_category, c_at, g_at, pos, " + _resolve_sql("url", "href")
+             + " AS url FROM menu_grouped WHERE href <> ''),"
+             " open_ AS (SELECT page_id, category, min(c_at) AS category_place, max(c_at) AS c_at FROM named GROUP BY ALL),"
+             " kept AS (SELECT * FROM named JOIN open_ USING (page_id, category, c_at)),"
+             " subs AS (SELECT page_id, category, sub_category, min(g_at) AS place, max(g_at) AS g_at FROM kept GROUP BY ALL),"
+             " tree AS (SELECT * FROM kept JOIN subs USING (page_id, category, sub_category, g_at))")
 
 
-def menu_groups(spark, sf_dir):
-    links = resolved_links(spark, sf_dir)
-    return links.select(F.regexp_extract("url", MENU_CATEGORY, 1).alias("category"),
-                        fr.url_host("url").alias("sub_category"), F.col("page_id").alias("group_pos"),
-                        "pos", F.col("link_url").alias("url"))
+def menu_tree_rows(spark, sf_dir):
+    links = fr.link_present(fr.menu_groups(fx.menu_page(spark, sf_dir), fr.FALABELLA_MENU))
+    links = links.select("page_id", "category", "category_pos", "sub_category", "group_pos", "pos",
+                         fr.resolve_link("url", "href").alias("url"))
+    return fr.menu_tree(links, ["page_id"])
 
 
 @register("menu_tree", W(
-    "SELECT category, sub_category, group_pos, pos, url FROM tree", extra=(RESOLVED, MENU_GROUPS, MENU_TREE,)))
+    "SELECT page_id, category, sub_category, cast(pos AS INTEGER) AS pos, url FROM tree", extra=(MENU_TREE,)))
 def menu_tree(spark, sf_dir):
-    return fr.menu_tree(menu_groups(spark, sf_dir))
+    return menu_tree_rows(spark, sf_dir).select("page_id", "category", "sub_category", "pos", "url")
 
 
 @register("menu_flatten", W(
-    "SELECT category, row_number() OVER (PARTITION BY category ORDER BY sub_category, group_pos, pos) - 1"
-    " AS request_index, sub_category, url FROM tree", extra=(RESOLVED, MENU_GROUPS, MENU_TREE,)))
+    "SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY category_place, place, pos) - 1"
+    " AS request_index, category, sub_category, url FROM tree", extra=(MENU_TREE,)))
 def menu_flatten(spark, sf_dir):
-    flat = fr.menu_flatten(fr.menu_tree(menu_groups(spark, sf_dir)))
-    return flat.select("category", "request_index", "sub_category", "url")
+    flat = fr.menu_flatten(menu_tree_rows(spark, sf_dir), ["page_id"])
+    return flat.select("page_id", "request_index", "category", "sub_category", "url")
 
 
 _deny_t = _deny_sql("text")
@@ -750,25 +755,18 @@ def category_summary(spark, sf_dir):
     " PARTITION BY site, category ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     " AS BIGINT) AS running_total FROM crawl_log"))
 def running_total(spark, sf_dir):
-    return cl.running_total(fx.crawl_log(spark, sf_dir)).select(
+    return cl.numbered_running_total(fx.crawl_visits(spark, sf_dir)).select(
         "site", "category", "page_number", "products_found", "running_total")
 
 
-_ANY_PAGE = r'<span class="[^"]*pagination__item[^"]*page-number[^"]*">([^<]*)</span>'
-_ACTIVE_PAGE = r'<span class="[^"]*active[^"]*">([^<]*)</span>'
-_active = f"{d.strip(d.all_matches('html', _ACTIVE_PAGE, 1) + '[1]')}"
-_cur = (f"(CASE WHEN contains(html, {d.lit(cl.PAGINATION)}) AND regexp_matches({_active}, '^\\d+$')"
-        f" THEN try_cast({_active} AS INTEGER) END)")
-_last = ("list_max(list_transform(list_filter(" + d.all_matches("html", _ANY_PAGE, 1)
-         + ", lambda t: regexp_matches(t, '^\\d+$')), lambda t: try_cast(t AS INTEGER)))")
+_paged, _last_page = fx.pager_exprs()
 
 
 @register("next_page", W(
     "SELECT page_id, chunk, current_page, last_page,"
     " CASE WHEN current_page < last_page THEN current_page + 1 END AS next_page FROM ("
-    f" SELECT page_id, chunk, cur AS current_page,"
-    f" CASE WHEN cur IS NOT NULL THEN coalesce(mx, cur) END AS last_page FROM ("
-    f" SELECT page_id, chunk, {_cur} AS cur, {_last} AS mx FROM page_snapshot))"))
+    f" SELECT page_id, chunk, CASE WHEN {_paged} THEN page_number END AS current_page,"
+    f" CASE WHEN {_paged} THEN cast({_last_page} AS INTEGER) END AS last_page FROM page_snapshot)"))
 def next_page(spark, sf_dir):
     """C13 on every page; a page without a pager has no next page."""
     s = fx.page_snapshot(spark, sf_dir)

@@ -8,7 +8,6 @@ ASCII; the fixture texts are ASCII where it matters, so both agree.
 from __future__ import annotations
 
 from priceflow import rules
-from priceflow.operators import extract
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -48,12 +47,15 @@ def title(x: str) -> str:
             f"THEN upper(ch) ELSE lower(ch) END), '')")
 
 
-def slug_label(x: str) -> str:
-    return title(f"replace({x}, '-', ' ')")
+def decode(x: str) -> str:
+    """Entities as characters (the few that the given pages hold)."""
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&amp;", "&")):
+        x = f"replace({x}, {lit(entity)}, {lit(char)})"
+    return x
 
 
-def text_nodes(x: str) -> str:
-    return f"list_filter(regexp_extract_all({x}, '(?:^|>)([^<]+)', 1), lambda t: trim(t) <> '')"
+def slug_label(x: str) -> str:
+    return title(f"replace({x}, '-', ' ')")
 
 
 def case_site(choices: dict, default: str = "NULL", site: str = "site") -> str:
@@ -202,65 +204,3 @@ def compose_name(name: str, pres: str) -> str:
     n, p = f"coalesce({strip(name)}, '')", f"coalesce({strip(pres)}, '')"
     return (f"(CASE WHEN {n} <> '' AND {p} <> '' THEN {n} || ' - ' || {p} "
             f"WHEN {n} <> '' THEN {n} ELSE {lit(rules.NO_NAME)} END)")
-
-
-# -- cards (X1-X5) ------------------------------------------------------------------
-
-def card_array(html: str = "html") -> str:
-    choices = {}
-    for name, (mode, spec) in extract.CARD_MARKUP.items():
-        body = html
-        if name in extract.RESULTS:
-            at = f"strpos({html}, {lit(extract.RESULTS[name])})"
-            body = f"(CASE WHEN {at} > 0 THEN substr({html}, {at}) ELSE '' END)"
-        choices[name] = (all_matches(body, spec, 1) if mode == "pair"
-                         else f"string_split_regex({body}, {lit(spec)})[2:]")
-    return case_site(choices, "[]::VARCHAR[]")
-
-
-def selling_price_texts(card: str) -> str:
-    block = f"regexp_extract({card}, {lit(extract.SELLING_PRICE)}, 1)"
-    return text_nodes(f"regexp_replace({block}, {lit(extract.UNIT_PRICE_START)}, '')")
-
-
-def plaza_vea_price(card: str) -> str:
-    return first(f"regexp_extract({card}, {lit(extract.PLAZA_VEA_PRICE_TAG)}, 1)", extract.PLAZA_VEA_PRICE, 1)
-
-
-def decode_entities(x: str) -> str:
-    for entity, char in extract.ENTITIES:
-        x = f"replace({x}, {lit(entity)}, {lit(char)})"
-    return x
-
-
-def breadcrumbs(html: str = "html") -> str:
-    div = f"coalesce({first(html, extract.BREADCRUMB_DIV, 1)}, '')"
-    return all_matches(div, extract.BREADCRUMB_TEXT, 1)
-
-
-def field_exprs(card: str = "card") -> dict[str, str]:
-    def f(pattern):
-        return blank_null(first(card, pattern, 1))
-
-    fields = {
-        "name_raw": case_site({
-            extract.JUMBO_SITES: f(extract.NAME_PATTERN["jumbo"]),
-            "cruzverde": f(extract.NAME_PATTERN["cruzverde"]),
-            "cruzverdecl": f(extract.NAME_PATTERN["cruzverdecl"]),
-            extract.FALABELLA_SITES: f(extract.NAME_PATTERN["falabella"]),
-            "plaza_vea": f(extract.NAME_PATTERN["plaza_vea"]),
-            "inkafarma": f(extract.NAME_PATTERN["inkafarma"])}),
-        "price_raw": case_site({
-            extract.JUMBO_SITES: f"{selling_price_texts(card)}[-1]",
-            "cruzverde": f(extract.PRICE_PATTERN["cruzverde"]),
-            "cruzverdecl": f(extract.PRICE_PATTERN["cruzverdecl"]),
-            extract.FALABELLA_SITES: "coalesce(" + ", ".join(f(p) for p in extract.FALABELLA_PRICE_PATTERNS) + ")",
-            "plaza_vea": plaza_vea_price(card),
-            "inkafarma": blank_null(first(f"regexp_extract({card}, {lit(extract.INKAFARMA_PRICE_BLOCK)}, 1)", extract.INKAFARMA_PRICE, 1))}),
-        "unit_price_raw": case_site({
-            extract.JUMBO_SITES: first(card, extract.UNIT_PRICE_DIV, 1),
-            "cruzverde": f(extract.CRUZVERDE_UNIT_PRICE)}),
-        "unit_ref_raw": case_site({"plaza_vea": f(extract.PLAZA_VEA_UNIT_REFERENCE)}),
-        "presentation_raw": case_site({"inkafarma": f(extract.INKAFARMA_PRESENTATION)}),
-    }
-    return {k: decode_entities(v) for k, v in fields.items()}

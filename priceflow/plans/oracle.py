@@ -35,7 +35,8 @@ cards_num AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {",
               FROM lineitem JOIN part ON l_partkey = p_partkey),
 cards_base AS (SELECT {_sel(fx.card_base_exprs(DD))} FROM cards_num),
 cards_text AS (SELECT {_sel(fx.card_text_exprs(DD), star=True)} FROM cards_base),
-cards AS (SELECT *, {fx.card_html_expr(DD)} AS card_html FROM cards_text),
+cards_inner AS (SELECT *, {fx.card_inner_expr(DD)} AS card_inner FROM cards_text),
+cards AS (SELECT *, {fx.card_html_expr(DD)} AS card_html FROM cards_inner),
 pages_grouped AS (
   SELECT page_id, chunk, site, arg_min(p_type, pos) AS category, arg_min(p_brand, pos) AS sub_category,
          min(captured_at) AS captured_at, sum(ip) AS total, count(*) AS n_cards,
@@ -49,20 +50,28 @@ crawl_log AS (
                AS page_number FROM crawl_base)),
 request_log AS (SELECT {_sel(fx.request_log_exprs(DD))} FROM events WHERE event_type = 'error'),
 menu_raw AS (
-  SELECT page_id, url, cast(m.pos AS INTEGER) AS pos, m.href AS href, m.text AS text FROM (
+  SELECT page_id, url, cast(m.pos AS INTEGER) AS pos, {d.decode("m.href")} AS href, {d.decode("m.text")} AS text FROM (
     SELECT page_id, url, unnest(list_transform(
         {d.all_matches('html', fx.MENU_LINK_PATTERN, 1)},
         lambda h, i: struct_pack(pos := i, href := h,
                                  text := {d.all_matches('html', fx.MENU_LINK_PATTERN, 2)}[i]))) AS m
     FROM pages)),
 menu_link AS (SELECT {_sel(fx.menu_link_exprs(DD))} FROM menu_raw),
+menu_marked AS (
+  SELECT page_id, url, pos, CASE WHEN {fx.MENU_BLANK} THEN '' ELSE href END AS href, text,
+         max(CASE WHEN {fx.MENU_CATEGORY_STARTS} THEN pos END) OVER w AS c_at,
+         max(CASE WHEN {fx.MENU_GROUP_STARTS} THEN pos END) OVER w AS g_at
+  FROM (SELECT *, pos AS i FROM menu_raw) WINDOW w AS (PARTITION BY page_id ORDER BY pos)),
+menu_grouped AS (
+  SELECT page_id, url, pos, href, text, 'Cat & ' || cast((page_id + c_at) % 2 AS VARCHAR) AS category,
+         'Sub & ' || cast((page_id + g_at) % 3 AS VARCHAR) AS sub_category, c_at, g_at FROM menu_marked),
 seed AS (SELECT {_sel(fx.seed_exprs(DD))} FROM part),
 site_rule AS ({site_rule_values()})"""
 
 
 def product_ctes() -> str:
     """page_snapshot -> exploded cards -> fields -> parsed -> product rows."""
-    f = d.field_exprs("card")
+    f = fx.card_field_exprs()  # what the page's maker put in, not what a parser finds
     q_gen, u_gen = d.qty_unit_last("name", rules.UNITS_GENERAL)
     q_cv, u_cv = d.qty_unit_last("name", rules.UNITS_CRUZVERDE_CO, lower_input=True)
     q_cl, u_cl = d.qty_unit_last("name", rules.UNITS_CRUZVERDE_CL)
@@ -124,13 +133,14 @@ def product_ctes() -> str:
         return f"(CASE WHEN {cond} THEN NULL ELSE {c} END)"
 
     return f"""
-snap_cards AS (
-  SELECT page_id, chunk, site, url, category, sub_category, page_number, captured_at, n_cards,
-         CASE WHEN site IN ('jumbo', 'jumbocl') THEN {d.breadcrumbs('html')} END AS crumbs,
-         unnest(list_transform({d.card_array('html')}, lambda c, i: struct_pack(pos := i, card := c))) AS pc
-  FROM page_snapshot),
-exploded AS (SELECT * EXCLUDE (pc), cast(pc.pos AS INTEGER) AS pos, pc.card AS card FROM snap_cards),
-fields AS (SELECT * EXCLUDE (card), {", ".join(f"{v} AS {k}" for k, v in f.items())} FROM exploded),
+crumbed AS (SELECT *, CASE WHEN site IN ('jumbo', 'jumbocl') THEN {fx.crumb_exprs()} ELSE []::VARCHAR[] END AS crumbs
+            FROM page_snapshot),
+exploded AS (
+  SELECT p.page_id, p.chunk, p.site, p.url, p.category, p.sub_category, p.page_number, p.captured_at, p.n_cards,
+         p.crumbs, c.pos, c.card_inner AS card, {", ".join(f"c.{k}" for k in f)}
+  FROM (SELECT page_id, chunk, pos, card_inner, {", ".join(f"{v} AS {k}" for k, v in f.items())} FROM cards) c
+  JOIN crumbed p ON c.page_id = p.page_id AND c.chunk = p.chunk),
+fields AS (SELECT * EXCLUDE (card) FROM exploded),
 texts AS (SELECT *, {d.strip('name_raw')} AS name, {d.strip('price_raw')} AS price_text,
                  coalesce({d.strip('presentation_raw')}, '') AS presentation,
                  coalesce({d.strip('unit_ref_raw')}, '') AS unit_ref FROM fields),

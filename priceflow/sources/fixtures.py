@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from priceflow import rules
-from priceflow.operators.frontier import MENU_LINK_PATTERN, menu_links  # noqa: F401 (used by the oracle)
+from priceflow.operators.frontier import menu_links
 from priceflow.operators.numbering import sequence_number
 
 
@@ -42,6 +42,15 @@ class Dialect:
     def idiv(self, a: str, b: str) -> str:
         return f"cast(floor(({a}) / ({b})) as bigint)"
 
+    def numbered(self, items: str, item, separator: str = "''") -> str:
+        """``item(i)`` for i = 1, 2, ... along a list, joined into one text."""
+        if self.name == "spark":
+            return f"array_join(transform({items}, (x, k) -> {item('(k + 1)')}), {separator})"
+        return f"array_to_string(list_transform({items}, lambda x, k: {item('k')}), {separator})"
+
+    def element(self, items: str, i: str) -> str:
+        return f"element_at({items}, cast({i} as int))" if self.name == "spark" else f"{items}[{i}]"
+
     def comma_thousands(self, x: str) -> str:
         if self.name == "spark":
             return f"format_number({x}, 0)"
@@ -109,7 +118,7 @@ def card_text_exprs(d: Dialect) -> list[tuple[str, str]]:
         f" WHEN 1 THEN ' x ' || {s('n')}"
         f" WHEN 2 THEN ' ' || {s('n')} || ' ml'"
         f" WHEN 3 THEN ' ' || {s('n')} || 'GR'"
-        f" WHEN 4 THEN ' ' || {s('n')} || ' und'"
+        f" WHEN 4 THEN ' A&B ' || {s('n')} || ' und'"
         f" WHEN 5 THEN ' ' || {s(idiv('n', '10'))} || ',' || {s('n % 10')} || ' L'"
         f" WHEN 6 THEN ' por ' || {s('n')} || '.000'"
         f" WHEN 7 THEN ' x ' || {s('pos')} || ' un ' || {s('n')} || '.000 ml'"
@@ -150,65 +159,111 @@ def opt(cond: str, *parts: str) -> str:
     return f"(CASE WHEN {cond} THEN {cat(*parts)} ELSE '' END)"
 
 
-def card_html_expr(d: Dialect) -> str:
-    """One product card in the markup of its site (known, flat markup)."""
-    nm = "(CASE WHEN pos % 2 = 0 THEN ' ' || name_text || '  ' ELSE name_text END)"
+FB_TEXT = "(CASE WHEN pos = 2 THEN '$ ' || half_money || ' - $ ' || money ELSE '$ ' || money END)"
+NAME = "(CASE WHEN pos % 2 = 0 THEN ' ' || name_text || '  ' ELSE name_text END)"
+PUM_DIV = '<div class="tiendasjumboqaio-calculate-pum-2-x-main">'
+
+
+def card_markup(d: Dialect) -> dict[str, tuple[str, str, str]]:
+    """What comes before, inside and after one product card, per site.
+
+    The inside is what X1 must return.  Cards hold nested elements of their own
+    name, buttons after the price, prices at several depths and entities.
+    """
+    nm = f"replace({NAME}, '&', '&amp;')"
     cid = d.s("card_id")
-    jumbo = cat(
-        q('<section><a href="/p/'), cid, q('"><article class="vtex-product-summary-2-x-element"><div>'),
-        opt("has_name", q('<h3 class="vtex-product-summary-2-x-productName"><span>'), nm, q("</span></h3>")),
-        q('<div class="tiendasjumboqaio-selling-price">'),
-        opt("has_price", q("<span>$</span><span>"), "money", q("</span>")),
-        q("</div>"),
-        opt("upt IS NOT NULL", q('<div class="tiendasjumboqaio-calculate-pum-2-x-main">'), "upt", q("</div>")),
-        q("</div></article></a></section>"))
-    cruzverde = cat(
+    flex = lambda tags: f"(CASE WHEN slot = 1 THEN {q(tags)} ELSE '' END)"
+    jumbo = (
+        cat(q('<section><a href="/p/'), cid, q('"><article id="'), cid, q('" class="vtex-product-summary-2-x-element">')),
+        cat(q("<div>"),
+            opt("has_name", q('<h3 class="vtex-product-summary-2-x-productName"><span>'), nm, q("</span></h3>")),
+            opt("pos % 2 = 0", q('<article class="badge"><span>Oferta</span></article>')),
+            q('<div class="tiendasjumboqaio-selling-price">'),
+            opt("has_price", flex('<div class="flex"><div>'), q("<span>$</span><span>"), "money", q("</span>"),
+                flex("</div></div>")),
+            q("</div>"),
+            opt("upt IS NOT NULL", q(PUM_DIV), "upt", q("</div>")),
+            q('<div class="buttons"><button type="button">Agregar</button></div></div>')),
+        q("</article></a></section>"))
+    cruzverde = (
         q('<div class="flex flex-col h-full p-10 bg-white rounded-sm font-open sm:p-10">'),
-        opt("has_name", q('<a class="font-open flex items-center text-main text-16 sm:text-18 leading-20 '
-                          'font-semibold ellipsis hover:text-accent" href="/p/'), cid, q('.html">'), nm, q("</a>")),
-        q('<div class="price">'),
-        opt("has_price", q('<span class="font-bold text-prices">$ '), "money", q("</span>")),
-        opt("upt IS NOT NULL", q('<span class="text-12">'), "upt", q("</span>")),
-        q("</div></div>"))
-    cruzverdecl = cat(
-        q('<ml-new-card-product><div class="text-left">'),
-        opt("has_name", q('<h2 class="name"><span>'), nm, q("</span></h2>")),
-        opt("has_price", q("<ml-price-tag-v2><div><p>$ "), "money", q("</p></div></ml-price-tag-v2>")),
-        q("</div></ml-new-card-product>"))
-    fb_text = "(CASE WHEN pos = 2 THEN '$ ' || half_money || ' - $ ' || money ELSE '$ ' || money END)"
+        cat(opt("has_name", q('<a class="font-open flex items-center text-main text-16 sm:text-18 leading-20 '
+                              'font-semibold ellipsis hover:text-accent" href="/p/'), cid, q('.html">'), nm, q("</a>")),
+            q('<div class="price">'),
+            opt("has_price", q('<span class="font-bold text-prices">$ '), "money", q("</span>")),
+            opt("upt IS NOT NULL", q('<span class="text-12">'), "upt", q("</span>")),
+            q("</div>")),
+        q("</div>"))
+    cruzverdecl = (
+        q("<ml-new-card-product>"),
+        cat(q('<div class="text-left">'),
+            opt("has_name", q('<h2 class="name"><span>'), nm, q("</span></h2>")),
+            opt("has_price", q("<ml-price-tag-v2><div><p>$ "), "money", q("</p></div></ml-price-tag-v2>")),
+            q("</div>")),
+        q("</ml-new-card-product>"))
 
     def price_li(kind, span):
-        return cat(q(f'<li data-{kind}-price="'), d.s("ip"), q(f'"><div>{span}'), fb_text,
-                   q("</span></div></li>"))
-
-    falabella = cat(
-        q('<div class="grid-pod"><a class="pod-link" href="/p/'), cid, q('">'),
-        opt("has_name", q('<b id="testId-pod-displaySubTitle-'), cid, q('" class="pod-subTitle">'), nm, q("</b>")),
-        q('<div id="testId-pod-prices-'), cid, q('"><ol>'),
-        opt("has_price AND slot = 0", price_li("normal", "<span>")),
-        opt("has_price AND slot <= 1", price_li("internet", '<span id="">')),
-        opt("has_price", price_li("event", '<span id="">')),
-        q("</ol></div></a></div>"))
-    plaza_vea = cat(
+        wrap = f"(CASE v % 3 WHEN 0 THEN '' WHEN 1 THEN {q('<div>')} ELSE {q('<div><div>')} END)"
+        unwrap = f"(CASE v % 3 WHEN 0 THEN '' WHEN 1 THEN {q('</div>')} ELSE {q('</div></div>')} END)"
+        return cat(q(f'<li data-{kind}-price="'), d.s("ip"), q('">'), wrap, q(span), FB_TEXT, q("</span>"), unwrap,
+                   q("</li>"))
+
+    falabella = (
+        cat(q('<div class="grid-pod"><a class="pod-link" href="/p/'), cid, q('">')),
+        cat(opt("has_name", q('<b id="testId-pod-displaySubTitle-'), cid, q('" class="pod-subTitle">'), nm, q("</b>")),
+            opt("pos % 3 = 1", q('<a class="brand" href="/marca">Marca</a>')),
+            q('<div id="testId-pod-prices-'), cid, q('"><ol>'),
+            opt("has_price AND slot = 0", price_li("normal", "<span>")),
+            opt("has_price AND slot <= 1", price_li("internet", '<span id="">')),
+            opt("has_price", price_li("event", '<span id="">')),
+            q("</ol></div>")),
+        q("</a></div>"))
+    plaza_vea = (
         q('<div class="Showcase__details">'),
-        opt("has_name", q('<button class="Showcase__name">'), nm, q("</button>")),
-        opt("has_price", q('<div class="Showcase__salePrice" data-price="'), "pv_price", q('">S/ '),
-            "pv_price", q("</div>")),
-        opt("unit_ref IS NOT NULL", q('<div class="Showcase__units-reference">'), "unit_ref", q("</div>")),
+        cat(opt("has_name", q('<button class="Showcase__name">'), nm, q("</button>")),
+            opt("has_price", q('<div class="Showcase__salePrice" data-price="'), "pv_price", q('">S/ '),
+                "pv_price", q("</div>")),
+            opt("unit_ref IS NOT NULL", q('<div class="Showcase__units-reference">'), "unit_ref", q("</div>"))),
         q("</div>"))
-    inkafarma = cat(
-        q('<fp-product-large><fp-product-small-category><fp-link><a href="/producto/'), cid, q('">'),
-        opt("has_name", q("<fp-product-name><span>"), nm, q("</span></fp-product-name>")),
-        opt("pres <> ''", q("<fp-product-description><span>"), "pres", q("</span></fp-product-description>")),
-        opt("has_price", q("<fp-product-card-price><div><span>"), "ink_old", q("</span><span>"),
-            "ink_price", q("</span></div></fp-product-card-price>")),
-        q("</a></fp-link></fp-product-small-category></fp-product-large>"))
-    return (
-        "CASE site"
-        f" WHEN 'jumbo' THEN {jumbo} WHEN 'jumbocl' THEN {jumbo}"
-        f" WHEN 'cruzverde' THEN {cruzverde} WHEN 'cruzverdecl' THEN {cruzverdecl}"
-        f" WHEN 'falabella' THEN {falabella} WHEN 'falabellacol' THEN {falabella}"
-        f" WHEN 'plaza_vea' THEN {plaza_vea} ELSE {inkafarma} END")
+    inkafarma = (
+        q("<fp-product-large>"),
+        cat(q('<fp-product-small-category><fp-link><a href="/producto/'), cid, q('">'),
+            opt("has_name", q("<fp-product-name><span>"), nm, q("</span></fp-product-name>")),
+            opt("pres <> ''", q("<fp-product-description><span>"), "pres", q("</span></fp-product-description>")),
+            opt("has_price", q("<fp-product-card-price><div><span>"), "ink_old", q("</span><span>"),
+                "ink_price", q("</span></div></fp-product-card-price>")),
+            q("</a></fp-link></fp-product-small-category>")),
+        q("</fp-product-large>"))
+    return {"jumbo": jumbo, "jumbocl": jumbo, "cruzverde": cruzverde, "cruzverdecl": cruzverdecl,
+            "falabella": falabella, "falabellacol": falabella, "plaza_vea": plaza_vea, "inkafarma": inkafarma}
+
+
+def _by_site(choices: dict[str, str]) -> str:
+    return "CASE site " + " ".join(f"WHEN '{site}' THEN {x}" for site, x in choices.items()) + " END"
+
+
+def card_inner_expr(d: Dialect) -> str:
+    """What one product card holds, in the markup of its site."""
+    return _by_site({site: inner for site, (_, inner, _) in card_markup(d).items()})
+
+
+def card_html_expr(d: Dialect) -> str:
+    """One product card with its element around ``card_inner``."""
+    return _by_site({site: cat(before, "card_inner", after) for site, (before, _, after) in card_markup(d).items()})
+
+
+def card_field_exprs() -> dict[str, str]:
+    """The raw texts that X2-X5 must read back, from the card's own columns."""
+    price = {"jumbo": "money", "jumbocl": "money", "cruzverde": "'$ ' || money", "cruzverdecl": "'$ ' || money",
+             "falabella": FB_TEXT, "falabellacol": FB_TEXT, "plaza_vea": "pv_price", "inkafarma": "ink_price"}
+    pum = f"{q(PUM_DIV)} || upt || '</div>'"
+    return {
+        "name_raw": f"CASE WHEN has_name THEN {NAME} END",
+        "price_raw": f"CASE WHEN has_price THEN {_by_site(price)} END",
+        "unit_price_raw": _by_site({"jumbo": pum, "jumbocl": pum, "cruzverde": "upt"}),
+        "unit_ref_raw": "CASE WHEN site = 'plaza_vea' THEN unit_ref END",
+        "presentation_raw": "CASE WHEN site = 'inkafarma' AND pres <> '' THEN pres END",
+    }
 
 
 # ---------------------------------------------------------------------------
@@ -226,24 +281,31 @@ def page_exprs(d: Dialect) -> list[tuple[str, str]]:
         cls = "pagination__item page-number active" if active else "pagination__item page-number"
         return cat(q(f'<span class="{cls}">'), x, q("</span>"))
 
+    blank = "(CASE WHEN page_id % 11 = 0 THEN ' ' ELSE '' END)"
     pagination = (
         f"CASE WHEN page_id % 13 = 0 THEN '' ELSE "
-        + cat(q('<div class="pagination"><div class="pagination__nav">'),
+        + cat(opt("page_id % 17 = 0", q('<span data-p="1" class="page-number pagination__item">99</span>')),
+              f"(CASE WHEN page_id % 5 = 0 THEN {q('<div data-p="1" class="pagination">')}"
+              f" ELSE {q('<div class="pagination">')} END)", q('<div class="pagination__nav">'),
               opt(f"{page_number} > 1", span(s(f"{page_number} - 1"))),
               span(s(page_number), active=True),
               opt(f"{last_page} > {page_number}", span(s(f"{page_number} + 1"))),
               opt(f"{last_page} > {page_number} + 2", span(q("..."))),
-              opt(f"{last_page} > {page_number} + 1", span(s(last_page))),
+              opt(f"{last_page} > {page_number} + 1", span(cat(blank, s(last_page), blank))),
               q("</div></div>"))
         + " END")
 
-    def crumb(x):
-        return cat(q('<span><a href="/'), x, q('">'), x, q("</a></span>"))
+    def crumb(x, tag_="{}"):
+        before, after = tag_.split("{}")
+        return cat(q('<span><a href="/'), x, q(f'">{before}'), x, q(f"{after}</a></span>"))
 
+    footer = q('<div class="footer"><a href="/ayuda">Ayuda</a><button class="Showcase__name">Otro</button>'
+               '<div class="Showcase__salePrice" data-price="S/ 9.00">S/ 9.00</div>'
+               '<span class="font-bold text-prices">$ 9</span></div>')
     crumbs = cat(
         q('<div data-testid="breadcrumb">'),
-        f"(CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN {crumb(cat(cat_slug, q('-'), sub_slug))}"
-        f" ELSE {crumb('category')} || {crumb('sub_category')} END)",
+        f"(CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN {crumb(cat(cat_slug, q('-'), sub_slug), '<b>{}</b>')}"
+        f" ELSE {crumb(cat('category', q(' &amp; Co')))} || {crumb('sub_category')} END)",
         q("</div>"))
     total = cat(q('<div class="vtex-search-result-3-x-totalProducts--layout"><span>'),
                 d.dotted(idiv("total", "100")), q(" Productos</span></div>"))
@@ -263,8 +325,10 @@ def page_exprs(d: Dialect) -> list[tuple[str, str]]:
         + " WHEN 'plaza_vea' THEN " + cat(q('<div class="Showcase">'), "cards", q("</div>"), pagination)
         + " WHEN 'inkafarma' THEN " + cat(q("<fp-filtered-product-list>"), "cards", q("</fp-filtered-product-list>"))
         + " WHEN 'cruzverdecl' THEN " + cat(q('<div class="grid">'), "cards", q("</div>"))
-        + " ELSE " + cat(q('<div id="testId-searchResults-products">'), "cards", q("</div>")) + " END")
-    html = cat(q("<html><head><title>"), "category", q("</title></head><body>"), f"({body})",
+        + " ELSE " + cat(q('<div><a href="/ofertas">Ofertas</a></div>'
+                           '<div class="results" id="testId-searchResults-products-grid">'), "cards", q("</div>"))
+        + " END")
+    html = cat(q("<html><head><title>"), "category", q("</title></head><body>"), f"({body})", footer,
                q("</body></html>"))
     return [
         ("page_id", "page_id"),
@@ -280,6 +344,22 @@ def page_exprs(d: Dialect) -> list[tuple[str, str]]:
     ]
 
 
+def crumb_exprs() -> str:
+    """The breadcrumb texts of a page, from its own columns (DuckDB list)."""
+    slug = "lower(category) || '-' || lower(replace(sub_category, '#', '-'))"
+    return (f"CASE page_id % 3 WHEN 0 THEN []::VARCHAR[] WHEN 1 THEN [{slug}]"
+            " ELSE [category || ' & Co', sub_category] END")
+
+
+def pager_exprs() -> tuple[str, str]:
+    """(has a pager, last page that counts) of a page, from its own columns."""
+    last = "(page_number + page_id % 4)"
+    return ("site = 'plaza_vea' AND page_id % 13 <> 0",
+            f"greatest(page_number, CASE WHEN {last} > page_number THEN page_number + 1 ELSE 0 END,"
+            f" CASE WHEN {last} > page_number + 1 AND page_id % 11 <> 0 THEN {last} ELSE 0 END,"
+            " CASE WHEN page_id % 17 = 0 THEN 99 ELSE 0 END)")
+
+
 def _select(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
     return df.selectExpr(*[f"{e} AS {n}" for n, e in exprs])
 
@@ -305,7 +385,8 @@ def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = numbered.join(part, numbered.l_partkey == part.p_partkey, "inner")
     base = _select(joined, card_base_exprs(d))
     texts = _keep_and_add(base, card_text_exprs(d))
-    return texts.selectExpr("*", f"{card_html_expr(d)} AS card_html")
+    inner = texts.selectExpr("*", f"{card_inner_expr(d)} AS card_inner")
+    return inner.selectExpr("*", f"{card_html_expr(d)} AS card_html")
 
 
 def page_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,19 +423,24 @@ def crawl_log_exprs(d: Dialect) -> list[tuple[str, str]]:
     ]
 
 
-def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages visited per category, numbered 1, 2, ... in visit order.
+def crawl_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages visited per category, in visit order, not yet numbered.
 
     category = user, one visited page = one event; a page found no valid
     product for 'error' and 'signup' events (a 'signup' page had no card at
-    all).  ``active_page`` is what the pager showed: one ahead on every
-    tenth event, to give the advance check something to find.
+    all).
     """
-    d = Dialect("spark")
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id", "ts", "user_id", "event_type", "value")
-    log = _select(ev, crawl_log_exprs(d))
-    log = sequence_number(log, ["site", "category"], ["visited_at", "event_id"], "page_number")
+    return _select(ev, crawl_log_exprs(Dialect("spark")))
+
+
+def crawl_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visits numbered 1, 2, ... per category.  ``active_page`` is what the
+    pager showed: one ahead on every tenth event, to give the advance check
+    something to find.
+    """
+    log = sequence_number(crawl_visits(spark, sf_dir), ["site", "category"], ["visited_at", "event_id"], "page_number")
     log = log.withColumn("page_number", F.col("page_number").cast("int"))
     return log.withColumn(
         "active_page",
@@ -382,25 +468,71 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(ev, request_log_exprs(d))
 
 
+#: the given pages' own anchors, as they print them
+MENU_LINK_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a>'
+
+
 def menu_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Navigation anchors of ``pages``: (page_id, url, pos, href, text)."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return menu_links(pages)
 
 
+# Where a menu page built from a page's anchors starts a category and a group, and has no address.
+MENU_CATEGORY_STARTS = "(i = 1 OR (page_id + i) % 4 = 0)"
+MENU_GROUP_STARTS = "(i = 1 OR (page_id + i) % 4 = 0 OR (page_id + i) % 2 = 0)"
+MENU_BLANK = "(page_id + i) % 11 = 0"
+
+
+def menu_html_expr(d: Dialect, hrefs: str, texts: str) -> str:
+    """A menu of categories, groups with a title, and links, from a page's anchors."""
+    def item(i):
+        at = lambda cond: cond.replace("i ", f"{i} ").replace("+ i)", f"+ {i})")
+        title = cat(q('<div class="top FirstLevelCategories-module_categoryTitle__x" id="c"><span>Cat &amp; '),
+                    d.s(f"(page_id + {i}) % 2"), q("</span></div>"))
+        group = cat(q('<ul id="g" class="b SecondLevelCategories-module_secondLevelCategory__NVToy">'
+                      '<li class="z SecondLevelCategories-module_secondLevelCategoryTitle__q"><a href="/t"><b>Sub &amp; '),
+                    d.s(f"(page_id + {i}) % 3"), q("</b></a></li>"))
+        return cat(
+            opt(f"{i} > 1 AND {at(MENU_GROUP_STARTS)}", q("</ul>")), opt(at(MENU_CATEGORY_STARTS), title),
+            opt(at(MENU_GROUP_STARTS), group),
+            q('<li id="l" class="SecondLevelCategories-module_thirdLevelCategory__0VfiO"> <a class="k" data-i="'),
+            d.s(i), q('"'),
+            f"(CASE WHEN {at(MENU_BLANK)} THEN '' ELSE {cat(q(' href=\"'), d.element(hrefs, i), q('\"'))} END)",
+            q("><i>"), d.element(texts, i), q("</i> </a></li>"))
+
+    return cat(q("<nav>"), d.numbered(hrefs, item), q("</ul></nav>"))
+
+
+def menu_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One menu page per given page: (page_id, url, html)."""
+    d = Dialect("spark")
+    anchors = spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        "page_id", "url", *[F.regexp_extract_all("html", F.lit(MENU_LINK_PATTERN), k).alias(name)
+                            for k, name in ((1, "hrefs"), (2, "texts"))])
+    return _select(anchors, [("page_id", "page_id"), ("url", "url"), ("html", menu_html_expr(d, "hrefs", "texts"))])
+
+
 def menu_link_exprs(d: Dialect) -> list[tuple[str, str]]:
     """Anchors as shops print them: some without an address, some to other
     hosts, some relative, some with a text that is not a product list."""
     n = d.s("pos")
+    site = d.site_of("page_id")
+    domain = d.domain_of(f"({site})")
     denied = rules.CRUZVERDE_CL_DENIED_LINK_TEXTS[0]
     return [
-        ("page_id", "page_id"), ("url", "url"), ("pos", "pos"),
+        ("page_id", "page_id"), ("url", "url"), ("pos", "pos"), ("site", site),
         ("href", "CASE WHEN (page_id + pos) % 11 = 0 THEN ''"
+                 f" WHEN (page_id + 2 * pos) % 7 = 1 THEN 'https://' || {domain} || '/a'"
+                 f" WHEN (page_id + 2 * pos) % 7 = 2 THEN 'https://m.' || {domain} || '/b/../c'"
+                 f" WHEN (page_id + 2 * pos) % 7 = 3 AND pos % 2 = 0 THEN 'http://x' || {domain} || '/'"
                  " WHEN (page_id + 2 * pos) % 7 = 0 THEN 'https://cdn.example.net' || href"
                  f" WHEN (3 * page_id + pos) % 9 = 1 THEN '?p=' || {n}"
                  f" WHEN (3 * page_id + pos) % 9 = 2 THEN '#s' || {n}"
                  f" WHEN (3 * page_id + pos) % 9 = 3 THEN 'rel/' || {n}"
                  f" WHEN (3 * page_id + pos) % 9 = 4 THEN '//cdn.example.org/' || {n}"
+                 f" WHEN (3 * page_id + pos) % 9 = 5 THEN '../up/./' || {n} || '/..'"
+                 f" WHEN (3 * page_id + pos) % 9 = 6 THEN 'mailto:a' || {n} || '@example.com'"
                  " ELSE href END"),
         ("text", f"CASE WHEN (page_id + pos) % 13 = 0 THEN {q(denied)} || ' ' || text ELSE text END"),
     ]
