@@ -10,61 +10,89 @@ it is not a parser.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from priceflow.functions.text import col, text_nodes
 
-_STATE = "struct<level:int,depth:int,inner:string,found:array<string>>"
+OUTSIDE = -1 << 20  # a container level that no page comes back from
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def elements(markup: Column | str, name: str, opener: str = "", inside: str = "", level: int = 0) -> Column:
+def elements(markup: Column | str, name: str, opener: str = "", first: bool = False, keep_tag: bool = False) -> Column:
     """What the outermost ``name`` elements hold, in document order (array<string>).
 
     Only elements whose opening tag (and what follows it up to the next tag of the
-    name) begins with the pattern ``opener`` count.  With ``inside``, only those that open
-    within exactly ``level`` elements of that name.
+    name) begins with the pattern ``opener`` count.  ``first`` stops at the first one;
+    ``keep_tag`` keeps the opening tags.
     """
-    names = f"{name}|{inside}" if inside else name
-    pieces = F.split(col(markup), rf"(?=</?(?:{names})[\s/>])")
-    anchored = re.sub(r"^(\(\?s\))?", r"\1^", opener)
+    opener = opener or f"<{name}"
+    # past the text before the first tag; the '<' of every piece is cut off
+    pieces = F.split(col(markup), rf"<(?=/?{name}[\s/>])")
+
+    def state(depth: Column, inner: Column, found: Column) -> Column:
+        return F.struct(depth.alias("depth"), inner.alias("inner"), found.alias("found"))
+
+    def step(s: Column, p: Column) -> Column:
+        closes = p.startswith("/")
+        within = (F.when(closes & (s["depth"] == 1), state(
+                      F.lit(0), F.lit(""), F.concat(s["found"], F.array(s["inner"]))))
+                  .otherwise(state(s["depth"] + F.when(closes, -1).otherwise(1),
+                                   F.concat(s["inner"], F.lit("<"), p), s["found"])))
+        begin = F.concat(F.lit("<"), p) if keep_tag else p.substr(F.instr(p, ">") + 1, F.length(p))
+        begins = p.rlike("^" + opener[1:])
+        if first:
+            begins = (F.size(s["found"]) == 0) & begins
+        return F.when(s["depth"] > 0, within).when(begins, state(F.lit(1), begin, s["found"])).otherwise(s)
 
-    def is_tag(p: Column, tag_name: str, slash: str = "") -> Column:
-        begins = p.startswith(f"<{slash}{tag_name}")
-        if not inside:  # every piece but the first is a tag of the one name
-            return begins
-        return begins & F.substring(p, len(tag_name) + len(slash) + 2, 1).rlike(r"[\s/>]")
+    zero = state(F.lit(0), F.lit(""), F.array().cast("array<string>"))
+    return F.aggregate(F.slice(pieces, 2, 1 << 30), zero, step, _closed)
+
+
+def _closed(s: Column) -> Column:
+    """The elements found; one that the markup does not close ends with it."""
+    return F.when(s["depth"] > 0, F.concat(s["found"], F.array(s["inner"]))).otherwise(s["found"])
+
+
+def grandchildren(markup: Column | str, opener: str, child: str, name: str) -> Column:
+    """What the ``name`` elements hold that stand right inside a ``child`` of the first
+    element that ``opener`` names (itself a ``child``): ``opener / child / name``.
+
+    One fold over the tags of both names: the level counts the children that are
+    open; inside an element only its own depth counts.
+    """
+    rest = F.get(F.split(col(markup), opener, 2), F.lit(1))
+    pieces = F.split(F.coalesce(rest, F.lit("")), rf"<(?=/?(?:{child}|{name})[\s/>])")
 
-    def state(s: Column, **changed: Column) -> Column:
-        return F.struct(*[changed.get(f, s[f]).alias(f) for f in ("level", "depth", "inner", "found")])
+    def state(level: Column, depth: Column, inner: Column, found: Column) -> Column:
+        return F.struct(level.alias("level"), depth.alias("depth"), inner.alias("inner"), found.alias("found"))
 
     def step(s: Column, p: Column) -> Column:
-        start = p.rlike(anchored) if opener else is_tag(p, name)
-        if inside:
-            start = start & (s["level"] == level)
-        outside = F.when(start, state(s, depth=F.lit(1), inner=p.substr(F.instr(p, ">") + 1, F.length(p))))
-        if inside:
-            outside = outside.when(is_tag(p, inside), state(s, level=s["level"] + 1))
-            outside = outside.when(is_tag(p, inside, "/"), state(s, level=s["level"] - 1))
-        longer = F.concat(s["inner"], p)
-        within = (F.when(is_tag(p, name, "/") & (s["depth"] == 1), state(
-                      s, depth=F.lit(0), inner=F.lit(""), found=F.concat(s["found"], F.array(s["inner"]))))
-                  .when(is_tag(p, name, "/"), state(s, depth=s["depth"] - 1, inner=longer))
-                  .when(is_tag(p, name), state(s, depth=s["depth"] + 1, inner=longer))
-                  .otherwise(state(s, inner=longer)))
-        return F.when(s["depth"] == 0, outside.otherwise(s)).otherwise(within)
-
-    zero = F.struct(F.lit(0).alias("level"), F.lit(0).alias("depth"), F.lit("").alias("inner"),
-                    F.array().cast("array<string>").alias("found")).cast(_STATE)
-    return F.aggregate(pieces, zero, step, lambda s: F.when(
-        s["depth"] > 0, F.concat(s["found"], F.array(s["inner"]))).otherwise(s["found"]))
+        longer = F.concat(s["inner"], F.lit("<"), p)
+        closes, own = p.startswith("/" + name), p.startswith(name)
+        within = (F.when(closes & (s["depth"] == 1), state(
+                      s["level"], F.lit(0), F.lit(""), F.concat(s["found"], F.array(s["inner"]))))
+                  .otherwise(state(s["level"], s["depth"] + F.when(closes, -1).when(own, 1).otherwise(0), longer,
+                                   s["found"])))
+        inner = p.substr(F.instr(p, ">") + 1, F.length(p))
+        level = (F.when(p.startswith(child), s["level"] + 1)
+                 .when(~p.startswith("/" + child), s["level"])
+                 .otherwise(F.when(s["level"] == 0, F.lit(OUTSIDE)).otherwise(s["level"] - 1)))
+        return (F.when(s["depth"] > 0, within)
+                .when(own & (s["level"] == 1), state(s["level"], F.lit(1), inner, s["found"]))
+                .otherwise(state(level, F.lit(0), F.lit(""), s["found"])))
+
+    zero = state(F.lit(0), F.lit(0), F.lit(""), F.array().cast("array<string>"))
+    return F.aggregate(F.slice(pieces, 2, 1 << 30), zero, step, _closed)
 
 
 def first_element(markup: Column | str, name: str, opener: str = "") -> Column:
     """What the first such element holds; NULL when there is none."""
-    return F.get(elements(markup, name, opener), F.lit(0))
+    return F.get(elements(markup, name, opener, first=True), F.lit(0))
 
 
 def element_texts(markups: Column) -> Column:
@@ -73,6 +101,6 @@ def element_texts(markups: Column) -> Column:
 
 
 def first_in(markups: Column, pattern: str) -> Column:
-    """First match of a pattern's group 1 in any of the pieces; NULL when none or empty."""
-    text = F.regexp_extract(F.array_join(markups, "\n"), pattern, 1)
-    return F.when(text != "", text)
+    """First match of a pattern's group 1 that is not empty; NULL when none."""
+    texts = F.transform(markups, lambda m: F.regexp_extract(m, pattern, 1))
+    return F.get(F.filter(texts, lambda t: t != ""), F.lit(0))

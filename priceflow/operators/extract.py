@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from priceflow.functions.markup import element_texts, elements, first_element, first_in
+from priceflow.functions.markup import element_texts, elements, first_element, first_in, grandchildren, let
 from priceflow.functions.text import first_match, first_text
 
 JUMBO_SITES = ("jumbo", "jumbocl")
@@ -115,8 +115,10 @@ def falabella_price(card: Column | str) -> Column:
 
     Only the price block counts; a card without one is searched as a whole.
     """
-    block = F.coalesce(first_element(card, "div", FALABELLA_PRICES), F.col(card) if isinstance(card, str) else card)
-    return F.coalesce(*[first_in(elements(block, "li", item), text) for item, text in FALABELLA_PRICE_ITEMS])
+    card = F.col(card) if isinstance(card, str) else card
+    items = elements(F.coalesce(first_element(card, "div", FALABELLA_PRICES), card), "li", keep_tag=True)
+    return let(items, lambda found: F.coalesce(*[
+        first_in(F.filter(found, lambda li: li.rlike("^" + item)), text) for item, text in FALABELLA_PRICE_ITEMS]))
 
 
 def plaza_vea_price(card: Column | str) -> Column:
@@ -130,8 +132,7 @@ def card_array(html: Column | str, site: Column | str) -> Column:
     html = F.col(html) if isinstance(html, str) else html
     site = F.col(site) if isinstance(site, str) else site
     choices = {names: elements(html, name, opener) for names, (name, opener) in CARD_MARKUP.items()}
-    results = F.coalesce(first_element(html, "div", FALABELLA_RESULTS), F.lit(""))
-    choices[FALABELLA_SITES] = elements(results, "a", inside="div", level=1)
+    choices[FALABELLA_SITES] = grandchildren(html, FALABELLA_RESULTS, "div", "a")
     return by_site(site, choices, F.array().cast("array<string>"))
 
 

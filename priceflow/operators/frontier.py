@@ -311,8 +311,23 @@ def menu_tree(groups: DataFrame, run: Sequence[str] = ()) -> DataFrame:
     replaces the links of the earlier one but keeps its place; a category named again
     starts empty and keeps its place.  So one aggregate per level takes the place of
     the first naming (``category_place``, ``place``) and the links of the last.
+
+    With ``run``, a run's links come from one menu page, which bounds the group: both
+    levels are windows over one shuffle by run, and the menu is parsed once.  Without,
+    a category may be hot: partial aggregates find the winners and joins keep them.
     """
     run = list(run)
+    if run:
+        groups = groups.repartition(*run)
+        if "category_pos" not in groups.columns:  # no category is named again
+            first = F.min("group_pos").over(Window.partitionBy(*run, "category"))
+            groups = groups.withColumn("category_pos", first)
+        for level, pos, place in ((["category"], "category_pos", "category_place"),
+                                  (["category", "sub_category"], "group_pos", "place")):
+            of = Window.partitionBy(*run, *level)
+            groups = groups.withColumns({place: F.min(pos).over(of), "_last": F.max(pos).over(of)}).where(
+                F.col(pos) == F.col("_last")).drop("_last")
+        return groups
     if "category_pos" in groups.columns:
         last = groups.groupBy(*run, "category").agg(
             F.min("category_pos").alias("category_place"), F.max("category_pos").alias("category_pos"))
