@@ -8,10 +8,16 @@ also occurs in some template.  Two things are read off this stream:
 * the places of the base phrases: a phrase ends at a word exactly when the
   match there is at least as long as the phrase and the phrase is a suffix of
   it;
-* long matches (``MIN_MATCH`` words or more where they grow no further, and
-  every whole template wherever it ends), which are chained per template: matches that follow one another in text and template
-  with at most ``MAX_GAP`` words between them form one covered span.  A
-  template whose best span covers ``MIN_COVER`` of its words labels the text.
+* matches of ``MIN_PIECE`` words or more, at each place of a template where they
+  grow no further (also where the longest match grows on in another template),
+  which are chained per template.  A match
+  follows another if it ends later in text and template, with at most
+  ``MAX_GAP`` words between them in either; where the two overlap, the later one is
+  trimmed.  The chain that covers most words is found by dynamic programming
+  over the matches by text end; words that agree in its gaps, and just before
+  and after it, are covered too.  A span labels the text if its covered words are
+  ``MIN_COVER`` of the template and of the span; chains without a match of
+  ``MIN_MATCH`` words count only then.
 
 Words outside the templates' vocabulary end every match, so the automaton only
 walks runs of known words; those runs are found on whole Arrow batches.
@@ -23,6 +29,7 @@ difference, and an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +45,7 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Templates: openings of widely used public notices.
+#: Templates: widely used public notices, their openings and their full texts.
 TEMPLATES = {
     "apache-2.0": [
         "licensed under the apache license version 2 0",
@@ -51,18 +58,62 @@ TEMPLATES = {
         "this work is licensed under the gnu general public license version 3",
         "this program is free software you can redistribute it and or modify it under the terms of the gnu"
         " general public license as published by the free software foundation",
+        "this program is distributed in the hope that it will be useful but without any warranty without even the"
+        " implied warranty of merchantability or fitness for a particular purpose see the gnu general public"
+        " license for more details",
     ],
     "mit": [
         "released under the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and"
         " associated documentation files",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and"
+        " associated documentation files the software to deal in the software without restriction including"
+        " without limitation the rights to use copy modify merge publish distribute sublicense and or sell"
+        " copies of the software and to permit persons to whom the software is furnished to do so subject to"
+        " the following conditions the above copyright notice and this permission notice shall be included in"
+        " all copies or substantial portions of the software",
+    ],
+    "isc": [
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is"
+        " hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    ],
+    "zlib": [
+        "this software is provided as is without any express or implied warranty in no event will the authors be"
+        " held liable for any damages arising from the use of this software permission is granted to anyone to"
+        " use this software for any purpose including commercial applications and to alter it and redistribute"
+        " it freely",
+    ],
+    "unlicense": [
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify"
+        " publish use compile sell or distribute this software either in source code form or as a compiled"
+        " binary for any purpose commercial or non commercial and by any means",
+    ],
+    "bsl-1.0": [
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the"
+        " software and accompanying documentation covered by this license the software to use reproduce display"
+        " distribute execute and transmit the software and to prepare derivative works of the software",
+    ],
+    "lgpl": [
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser"
+        " general public license as published by the free software foundation",
+    ],
+    "agpl-3.0": [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero"
+        " general public license as published by the free software foundation",
     ],
     "cc-by-nc-4.0": ["licensed under cc by nc 4 0"],
     "cc-by-4.0": ["licensed under cc by 4 0", "creative commons attribution 4 0 international license"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted"
-            " provided that the following conditions are met"],
+    "bsd": [
+        "redistribution and use in source and binary forms with or without modification are permitted"
+        " provided that the following conditions are met",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the"
+        " following disclaimer redistributions in binary form must reproduce the above copyright notice this list"
+        " of conditions and the following disclaimer in the documentation and or other materials provided with"
+        " the distribution",
+    ],
     "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
 }
+MIN_PIECE = 2
 MIN_MATCH = 4
 MAX_GAP = 4
 MIN_COVER = 0.8
@@ -94,8 +145,6 @@ class Automaton:
                     v = self.link[v]
         #: (phrase, its length) for phrases that are suffixes of the state's words
         self.phrases = self._suffixes([seq for seq, _ in phrases])
-        #: the same of whole sequences
-        self.whole = self._suffixes(sequences)
 
     def _suffixes(self, sequences: list[list[int]]) -> list[list[tuple[int, int]]]:
         out: list[list[tuple[int, int]]] = [[] for _ in self.next]
@@ -152,7 +201,7 @@ class Scanner:
         self.phrases = [(encode(p), label) for p, label in base.items()]
         named = [(label, encode(t)) for label, texts in templates.items() for t in texts]
         self.names, sequences = [label for label, _ in named], [seq for _, seq in named]
-        self.sizes = [len(s) for s in sequences]
+        self.sequences, self.sizes = sequences, [len(s) for s in sequences]
         self.machine = Automaton(sequences + [p for p, _ in self.phrases], self.phrases)
         hashes = np.array([common.word_hash(w) for w in vocabulary], np.uint64)
         self.order = np.argsort(hashes)
@@ -174,9 +223,8 @@ class Scanner:
             if hi - lo < 2:
                 continue
             state = length = 0
-            ended: list[tuple[int, int, int]] = []  # (text end, state, length) of matches that grew no further
-            for i, word in enumerate(known[lo:hi].tolist(), lo):
-                before = (i - 1, state, length)
+            run = known[lo:hi].tolist()
+            for i, word in enumerate(run, lo):
                 while state and word not in m.next[state]:
                     state = m.link[state]
                     length = m.length[state]
@@ -184,43 +232,110 @@ class Scanner:
                     state, length = m.next[state][word], length + 1
                 else:
                     length = 0
-                if length <= before[2]:
-                    ended.append(before)
                 for p, size in m.phrases[state]:
                     if size <= length:
                         places.append((i - size + 1, p))
-                for t, size in m.whole[state]:  # also where the match grows on in another template
-                    if size <= length and 2 <= size and t < len(self.sizes):
-                        matches.append((t, i, size - 1, size))
-            ended.append((hi - 1, state, length))
-            for end, at, size in ended:
-                if size >= 2:
-                    for t, k in m.ends[at]:
-                        if t < len(self.sizes) and (size >= MIN_MATCH or size >= self.sizes[t]):
-                            matches.append((t, end, k, min(size, k + 1)))
+                self._grown(state, length, i, run[i + 1 - lo] if i + 1 < hi else -1, matches)
         return places, matches
 
-    def spans(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, float]]:
-        """Chains of matches per template: (template, first word, last word, cover)."""
-        out = []
-        by: dict[int, list[tuple[int, int, int]]] = {}
+    def _grown(self, state: int, length: int, i: int, following: int, matches: list) -> None:
+        """Matches that end at word i and go on in no template: the suffix links lead to
+        the places in templates that hold only the match's last words."""
+        m, seen = self.machine, set()
+        while length >= MIN_PIECE:
+            for t, k in m.ends[state]:
+                if t < len(self.sizes) and (t, k) not in seen:
+                    seen.add((t, k))
+                    if k + 1 >= self.sizes[t] or self.sequences[t][k + 1] != following:
+                        matches.append((t, i, k, min(length, k + 1)))
+            state = m.link[state]
+            length = m.length[state]
+
+    def spans(self, matches: list[tuple[int, int, int, int]], known: np.ndarray) -> list[tuple[int, int, int, float]]:
+        """Best chains of matches per template: (template, first word, last word, cover)."""
+        by: dict[int, set[tuple[int, int, int]]] = {}
         for t, end, k, size in matches:
-            by.setdefault(t, []).append((end, k, size))
+            by.setdefault(t, set()).add((end, k, size))
+        out = []
         for t, found in by.items():
-            first = last = tail = covered = -1
-            for end, k, size in sorted(set(found)):
-                start, head = end - size + 1, k - size + 1
-                gap, skipped = start - last - 1, head - tail - 1
-                if first >= 0 and 0 <= gap <= MAX_GAP and 0 <= skipped <= MAX_GAP:
-                    covered += size
-                else:
-                    if first >= 0:
-                        out.append((t, first, last, covered / self.sizes[t]))
-                    first, covered = start, size
-                last, tail = end, k
-            out.append((t, first, last, covered / self.sizes[t]))
+            for chain in best_chains(sorted(found)):
+                first, last, covered = self._filled(t, chain, known)
+                span = (t, first, last, covered / self.sizes[t])
+                if self.labels(span) or any(size >= MIN_MATCH for _, _, size in chain):
+                    out.append(span)
         return out
 
+    def labels(self, span: tuple[int, int, int, float]) -> bool:
+        """Whether a span is most of its template, and its template most of the span."""
+        t, first, last, cover = span
+        return cover * self.sizes[t] >= MIN_COVER * max(self.sizes[t], last - first + 1)
+
+    def _filled(self, t: int, chain: list[tuple[int, int, int]], known: np.ndarray) -> tuple[int, int, int]:
+        """First and last word of a chain and its covered words, with those that agree
+        in the gaps and within MAX_GAP words of its ends."""
+        template = self.sequences[t]
+        end, k, size = chain[0]
+        start, head = end - size + 1, k - size + 1
+        before, after = agreeing(known[max(0, start - MAX_GAP):start].tolist(), template[max(0, head - MAX_GAP):head])
+        first, covered = start - (min(MAX_GAP, start) - before if after else 0), after + size
+        for (e1, k1, _), (e2, k2, s2) in zip(chain, chain[1:]):
+            kept = s2 - max(0, e1 - (e2 - s2), k1 - (k2 - s2))
+            gap = known[e1 + 1:e2 - kept + 1].tolist()
+            covered += kept + agreeing(gap, template[k1 + 1:k2 - kept + 1])[1]
+        end, k, _ = chain[-1]
+        behind = known[end + 1:end + 1 + MAX_GAP].tolist()
+        # the same from the other side: how far the last word that agrees is
+        far, more = agreeing(behind[::-1], template[k + 1:k + 1 + MAX_GAP][::-1])
+        return first, end + (len(behind) - far if more else 0), covered + more
+
+
+def agreeing(a: list[int], b: list[int]) -> tuple[int, int]:
+    """(place in ``a`` of the first word, number of words) of a longest common subsequence."""
+    best = [[(0, 0)] * (len(b) + 1) for _ in range(len(a) + 1)]  # (words, first place negated)
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = max(best[i + 1][j], best[i][j + 1])
+            if a[i] == b[j] and a[i] >= 0:
+                best[i][j] = max(best[i][j], (best[i + 1][j + 1][0] + 1, -i))
+    n, place = best[0][0]
+    return -place, n
+
+
+def best_chains(found: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Chains of (text end, template end, words) matches of one template, best first.
+
+    A chain's worth is the words it covers.  The best chain that ends in each match is
+    found over the matches in order of text end; only those that end shortly before a
+    match begins, or inside it, can come before it.  Then chains are read off from the
+    worthiest end, leaving out matches that a better chain has taken or lies over.
+    """
+    ends = [end for end, _, _ in found]
+    worth, come_from = [size for _, _, size in found], [-1] * len(found)
+    for j, (e2, k2, s2) in enumerate(found):
+        for i in range(bisect_left(ends, e2 - s2 - MAX_GAP), j):
+            e1, k1, _ = found[i]
+            kept = s2 - max(0, e1 - (e2 - s2), k1 - (k2 - s2))
+            if (e1 < e2 and k1 < k2 and kept > 0 and e2 - kept - e1 <= MAX_GAP and k2 - kept - k1 <= MAX_GAP
+                    and worth[i] + kept > worth[j]):
+                worth[j], come_from[j] = worth[i] + kept, i
+    chains, taken = [], []  # taken: disjoint text ranges, in order
+    used = [False] * len(found)
+    for j in sorted(range(len(found)), key=lambda j: (-worth[j], found[j])):
+        chain = []
+        while j >= 0 and not used[j]:
+            end, _, size = found[j]
+            at = bisect_left(taken, (end - size + 1, -1))
+            if any(a <= end and end - size + 1 <= b for a, b in taken[max(0, at - 1):at + 1]):
+                break
+            used[j] = True
+            chain.append(found[j])
+            j = come_from[j]
+        if chain:
+            chain.reverse()
+            chains.append(chain)
+            insort(taken, (chain[0][0] - chain[0][2] + 1, chain[-1][0]))
+    return chains
+
 
 def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """One row per document: words, base places, labels, score and covered spans."""
@@ -241,9 +356,9 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[str, list
         for i, doc in enumerate(part.column(0).to_pylist()):
             lo, hi = int(bounds[i]), int(bounds[i + 1])
             places, matches = scanner.scan(known[lo:hi]) if hot_in[i] < hot_in[i + 1] else ([], [])
-            spans = scanner.spans(matches) if matches else []
+            spans = scanner.spans(matches, known[lo:hi]) if matches else []
             base_labels = {scanner.phrases[p][1] for _, p in places}
-            labels = base_labels | {scanner.names[t] for t, _, _, cover in spans if cover >= MIN_COVER}
+            labels = base_labels | {scanner.names[span[0]] for span in spans if scanner.labels(span)}
             where = [w for w, _ in places]
             score = max([1.0 if places else 0.0, *(min(1.0, cover) for _, _, _, cover in spans)])
             row = (doc, hi - lo, len(places), min(where, default=None), max(where, default=None),

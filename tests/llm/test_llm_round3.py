@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from llm_cases import COLUMNS, documents, empty, prose, texts
 
-from priceflow.llm import common, merkle, quality_classifier, resampling
+from priceflow.llm import common, license_scan, lm_score, merkle, quality_classifier, resampling
 
 
 # ---------------------------------------------------------------- op11
@@ -302,3 +302,144 @@ def test_manifest_of_an_empty_table(spark):
 def test_manifest_does_not_depend_on_the_layout(spark):
     df = documents(spark)
     assert manifest_of(df.repartition(7)) == manifest_of(df.coalesce(1))
+
+
+# ---------------------------------------------------------------- op1: chains
+
+def scanner(templates=None):
+    return license_scan.Scanner(license_scan.BASE, templates or license_scan.TEMPLATES)
+
+
+def found_labels(scan, words):
+    known = scan.known(np.array([common.word_hash(w) for w in words], np.uint64))
+    _, matches = scan.scan(known)
+    return {scan.names[span[0]] for span in scan.spans(matches, known) if scan.labels(span)}
+
+
+def test_one_changed_word_anywhere_keeps_the_label():
+    scan, pad = scanner(), ["zzz"] * 6
+    for name, versions in license_scan.TEMPLATES.items():
+        for words in (v.split() for v in versions):
+            for i in range(len(words) + 1):
+                for new in ("of", "qqq"):
+                    cases = [words[:i] + [new] + words[i:]]
+                    if i < len(words):
+                        cases += [words[:i] + words[i + 1:], words[:i] + [new] + words[i + 1:]]
+                    for case in cases:
+                        assert name in found_labels(scan, pad + case + pad), (name, i, case)
+
+
+def test_template_matches_equal_brute_force():
+    """Every alignment's run of two words or more that grows no further, in every template."""
+    random = np.random.default_rng(3)
+    for _ in range(60):
+        templates = {f"t{i}": [" ".join(random.choice(list("abc"), random.integers(3, 9)))] for i in range(3)}
+        scan = scanner(templates)
+        text = random.choice(["a", "b", "c", "zz"], 14).tolist()
+        known = scan.known(np.array([common.word_hash(w) for w in text], np.uint64))
+        want = set()
+        for t, versions in enumerate(templates.values()):
+            words = versions[0].split()
+            for i in range(len(text)):
+                for k in range(len(words)):
+                    size = 0
+                    while size <= min(i, k) and text[i - size] == words[k - size]:
+                        size += 1
+                    more = i + 1 < len(text) and k + 1 < len(words) and text[i + 1] == words[k + 1]
+                    if size >= license_scan.MIN_PIECE and not more:
+                        want.add((t, i, k, size))
+        assert set(scan.scan(known)[1]) == want
+
+
+def test_best_chain_equals_brute_force():
+    random = np.random.default_rng(5)
+    gap = license_scan.MAX_GAP
+
+    def brute(found, last=None, start=0):
+        best = 0
+        for j in range(start, len(found)):
+            e2, k2, s2 = found[j]
+            kept = s2
+            if last:
+                e1, k1, _ = last
+                kept = s2 - max(0, e1 - (e2 - s2), k1 - (k2 - s2))
+                if not (e1 < e2 and k1 < k2 and kept > 0 and e2 - kept - e1 <= gap and k2 - kept - k1 <= gap):
+                    continue
+            best = max(best, kept + brute(found, found[j], j + 1))
+        return best
+
+    for _ in range(150):
+        found = sorted({(int(e), int(k), int(min(s, e + 1, k + 1))) for e, k, s in zip(
+            random.integers(1, 25, 9), random.integers(1, 20, 9), random.integers(2, 8, 9))})
+        chains = license_scan.best_chains(found)
+        first = chains[0]
+        worth = first[0][2] + sum(s2 - max(0, e1 - (e2 - s2), k1 - (k2 - s2))
+                                  for (e1, k1, _), (e2, k2, s2) in zip(first, first[1:]))
+        assert worth == brute(found)
+        ranges = sorted((c[0][0] - c[0][2] + 1, c[-1][0]) for c in chains)
+        assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_an_inserted_word_leaves_the_covered_words():
+    scan = scanner({"x": ["a b c d e f a b c d g h"]})
+    words = "a b c d e f a b q c d g h".split()
+    known = scan.known(np.array([common.word_hash(w) for w in words], np.uint64))
+    spans = scan.spans(scan.scan(known)[1], known)
+    assert max(cover for *_, cover in spans) == 1.0 and spans[0][1:3] == (0, 12)
+
+
+# ---------------------------------------------------------------- op10: chunks
+
+def test_log_probabilities_do_not_depend_on_the_chunks(spark, monkeypatch):
+    rows = [(i, prose(i, 40)) for i in range(40)] + [(50, None), (51, ""), (None, prose(3, 20)), (52, prose(4, 3000))]
+    docs = documents(spark, rows).coalesce(1)
+    got = []
+    for size in (1 << 22, 700):
+        monkeypatch.setattr(lm_score, "PIECE", size)
+        coded = lm_score.code(docs)
+        tokens = lm_score.Tokens(lm_score.count_words(coded))
+        placed = lm_score.place(coded, tokens)
+        weights = lm_score.Network.initial()
+        got.append({r.doc_id: (r.n_tokens, r.log_prob) for r in lm_score.rate(placed, weights).collect()})
+    assert got[0].keys() == got[1].keys()
+    for i in got[0]:
+        assert got[0][i][0] == got[1][i][0] and math.isclose(got[0][i][1], got[1][i][1], rel_tol=1e-5, abs_tol=1e-5)
+
+
+def test_log_probabilities_equal_a_plain_computation(spark):
+    rows = [(i, prose(i, 30, "abc")) for i in range(12)]
+    coded = lm_score.code(documents(spark, rows).coalesce(1))
+    tokens = lm_score.Tokens(lm_score.count_words(coded))
+    weights = lm_score.Network.initial() * 3
+    net = lm_score.Network(weights)
+    got = {r.doc_id: r.log_prob for r in lm_score.rate(lm_score.place(coded, tokens), weights).collect()}
+    counts = collections.Counter(w for _, t in rows for w in t.split())
+    leaf = {}
+    for w, n in counts.items():
+        h = np.array([common.word_hash(w)], np.uint64).view(np.int64)
+        leaf[w] = int(tokens.leaves.of(h, np.array([n]))[0])
+    mass = collections.Counter()
+    for w, n in counts.items():
+        mass[leaf[w]] += n
+
+    def softmax(x):
+        x = np.exp(x - x.max())
+        return x / x.sum()
+
+    for i, text in rows:
+        words, total = text.split(), 0.0
+        for at, w in enumerate(words):
+            hidden = net.bias.astype(float).copy()
+            for k, step in enumerate(lm_score.WINDOW):
+                near = leaf[words[at + step]] if 0 <= at + step < len(words) else lm_score.PAD
+                hidden += net.embed[k][near]
+            hidden = np.tanh(hidden)
+            own = leaf[w]
+            if own < lm_score.ALONE:
+                p = softmax(hidden @ net.out + net.out_bias)[own]
+            else:
+                band, part = divmod(own - lm_score.ALONE, lm_score.PARTS)
+                p = softmax(hidden @ net.out + net.out_bias)[lm_score.ALONE + band]
+                p *= softmax(hidden @ net.inner[band] + net.inner_bias[band])[part]
+            total += math.log(p) + math.log(counts[w] / mass[own])
+        assert math.isclose(total, got[i], rel_tol=1e-4), i
