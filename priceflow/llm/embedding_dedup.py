@@ -3,12 +3,15 @@
 Vectors are compared only within a label and a length.  Equal vectors are one
 class.  Each half of the unit vectors has a codebook of its own (k-means on at
 most ``SAMPLE`` classes); the pair of nearest centroids is a class's home cell
-in the product grid.  A class visits cells in the order of d1 + d2, the
-multi-sequence order over the two sorted distance lists, leaving out cells that
-the geometry rules out: a vector of the cell would be farther than the
-threshold allows from this one.  How many cells are visited is set on the
-sample: neighbours just at the threshold, in random directions, must be found
-with ``TARGET_RECALL``.
+in the product grid.  The codebooks' size grows with the label, so that a hot
+label has as few vectors to a cell as any other.  A class visits cells in the
+order of d1 + d2 by the multi-sequence traversal: a heap over the two sorted
+distance lists, so its memory is a vector's own lists and not the grid.  Cells
+that the geometry rules out are left out: a vector of the cell would be farther
+than the threshold allows from this one.  How many cells are visited is set on
+the sample: neighbours just at the threshold, in random directions, must be
+found with ``TARGET_RECALL``.  The exact mode traverses the least distances to
+the cells instead and ends only at the threshold, so that no link is lost.
 
 Each visited cell is verified exactly, in double precision, block by block;
 large cells are split into blocks of ``BLOCK`` homes and visitors.  A pair that
@@ -25,6 +28,7 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,32 +63,58 @@ def squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(0, (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1))
 
 
+def multi_sequence(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs of places in two ascending lists, by ascending sum: (i, j) enters the heap
+    once (i - 1, j) and (i, j - 1) have left it, so it holds at most one pair a row."""
+    heap, left = [(float(a[0] + b[0]), 0, 0)], {}
+    while heap:
+        _, i, j = heapq.heappop(heap)
+        yield i, j
+        left[i] = j
+        if i + 1 < len(a) and (j == 0 or left.get(i + 1, -1) >= j - 1):
+            heapq.heappush(heap, (float(a[i + 1] + b[j]), i + 1, j))
+        if j + 1 < len(b) and (i == 0 or left.get(i - 1, -1) >= j + 1):
+            heapq.heappush(heap, (float(a[i] + b[j + 1]), i, j + 1))
+
+
 class Index:
-    """The two codebooks and the number of cells to visit."""
+    """Two codebooks of ``k`` centroids and the number of cells to visit (None: all that
+    the geometry does not rule out, so that no link is lost)."""
 
-    def __init__(self, sample: np.ndarray, per_group: float, threshold: float):
+    def __init__(self, sample: np.ndarray, k: int, threshold: float, exact: bool = False):
         self.threshold = threshold
         x = unit(sample)
         self.half = max(1, x.shape[1] // 2)
-        k = int(2 ** np.clip(round(np.log2(max(1.0, per_group / PER_CELL)) / 2), 0, 8))
-        k = min(k, len(x))
+        self.k = k = min(k, len(x))
         self.books = [kmeans(np.ascontiguousarray(part), k) for part in (x[:, :self.half], x[:, self.half:])]
-        self.visits = k * k
-        self.visits = self._needed(x)
+        self.visits = None if exact else self._needed(x)
 
     def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return squared(x[:, :self.half], self.books[0]), squared(x[:, self.half:], self.books[1])
 
     def cells(self, x: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
-        """Home cell, and the cells to visit in multi-sequence order, of unit vectors."""
-        d1, d2 = self.distances(x)
-        k = d1.shape[1]
-        home = d1.argmin(1) * k + d2.argmin(1)
-        cost = (d1[:, :, None] + d2[:, None, :]).reshape(len(x), -1)
-        bound = (self._gap(d1, self.books[0])[:, :, None] + self._gap(d2, self.books[1])[:, None, :]).reshape(len(x), -1)
-        order = np.argsort(cost, axis=1, kind="stable")[:, :self.visits]
+        """Home cell, and the cells to visit in multi-sequence order, of unit vectors.
+
+        With a number of visits the sequences are the distances to the centroids; without,
+        the least distances to their cells, and the traversal ends at the threshold.
+        """
+        halves = self.distances(x)
+        home = halves[0].argmin(1) * self.k + halves[1].argmin(1)
+        gaps = [self._gap(d, book) for d, book in zip(halves, self.books)]
+        keys = gaps if self.visits is None else halves
+        orders = [np.argsort(key, axis=1, kind="stable") for key in keys]
         reach = 2 - 2 * self.threshold + 1e-9
-        return home, [row[bound[i, row] <= reach].tolist() for i, row in enumerate(order)]
+        out = []
+        for r in range(len(x)):
+            (first, second), row = (o[r] for o in orders), []
+            apart, other = gaps[0][r][first], gaps[1][r][second]
+            for n, (i, j) in enumerate(multi_sequence(keys[0][r][first], keys[1][r][second])):
+                if n == self.visits or (self.visits is None and apart[i] + other[j] > reach):
+                    break
+                if apart[i] + other[j] <= reach:
+                    row.append(int(first[i]) * self.k + int(second[j]))
+            out.append(row)
+        return home, out
 
     @staticmethod
     def _gap(d: np.ndarray, book: np.ndarray) -> np.ndarray:
@@ -95,15 +125,18 @@ class Index:
         return np.where(apart > 1e-9, gap, 0) ** 2
 
     def _needed(self, x: np.ndarray) -> int:
+        """Visits that find TARGET_RECALL of neighbours just at the threshold."""
         random = np.random.default_rng(SEED)
         x = x[:2048]
         noise = random.normal(size=x.shape)
         noise = unit(noise - (noise * x).sum(1)[:, None] * x)
         other = unit(self.threshold * x + np.sqrt(1 - self.threshold ** 2) * noise)
-        home, _ = self.cells(other)
+        homes = [d.argmin(1) for d in self.distances(other)]
         d1, d2 = self.distances(x)
-        cost = (d1[:, :, None] + d2[:, None, :]).reshape(len(x), -1)
-        rank = (cost < cost[np.arange(len(x)), home][:, None]).sum(1)
+        rows = np.arange(len(x))
+        cost, ascending = d1[rows, homes[0]] + d2[rows, homes[1]], np.sort(d2, axis=1)
+        # cells before the neighbour's: one search in the second list for each entry of the first
+        rank = [int(np.searchsorted(ascending[r], cost[r] - d1[r], "left").sum()) for r in rows]
         return int(np.quantile(rank, TARGET_RECALL, method="higher")) + 1
 
 
@@ -132,27 +165,34 @@ def classes(vectors: DataFrame) -> DataFrame:
         "embedding-classes")
 
 
-def link_classes(found: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def link_classes(found: DataFrame, threshold: float = THRESHOLD, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """(cid, links) partial counts of linked vectors in other classes, and links (a, b)
     that span every block's components."""
     spark = found.sparkSession
-    size = found.agg(F.count("*").alias("n"), F.max("dim").alias("width"),
-                     F.countDistinct("label", "dim").alias("groups")).first()
+    groups = found.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    side = F.lit(2).cast("double") ** F.least(F.lit(8.0), F.greatest(F.lit(0.0), F.rint(
+        F.log2(F.greatest(F.lit(1.0), F.col("n") / PER_CELL)) / 2)))
+    groups = common.materialize(groups.withColumn("k", side.cast("int")), "embedding-groups")
+    size = groups.agg(F.max("dim").alias("width"), F.collect_set("k").alias("sides")).first()  # at most 9 sizes
     width = max(2, size["width"] or 2)
-    if not size["n"]:
+    if not size["sides"]:
         return (spark.createDataFrame([], "cid bigint, links bigint"), spark.createDataFrame([], "a bigint, b bigint"))
     sample = found.orderBy(F.xxhash64("cid")).limit(SAMPLE).select("vec").toPandas()["vec"]  # bounded by the parameter
-    index = Index(_stack(sample, width), size["n"] / size["groups"], threshold)
+    sample = _stack(sample, width)
+    indexes = {k: Index(sample, k, threshold, exact) for k in size["sides"]}
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
-            for lo in range(0, len(rows), 1024):
-                part = rows.iloc[lo:lo + 1024]
-                home, visits = index.cells(unit(_stack(part["vec"], width)))
-                yield part.assign(home=home.astype("int32"), visits=visits)
+            for k, own in rows.groupby("k", sort=True):
+                for lo in range(0, len(own), 1024):
+                    part = own.iloc[lo:lo + 1024]
+                    home, visits = indexes[int(k)].cells(unit(_stack(part["vec"], width)))
+                    yield part.drop(columns="k").assign(home=home.astype("int32"), visits=visits)
 
     common.ship(spark)
-    placed = common.materialize(found.drop("first_id").mapInPandas(
+    sized = found.drop("first_id").join(groups.drop("n"), ["label", "dim"]).select(
+        "cid", "label", "dim", "vec", "m", "k")
+    placed = common.materialize(sized.mapInPandas(
         place, "cid bigint, label int, dim int, vec array<float>, m bigint, home int, visits array<int>"),
         "embedding-index")
     key = ["label", "dim", "cell"]
@@ -198,13 +238,16 @@ def link_classes(found: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     return out.select("cid", "links"), out.select("a", "b")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """vec_id, n_links, component_id, kept: one row per vector."""
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, exact: bool = False) -> DataFrame:
+    """vec_id, n_links, component_id, kept: one row per vector.
+
+    ``exact`` visits every cell that the geometry allows instead of a set number.
+    """
     vectors = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"),
                              F.col("label").cast("int").alias("label"),
                              F.col("embedding").cast("array<float>").alias("embedding"))
     found = classes(vectors)
-    links, edges = link_classes(found, threshold)
+    links, edges = link_classes(found, threshold, exact)
     totals = links.groupBy("cid").agg(F.sum("links").alias("links"))
     joined = components(edges).withColumnRenamed("node", "cid")
     named = found.join(joined, "cid", "left").withColumn("component", F.coalesce("component", "cid"))

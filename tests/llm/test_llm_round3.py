@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from llm_cases import COLUMNS, documents, empty, prose, texts
 
-from priceflow.llm import common, license_scan, lm_score, merkle, quality_classifier, resampling
+from priceflow.llm import common, embedding_dedup, license_scan, lm_score, merkle, quality_classifier, resampling
 
 
 # ---------------------------------------------------------------- op11
@@ -443,3 +443,62 @@ def test_log_probabilities_equal_a_plain_computation(spark):
                 p *= softmax(hidden @ net.inner[band] + net.inner_bias[band])[part]
             total += math.log(p) + math.log(counts[w] / mass[own])
         assert math.isclose(total, got[i], rel_tol=1e-4), i
+
+
+# ---------------------------------------------------------------- op9: traversal
+
+def test_multi_sequence_visits_every_cell_by_ascending_sum():
+    random = np.random.default_rng(2)
+    for _ in range(50):
+        a, b = (np.sort(random.integers(0, 6, random.integers(1, 9)).astype(float)) for _ in range(2))
+        pairs = list(embedding_dedup.multi_sequence(a, b))
+        assert sorted(pairs) == [(i, j) for i in range(len(a)) for j in range(len(b))]
+        sums = [a[i] + b[j] for i, j in pairs]
+        assert sums == sorted(sums)
+
+
+def test_the_traversal_ends_only_where_no_link_can_be():
+    random = np.random.default_rng(4)
+    x = embedding_dedup.unit(random.normal(size=(600, 8)) + 3 * random.normal(size=(20, 8))[random.integers(0, 20, 600)])
+    index = embedding_dedup.Index(x, 8, 0.98, exact=True)
+    home, visits = index.cells(x)
+    assert index.k == 8 and np.mean([len(v) for v in visits]) < 40
+    for i, j in zip(*np.nonzero(x @ x.T >= 0.98)):
+        assert home[j] in visits[i]
+
+
+def vectors(seed, n, label, spread=0.12):
+    random = np.random.default_rng(seed)
+    base = random.normal(size=(max(1, n // 6), 16))
+    return [(label, v.astype(np.float32).tolist()) for v in base[random.integers(0, len(base), n)]
+            + spread * random.normal(size=(n, 16))]
+
+
+def brute_links(rows):
+    x = np.array([v for _, _, v in rows], np.float64)
+    labels = np.array([label for _, label, _ in rows])
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (x @ x.T >= 0.98) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_hot_label_and_many_cells(spark, monkeypatch, exact):
+    monkeypatch.setattr(embedding_dedup, "PER_CELL", 4)
+    found = [*vectors(1, 700, 1), *[v for k in range(2, 40) for v in vectors(k, 4, k)]]
+    rows = [(i, label, v) for i, (label, v) in enumerate(found)]
+    df = spark.createDataFrame([(i, label, v) for i, label, v in rows], "vec_id bigint, label int, embedding array<float>")
+    linked = brute_links(rows)
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df, exact=exact).collect()}
+    links = {i: got[i].n_links for i in got}
+    assert len(got) == len(rows) and all(links[i] <= linked[i].sum() for i in links)  # never a link below the threshold
+    recall = sum(links.values()) / linked.sum()
+    assert linked.sum() > 1000 and recall >= (1.0 if exact else 0.9)
+    if exact:
+        root = list(range(len(rows)))
+        changed = True
+        while changed:
+            new = [min([root[i], *(root[j] for j in np.flatnonzero(linked[i]))]) for i in range(len(rows))]
+            changed, root = new != root, new
+        assert [got[i].component_id for i in range(len(rows))] == root
