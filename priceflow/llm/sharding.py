@@ -13,11 +13,14 @@ overflowing row takes the u-th free place.  That is worked out on tables of
 arcs and pieces, whose size is fixed by the ring (shards x vnodes), never by
 the data.
 
-Rows are ranked inside an arc in ``lots`` sub-groups drawn from a row's
-position, not from its key, so a key that holds a third of all rows is ranked
-by many tasks.  Null keys hash like an empty text; null texts have size 1;
-repeated rows are placed one by one; an empty table gives an empty result;
-other columns of the input are not read.
+Rows are ranked inside an arc by a hash of their columns, then by the columns,
+in slices of that order (see ``operators.numbering``): as many as there are
+tasks, at every size, and equal rows fall into different slices by a written row
+number, so a key that holds a third of all rows is ranked by many tasks.  Equal
+rows are interchangeable, so the result does not depend on the table's layout.
+Null keys hash like an empty text; null texts have size 1; repeated rows are
+placed one by one; an empty table gives an empty result; other columns of the
+input are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from priceflow.llm.common import materialize
+from priceflow.operators.numbering import sequence_number
 
 
 def ring_hash(text: Column) -> Column:
@@ -103,29 +107,25 @@ def _pieces(arcs: DataFrame, shards: int, vnodes: int) -> DataFrame:
     return pieces.withColumn("first_slot", _running("rows", W.partitionBy("shard").orderBy("arc", "lo"))).drop("rows")
 
 
-def assign(rows: DataFrame, key: Column, shards: int = 8, vnodes: int = 64, lots: int = 64) -> DataFrame:
+def assign(rows: DataFrame, key: Column, shards: int = 8, vnodes: int = 64) -> DataFrame:
     """rows + shard + slot; ``rows`` should hold narrow columns only (it is written)."""
     table = ring(shards, vnodes)
     arcs = len(table)
     columns = rows.columns
+    own = [F.col(f"`{c}`") for c in columns]
     placed = materialize(rows.select(
         "*",
         arc_of(ring_hash(F.coalesce(key.cast("string"), F.lit(""))), [p for p, _ in table]).alias("__arc"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(lots)).cast("int").alias("__lot")), "ring-rows")
+        F.xxhash64(*own).alias("__hash"), F.monotonically_increasing_id().alias("__row")), "ring-rows")
     owners = F.element_at(longs(o for _, o in table), (F.col("arc") + 1).cast("int")).cast("int")
-    counts = placed.groupBy("__arc", "__lot").agg(F.count("*").alias("n"))
-    loads = counts.groupBy("__arc").agg(F.sum("n").alias("n"))
+    loads = placed.groupBy("__arc").agg(F.count("*").alias("n"))
     every = rows.sparkSession.range(arcs).select(F.col("id").cast("int").alias("arc"))
     loads = every.join(F.broadcast(loads.withColumnRenamed("__arc", "arc")), "arc", "left").select(
         "arc", owners.alias("owner"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
     pieces = _pieces(loads, shards, vnodes).withColumnRenamed("arc", "__arc")
-    offsets = counts.select("__arc", "__lot", _running("n", W.partitionBy("__arc").orderBy("__lot")).alias("__offset"))
-    order = [F.col(f"`{c}`") for c in columns]
-    ranked = placed.withColumn("__rank", F.row_number().over(
-        W.partitionBy("__arc", "__lot").orderBy(*order)).cast("long") - 1)
-    # at most arcs x lots rows and a few times arcs rows: fixed by the parameters
-    ranked = ranked.join(F.broadcast(offsets), ["__arc", "__lot"])
-    ranked = ranked.withColumn("__rank", F.col("__rank") + F.col("__offset"))
+    ranked = sequence_number(placed, ["__arc"], ["__hash", *columns, "__row"], "__rank")
+    ranked = ranked.withColumn("__rank", F.col("__rank") - 1)
+    # at most a few times arcs rows: fixed by the parameters
     inside = (ranked["__arc"] == pieces["__arc"]) & (ranked["__rank"] >= pieces["lo"]) & (ranked["__rank"] < pieces["hi"])
     return ranked.join(F.broadcast(pieces), inside).select(
         *[ranked[f"`{c}`"] for c in columns], pieces["shard"].cast("int").alias("shard"),

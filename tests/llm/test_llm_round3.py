@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from llm_cases import COLUMNS, documents, empty, prose, texts
 
-from priceflow.llm import common, embedding_dedup, license_scan, lm_score, merkle, quality_classifier, resampling
+from priceflow.llm import common, embedding_dedup, license_scan, lm_score, merkle, quality_classifier, resampling, sharding
 
 
 # ---------------------------------------------------------------- op11
@@ -502,3 +502,78 @@ def test_hot_label_and_many_cells(spark, monkeypatch, exact):
             new = [min([root[i], *(root[j] for j in np.flatnonzero(linked[i]))]) for i in range(len(rows))]
             changed, root = new != root, new
         assert [got[i].component_id for i in range(len(rows))] == root
+
+
+# ---------------------------------------------------------------- op5: layout and movement
+
+def sharded(df, shards):
+    return sorted((tuple(r) for r in sharding.shard_documents(df, shards).collect()), key=repr)
+
+
+def ring_rows(n=1500):
+    rows = [(i, prose(i, 4)) for i in range(n)]
+    return rows + [(7, "hot")] * (n // 2) + [(None, None)] * 20
+
+
+def test_shards_do_not_depend_on_the_layout(spark):
+    df = documents(spark, ring_rows(300))
+    want = sharded(df.coalesce(1), 8)
+    assert sharded(df.repartition(5), 8) == want and sharded(df.orderBy("text"), 8) == want
+
+
+def brute_shards(rows, shards, vnodes=64):
+    """The walk itself: own arcs clockwise, then overflow to the next point with room."""
+    points = sharding.ring(shards, vnodes)
+    arcs = [[] for _ in points]
+    for key, row in rows:
+        at = int(hashlib.md5(key.encode()).hexdigest()[:15], 16)
+        arcs[next((i for i, (p, _) in enumerate(points) if p >= at), 0)].append(row)
+    total = len(rows)
+    share = [total // shards + (s < total % shards) for s in range(shards)]
+    home, over, used = [], [0] * len(points), [0] * shards
+    for i, (_, owner) in enumerate(points):
+        n = min(len(arcs[i]), share[owner] - used[owner])
+        used[owner] += n
+        home.append(n)
+        over[i] = len(arcs[i]) - n
+    room, seen = [0] * len(points), [0] * shards
+    for i, (_, owner) in enumerate(points):
+        left = share[owner] - used[owner]
+        room[i] = left // vnodes + (seen[owner] < left % vnodes)
+        seen[owner] += 1
+    counts = collections.Counter()
+    for i, (_, owner) in enumerate(points):
+        counts[i, owner] += home[i]
+    # first come, first served, clockwise: start where no overflow is waiting
+    balance = np.cumsum(np.array(over) - np.array(room))
+    start = (int(balance.argmin()) + 1) % len(points)
+    waiting = []
+    for step in range(2 * len(points)):
+        i = (start + step) % len(points)
+        if step < len(points):
+            waiting += [i] * over[i]
+        while waiting and room[i]:
+            counts[waiting.pop(0), points[i][1]] += 1
+            room[i] -= 1
+    assert not waiting
+    return counts
+
+
+def test_shards_equal_a_walk_around_the_ring(spark):
+    rows = ring_rows(400)
+    got = collections.Counter()
+    points = sharding.ring(8, 64)
+    for r in sharding.shard_documents(documents(spark, rows), 8).collect():
+        at = int(hashlib.md5(("" if r.doc_id is None else str(r.doc_id)).encode()).hexdigest()[:15], 16)
+        got[next((i for i, (p, _) in enumerate(points) if p >= at), 0), r.shard] += 1
+    want = brute_shards([("" if i is None else str(i), t) for i, t in rows], 8)
+    assert got == collections.Counter({k: n for k, n in want.items() if n})
+
+
+def test_one_more_shard_moves_few_rows(spark):
+    rows = [(i, prose(i, 4)) for i in range(3000)]
+    before, after = ({r[0]: r[3] for r in sharded(documents(spark, rows), n)} for n in (8, 9))
+    moved = [i for i in before if before[i] != after[i]]
+    # a ninth of the rows has to move; plain hashing modulo the shards would move eight ninths
+    assert len(rows) / 9 <= len(moved) <= 0.3 * len(rows)
+    assert sum(after[i] == 8 for i in moved) >= len(rows) // 9 and sum(after[i] != 8 for i in moved) <= 0.2 * len(rows)
