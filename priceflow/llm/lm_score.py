@@ -13,8 +13,10 @@ a small network: one embedding of leaves per place of the window, a tanh layer
 and a softmax over classes and over each band's leaves.
 
 Texts are coded once, in chunks of about ``PIECE`` bytes with a dictionary of
-their distinct words; a dictionary's words are joined to the table, once per
-chunk however often a chunk says them, and the leaves put in place.
+their distinct words.  The dictionaries are shuffled once, as packed rows by hash
+cell: a cell's task adds up its words over all chunks and answers each chunk with
+the sums of its own words, once per chunk however often a chunk says them; then
+the leaves are put in place.
 
 Training reads all documents in ``ROUNDS`` rounds.  In a round every task
 starts from the common weights and takes gradient steps (Adagrad, batches of
@@ -32,7 +34,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -52,8 +53,9 @@ ROUNDS = 2
 BATCH = 8192
 RATE = 0.1
 SEED = 7
-PIECE = 1 << 19
-COUNT_BITS = 35  # of a number that holds a place in a chunk's dictionary and a count
+PIECE = 1 << 21
+CELL = 1 << 21  # dictionary words of all chunks in a hash cell
+ROW = 1 << 14  # vocabulary words in a row of the tallied table
 SLICE = 512
 
 SHAPES = ((len(WINDOW), LEAVES + 1, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES,),
@@ -89,25 +91,93 @@ def code(docs: DataFrame) -> DataFrame:
         "chunk bigint, docs array<bigint>, bounds binary, tokens binary, words binary, counts binary"), "lm-coded")
 
 
-def _dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per chunk and distinct word."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            chunk, words, n = (c[i].as_py() for c in batch.columns)
-            words = np.frombuffer(words, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words), pa.array(np.full(len(words), chunk)), pa.array(np.arange(len(words), dtype=np.int32)),
-                 pa.array(np.frombuffer(n, np.uint32).astype(np.int64))], names=["word", "chunk", "place", "n"])
+def _cell_of(words: np.ndarray, cells: int) -> np.ndarray:
+    return (words.view(np.uint64) >> np.uint64(24)) % np.uint64(cells)
+
+
+def _by_cell(words: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, cells that occur, bounds): the words in order of their cells."""
+    cell = _cell_of(words, cells)
+    order = np.argsort(cell, kind="stable")
+    found, first = np.unique(cell[order], return_index=True)
+    return order, found.astype(np.int32), np.append(first, len(words))
 
 
-def dictionaries(coded: DataFrame) -> DataFrame:
-    return common.map_arrow(coded.select("chunk", "words", "counts"), _dictionaries,
-                            "word bigint, chunk bigint, place int, n bigint")
+def _packed(chunk, words: np.ndarray, n: np.ndarray, cells: int) -> pa.RecordBatch:
+    order, found, bounds = _by_cell(words, cells)
+    words, n = words[order], n[order].astype(np.int64)
+    cut = lambda x: pa.array([x[lo:hi].tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(found), pa.array([chunk] * len(found), pa.int64()), cut(words), cut(n)],
+                                      names=["cell", "chunk", "words", "n"])
+
+
+PACKED = "cell int, chunk bigint, words binary, n binary"
+VOCABULARY = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
+TALLIED = "cell int, chunk bigint, n binary, vocabulary array<struct<word:bigint,n:bigint>>"
+
+
+def dictionaries(coded: DataFrame, cells: int, counted: bool = True) -> DataFrame:
+    """Every chunk's distinct words and their numbers there, a row per hash cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk, words, n = (c[i].as_py() for c in batch.columns)
+                words, n = np.frombuffer(words, np.int64), np.frombuffer(n, np.uint32)
+                yield _packed(chunk, words, n if counted else np.zeros(len(words)), cells)
+
+    return common.map_arrow(coded.select("chunk", "words", "counts"), run, PACKED)
+
+
+def _pack_table(counts: DataFrame, cells: int) -> DataFrame:
+    """(word, n) rows as rows per hash cell, without a chunk."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _packed(None, *(c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns), cells)
+
+    return common.map_arrow(counts.select("word", "n"), run, PACKED)
+
+
+def _tally(key: tuple, rows: pa.Table) -> pa.Table:
+    """The sums of one cell's words: rows without a chunk that hold them, ROW words each,
+    and for each chunk those of its own words, in its order."""
+    parts = [np.frombuffer(w, np.int64) for w in rows.column("words").to_pylist()]
+    ends = np.cumsum([len(p) for p in parts])
+    words, place = np.unique(np.concatenate(parts), return_inverse=True)
+    n = np.concatenate([np.frombuffer(x, np.int64) for x in rows.column("n").to_pylist()])
+    total = np.bincount(place, n, len(words)).astype(np.int64)
+    cuts = pa.array(np.append(np.arange(0, len(words), ROW), len(words)), pa.int32())
+    whole = pa.ListArray.from_arrays(cuts, pa.StructArray.from_arrays([pa.array(words), pa.array(total)], ["word", "n"]))
+    out = [(chunk, total[place[end - len(part):end]].tobytes())
+           for chunk, part, end in zip(rows.column("chunk").to_pylist(), parts, ends) if chunk is not None]
+    cell = key[0].as_py()
+    names = ["cell", "chunk", "n", "vocabulary"]
+    return pa.concat_tables([
+        pa.table([pa.array([cell] * len(whole), pa.int32()), pa.nulls(len(whole), pa.int64()),
+                  pa.nulls(len(whole), pa.binary()), whole.cast(VOCABULARY)], names),
+        pa.table([pa.array([cell] * len(out), pa.int32()), pa.array([c for c, _ in out], pa.int64()),
+                  pa.array([x for _, x in out], pa.binary()), pa.nulls(len(out), VOCABULARY)], names)])
+
+
+def tally(rows: DataFrame) -> DataFrame:
+    """Cells are sized by the dictionaries (``cells_for``), so a group fits its task at every size."""
+    common.ship(rows.sparkSession)
+    return rows.groupBy("cell").applyInArrow(_tally, TALLIED)
+
+
+def cells_for(coded: DataFrame) -> int:
+    """Hash cells of at most about CELL dictionary words each, and one a task at least."""
+    total = coded.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    return max(common.partitions(coded.sparkSession), total // 8 // CELL)
+
+
+def _table(tallied: DataFrame) -> DataFrame:
+    """(word, n) of every distinct word, out of the tallied cells."""
+    return tallied.where("chunk IS NULL").select(F.inline("vocabulary"))
 
 
 def count_words(coded: DataFrame) -> DataFrame:
     """(word, n) of every distinct word; occurrences are added up per chunk before the shuffle."""
-    return common.materialize(dictionaries(coded).groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+    return _table(common.materialize(tally(dictionaries(coded, cells_for(coded))), "lm-words"))
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
@@ -165,7 +235,7 @@ class Tokens:
         self.table, self.leaves = counts, Leaves(counts)
 
 
-def _put(leaves: Leaves):
+def _put(leaves: Leaves, cells: int):
     """Leaves in place, and each text's summed log p(word | leaf)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,8 +244,8 @@ def _put(leaves: Leaves):
                 places = np.frombuffer(batch.column(2)[i].as_py(), _narrow(words))
                 n = np.zeros(len(words), np.int64)
                 if len(words):
-                    known = batch.column(4)[i].values.to_numpy()
-                    n[known >> COUNT_BITS] = known & ((1 << COUNT_BITS) - 1)
+                    known = sorted(batch.column(4)[i].as_py(), key=lambda x: x["cell"])
+                    n[_by_cell(words, cells)[0]] = np.concatenate([np.frombuffer(x["n"], np.int64) for x in known])
                 leaf = leaves.of(words, n)
                 half = np.where(n == 0, 0.5, 0.0)
                 member = np.minimum(np.log((n + half) / (leaves.mass[leaf] + half)), 0.0)
@@ -189,18 +259,23 @@ def _put(leaves: Leaves):
     return run
 
 
-def place(coded: DataFrame, tokens: Tokens) -> DataFrame:
+def _placed(coded: DataFrame, tallied: DataFrame, leaves: Leaves, cells: int) -> DataFrame:
     """The chunks with leaves: docs, bounds, leaves, member."""
-    count = F.least(F.coalesce("n", F.lit(0)), F.lit((1 << COUNT_BITS) - 1))
-    known = dictionaries(coded).drop("n").join(tokens.table, "word", "left").select(
-        "chunk", F.shiftleft(F.col("place").cast("bigint"), COUNT_BITS).bitwiseOR(count).alias("known"))
-    known = known.groupBy("chunk").agg(F.collect_list("known").alias("known"))  # one chunk's words
+    known = tallied.where("chunk IS NOT NULL").groupBy("chunk").agg(
+        F.collect_list(F.struct("cell", "n")).alias("known"))  # one chunk's words
     joined = coded.select("chunk", "docs", "bounds", "tokens", "words").join(known, "chunk", "left")
     return common.materialize(common.map_arrow(
-        joined.select("docs", "bounds", "tokens", "words", "known"), _put(tokens.leaves),
+        joined.select("docs", "bounds", "tokens", "words", "known"), _put(leaves, cells),
         "docs array<bigint>, bounds binary, leaves binary, member binary"), "lm-placed")
 
 
+def place(coded: DataFrame, tokens: Tokens) -> DataFrame:
+    """The chunks with the leaves that a vocabulary gives to their words."""
+    cells = cells_for(coded)
+    rows = dictionaries(coded, cells, counted=False).unionByName(_pack_table(tokens.table, cells))
+    return _placed(coded, tally(rows), tokens.leaves, cells)
+
+
 # ---------------------------------------------------------------- the network
 
 
@@ -314,10 +389,11 @@ def windows(leaves: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + w] for w in WINDOW])
 
 
-def _mean(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _mean(key: tuple, rows: pa.Table) -> pa.Table:
     """Mean of one slice of the weights by the tasks' numbers of words."""
-    weights = np.stack([np.frombuffer(w, np.float64) for w in rows["weights"]])
-    return pd.DataFrame({"slice": [key[0]], "weights": [np.average(weights, axis=0, weights=rows["n"]).tobytes()]})
+    weights = np.stack([np.frombuffer(w, np.float64) for w in rows.column("weights").to_pylist()])
+    mean = np.average(weights, axis=0, weights=rows.column("n").to_numpy())
+    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "weights": pa.array([mean.tobytes()], pa.binary())})
 
 
 def learn(placed: DataFrame) -> np.ndarray:
@@ -342,7 +418,7 @@ def learn(placed: DataFrame) -> np.ndarray:
                                                   "n": np.full(len(parts), seen, np.int64)})
 
         learned = common.map_arrow(placed.select("bounds", "leaves"), steps, "slice int, weights binary, n bigint")
-        mean = learned.groupBy("slice").applyInPandas(_mean, "slice int, weights binary").toPandas()
+        mean = learned.groupBy("slice").applyInArrow(_mean, "slice int, weights binary").toPandas()
         if len(mean):  # as many values as the network has weights
             weights = np.concatenate([np.frombuffer(w, np.float64) for w in mean.sort_values("slice")["weights"]])
     return weights
@@ -386,5 +462,8 @@ def score(docs: DataFrame, tokens: Tokens, weights: np.ndarray) -> DataFrame:
 
 def score_documents(docs: DataFrame) -> DataFrame:
     coded = code(docs)
-    placed = place(coded, Tokens(count_words(coded)))
+    cells = cells_for(coded)
+    # one shuffle of the dictionaries counts the corpus and answers every chunk
+    tallied = common.materialize(tally(dictionaries(coded, cells)), "lm-words")
+    placed = _placed(coded, tallied, Leaves(_table(tallied)), cells)
     return rate(placed, learn(placed))
