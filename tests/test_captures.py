@@ -59,3 +59,46 @@ def test_the_stream_reads_the_same_rows(spark, tmp_path):
     table = str(tmp_path / "table")
     write_snapshots(read_captures(spark, root), table)
     assert rows(read_snapshots(spark, table)) == rows(read_captures(spark, root))
+
+
+def small_tables(spark, tmp_path):
+    """lineitem and part with long orders, a part that comes twice, null keys and null values."""
+    lines = [(o, p, 1, n, float(100 * o + n), datetime.datetime(2024, 1, 1 + o % 28))
+             for o in range(24) for n, p in enumerate([o % 5, (o + 1) % 5, 2, 3, 4, 0, 1, 9][:1 + o % 8], 1)]
+    lines += [(None, 1, 1, 1, 5.0, None), (7, 2, 1, None, None, None), (3, 3, 1, 9, 7.5, None)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+                          " l_extendedprice double, l_shipdate timestamp_ntz").write.parquet(str(tmp_path / "lineitem.parquet"))
+    parts = [(p, f"it's <{p}> & n ip v", f"Brand#{p}", ["PROMO", "ECONOMY"][p % 2], 7 * p) for p in (0, 1, 2, 3, 4, 4)]
+    parts += [(9, None, None, None, None)]
+    spark.createDataFrame(parts, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int"
+                          ).write.parquet(str(tmp_path / "part.parquet"))
+    return str(tmp_path)
+
+
+def test_pages_are_printed_as_their_cards_are_and_no_markup_is_shuffled(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from priceflow.sources import fixtures as fx
+    where = small_tables(spark, tmp_path)
+    got = {(r.page_id, r.chunk, r.site): r.html for r in fx.page_snapshot(spark, where).collect()}
+    cards = fx.cards(spark, where).groupBy("page_id", "chunk", "site").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "card_html"))).alias("cards")).collect()
+    assert len(got) == len(cards)
+    for r in cards:
+        markup = "".join(c.card_html for c in r.cards if c.card_html is not None)
+        html = got[r.page_id, r.chunk, r.site]
+        assert html is None or markup in html
+    assert sum(h is not None for h in got.values()) > 20
+    plan = fx.page_snapshot(spark, where)._jdf.queryExecution().executedPlan().toString().splitlines()
+    last = next(i for i, line in enumerate(plan) if "Exchange" in line)
+    assert not any("card_html" in line for line in plan[last:])
+
+
+def test_labels_are_made_once_per_page(spark):
+    from pyspark.sql import functions as F
+    from priceflow.operators.products import product_prices
+    from priceflow.sources import fixtures as fx
+    from priceflow.sources.snapshots import SNAPSHOT_SCHEMA
+    pages = spark.createDataFrame([], SNAPSHOT_SCHEMA)
+    plan = product_prices(pages, fx.site_rule(spark))._jdf.queryExecution().analyzed().toString().splitlines()
+    explode = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
+    assert not any("initcap" in line for line in plan[:explode]) and any("initcap" in line for line in plan[explode:])
