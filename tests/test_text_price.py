@@ -79,3 +79,14 @@ def test_count_from_text_and_zero_price(rows_of):
     out = rows_of([("1.432 productos", 0.0), ("sin datos", 3.5)], "s string, p double",
                   n=price.count_from_text("s"), z=price.zero_price("p"))
     assert out == [{"n": 1432, "z": None}, {"n": 0, "z": 3.5}]
+
+
+def test_strip_text_takes_every_white_space_of_unicode_and_no_regular_expression(spark, rows_of):
+    places = [*range(9, 14), 0x20, 0x85, 0xa0, 0x1680, *range(0x2000, 0x200b), 0x2028, 0x2029, 0x202f, 0x205f, 0x3000]
+    white, other = "".join(map(chr, places)), "\x1fa\u200b"
+    data = [(white + "a b" + white,), (white,), ("",), (other,)] + [(c + "x" + c + "y" + c,) for c in white]
+    out = rows_of(data, "s string", t=text.strip_text("s"), r=F.regexp_replace("s", r"(?U)^\s+|\s+$", ""))
+    assert [r["t"] for r in out] == [r["r"] for r in out]
+    assert [r["t"] for r in out[:4]] == ["a b", "", "", other]
+    plan = spark.range(1).select(text.strip_text(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert "regexp" not in plan
