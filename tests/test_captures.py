@@ -94,7 +94,6 @@ def test_pages_are_printed_as_their_cards_are_and_no_markup_is_shuffled(spark, t
 
 
 def test_labels_are_made_once_per_page(spark):
-    from pyspark.sql import functions as F
     from priceflow.operators.products import product_prices
     from priceflow.sources import fixtures as fx
     from priceflow.sources.snapshots import SNAPSHOT_SCHEMA
