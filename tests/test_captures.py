@@ -2,8 +2,10 @@
 
 import datetime
 
+from pyspark.sql import functions as F
+
 from priceflow.operators.extract import card_fields, explode_cards
-from priceflow.sources.snapshots import SNAPSHOT_COLUMNS, read_captures, read_snapshots, stream_captures, write_snapshots
+from priceflow.sources.snapshots import SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA, read_captures, read_snapshots, stream_captures, write_snapshots
 
 CARD = ('<div class="Showcase__details"><button class="Showcase__name">Leche {n}</button>'
         '<div class="Showcase__salePrice" data-price="S/ 4.50">S/ 4.50</div></div>')
@@ -101,3 +103,48 @@ def test_labels_are_made_once_per_page(spark):
     plan = product_prices(pages, fx.site_rule(spark))._jdf.queryExecution().analyzed().toString().splitlines()
     explode = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
     assert not any("initcap" in line for line in plan[:explode]) and any("initcap" in line for line in plan[explode:])
+
+
+def test_elements_cut_by_one_pattern_are_those_of_the_fold(spark):
+    """Random tags, nested deep, left open and cut off: the pattern or the fold, always what the fold finds."""
+    import random
+
+    from priceflow.functions import markup as mk
+    rng = random.Random(7)
+    bits = ["<div>", "</div>", '<div class="c x">', '<div id="r">', "<a>", '<a href="/p">', "</a>", "</a >", "<div\n/>", "<b>",
+            "</b>", "t", " <", ">", "<divx>", "</div-a>", "<div ", "</div", "</a", "<abbr>", "ñ", '"']
+    pages = ["".join(rng.choices(bits, weights=[4, 8, 4, 2, 4, 3, 6] + [1] * 15, k=rng.randint(1, 40))) for _ in range(3000)]
+    pages += ["<div>" * n + "t" + "</div>" * n for n in (1, 6, 7, 8, 20)] + [
+        '<div id="r">' + "<div><a>x<a>y</a></a>" * 3 + "<div>" * n + "</div>" * n + "</div><a>no</a></div></div><div><a>out</a>"
+        for n in (0, 1, 6, 7, 9)]
+    cases = [("div", "", False, False), ("div", r'<div\b[^>]*\sclass="c[^"]*"[^>]*>', False, False), ("a", "", False, True),
+             ("div", r'<div\b[^>]*\sid="r"[^>]*>', True, False), ("div", r"<div>\s*<a\b[^>]*>", False, False)]
+    columns = [(mk.elements("s", *c), mk._folded_elements(F.col("s"), c[0], c[1] or f"<{c[0]}", *c[2:])) for c in cases]
+    rest = F.coalesce(F.get(F.split("s", '<div id="r">', 2), F.lit(1)), F.lit(""))
+    columns.append((mk.grandchildren("s", '<div id="r">', "div", "a"), mk._folded_grandchildren(rest, "div", "a")))
+    df = spark.createDataFrame([(p,) for p in pages] + [(None,)], "s string")
+    out = df.select("s", *[x.alias(f"{k}{i}") for i, pair in enumerate(columns) for k, x in zip("gw", pair)]).collect()
+    for i in range(len(columns)):
+        assert [(r.s, r[f"g{i}"]) for r in out] == [(r.s, r[f"w{i}"]) for r in out]
+        assert any(r[f"g{i}"] for r in out)
+
+
+def test_elements_of_usual_nesting_and_great_length_are_cut_by_the_pattern(spark, monkeypatch):
+    from priceflow.functions import markup as mk
+    monkeypatch.setattr(mk, "_folded_elements", lambda *_: F.array(F.lit("folded")))
+    long = "<p>t</p>" * 200_000
+    pages = [("<div>a<div>b</div></div><div>c</div>",), (f"<div>{long}</div>",), ("<p>",)]
+    out = spark.createDataFrame(pages, "s string").select(mk.elements("s", "div").alias("e")).collect()
+    assert [r.e for r in out] == [["a<div>b</div>", "c"], [long], []]
+
+
+def test_labels_and_prices_of_rows_do_not_wait_for_the_quantity(spark):
+    from priceflow.operators.products import product_prices
+    pages = spark.createDataFrame([], SNAPSHOT_SCHEMA)
+    sites = spark.createDataFrame([], "site string, country string, comercial_name string, comercial_id string")
+
+    def plan(*columns):
+        return product_prices(pages, sites, columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unidades" in plan("status")
+    for c in ("category", "price", "name"):
+        assert "unidades|" not in plan(c)
