@@ -148,3 +148,16 @@ def test_labels_and_prices_of_rows_do_not_wait_for_the_quantity(spark):
     assert "unidades" in plan("status")
     for c in ("category", "price", "name"):
         assert "unidades|" not in plan(c)
+
+
+def test_each_field_pattern_runs_once_per_card(spark):
+    from priceflow.operators.extract import INKAFARMA_PRICE_BLOCK, NAME_PATTERN, PLAZA_VEA_PRICE_TAG
+    data = [("plaza_vea", '<div class="Showcase__salePrice" data-price="">S/</div>'),
+            ("plaza_vea", "<div>no price</div>"),
+            ("inkafarma", "<fp-product-name><span></span></fp-product-name>"
+                          "<fp-product-card-price><div><span>old</span><span>S/ 2 &amp; up</span></div></fp-product-card-price>")]
+    out = card_fields(spark.createDataFrame(data, "site string, card string"))
+    assert [(r.name_raw, r.price_raw) for r in out.collect()] == [(None, ""), (None, None), (None, "S/ 2 & up")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    for pattern in (INKAFARMA_PRICE_BLOCK, PLAZA_VEA_PRICE_TAG, NAME_PATTERN["plaza_vea"]):
+        assert plan.count(pattern) == 1

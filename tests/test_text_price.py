@@ -90,3 +90,12 @@ def test_strip_text_takes_every_white_space_of_unicode_and_no_regular_expression
     assert [r["t"] for r in out[:4]] == ["a b", "", "", other]
     plan = spark.range(1).select(text.strip_text(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
     assert "regexp" not in plan
+
+
+def test_a_number_is_read_from_its_text_once(spark, rows_of):
+    texts = ["5", " 5.5\n", "\t-1e3 ", "5d", "5\x85", "5\xa0", "", "1,5", ".5", "5.", "\n", None]
+    out = rows_of([(t,) for t in texts], "s string", n=text.to_double("s"))
+    assert [r["n"] for r in out] == [5.0, 5.5, -1000.0, None, None, None, None, None, 0.5, 5.0, None, None]
+    asked = text.to_double(F.lower("s")).alias("n")
+    plan = spark.createDataFrame([("1",)], "s string").select(asked)._jdf.queryExecution().analyzed().toString()
+    assert plan.split("\n")[0].count("lower(") == 1
