@@ -53,3 +53,14 @@ def test_hot_key_is_cut_into_slices_and_empty_input_works(spark):
     sizes = [r["count"] for r in cut.collect()]
     assert len(sizes) == 10 and max(sizes) < 1500
     assert sequence_number(df.where("id < 0"), ["k"], ["id"], "n").count() == 0
+
+
+def test_only_large_keys_are_cut_into_slices(spark):
+    small = spark.range(0, 4000).select((F.col("id") % 1000).alias("k"), "id")
+    hot = small.withColumn("k", F.when(F.col("id") < 2000, None).otherwise(F.col("k")))
+    for df, cut in ((small, False), (hot, True)):
+        got = sequence_number(df, ["k"], ["id"], "n", num_slices=8)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("_slice" in plan, "Join" in plan) == (cut, cut)
+        ref = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("id")).cast("bigint"))
+        assert got.exceptAll(ref).count() == 0 and got.count() == 4000
