@@ -161,3 +161,17 @@ def test_each_field_pattern_runs_once_per_card(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     for pattern in (INKAFARMA_PRICE_BLOCK, PLAZA_VEA_PRICE_TAG, NAME_PATTERN["plaza_vea"]):
         assert plan.count(pattern) == 1
+
+
+def test_elements_that_hold_something_are_taken_by_the_pattern_as_they_are(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from priceflow.functions import markup as mk
+    monkeypatch.setattr(mk, "_folded_elements", lambda *_: F.array(F.lit("folded")))
+    monkeypatch.setattr(mk, "_folded_grandchildren", lambda *_: F.array(F.lit("folded")))
+    monkeypatch.setattr(mk, "_closed_by", lambda *_: lambda m: F.lit(False))
+    pages = [("<div>a<div>b</div></div><div>c</div>",), ('<div id="r"><div><a>x</a></div><div><a>y</a></div></div>',)]
+    out = spark.createDataFrame(pages, "s string").select(
+        mk.elements("s", "div").alias("e"), mk.elements("s", "div", keep_tag=True).alias("t"),
+        mk.grandchildren("s", '<div id="r">', "div", "a").alias("g")).collect()
+    assert out[0].e == ["a<div>b</div>", "c"] and out[0].t == ["<div>a<div>b</div>", "<div>c"]
+    assert out[1].g == ["x", "y"]
