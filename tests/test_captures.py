@@ -175,3 +175,9 @@ def test_elements_that_hold_something_are_taken_by_the_pattern_as_they_are(spark
         mk.grandchildren("s", '<div id="r">', "div", "a").alias("g")).collect()
     assert out[0].e == ["a<div>b</div>", "c"] and out[0].t == ["<div>a<div>b</div>", "<div>c"]
     assert out[1].g == ["x", "y"]
+
+
+def test_a_page_is_cut_once_for_its_breadcrumbs(spark, tmp_path):
+    from priceflow.plans import catalog
+    plan = catalog.breadcrumb_category(spark, small_tables(spark, tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1
